@@ -17,9 +17,9 @@ Scale. One shuffle on the key carries the rows once. A group bigger than ``max_a
 spread over ``ceil(rows / max_array_len)`` pieces numbered 1.. in ``array_part`` (whole groups
 have ``array_part = 0``), each piece is an ordinary bounded group, and its ``n_distinct`` values
 are computed for the whole group by a distributed distinct count. Finding the hot keys costs one
-aggregation over the key columns only (with map-side partial counts); it also gives the
-duplicate-key statistics. The hot-key table is checkpointed to the shared checkpoint folder
-and broadcast only when its row count is below ``broadcast_limit``.
+aggregation over a 64-bit hash of the key (map-side partial counts); it also gives the
+duplicate-key statistics. The hot-key table is written to the shared checkpoint folder and
+broadcast only when its row count is at most ``broadcast_limit``.
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 from panelforge.functions.arrays import distinct_non_null_count, presence_count, singleton
 from panelforge.functions.names import col, resolve
 from panelforge.functions.types import contains_map, is_orderable
-from panelforge.session import checkpoint_root
+from panelforge.session import scratch_path
+from panelforge.sinks.parquet import write_parquet
 
 LOGGER = logging.getLogger(__name__)
 
@@ -75,29 +76,39 @@ def duplicate_keys(df: DataFrame, primary_key: list[str], count_col: str = "n_ro
     )
 
 
-def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict) -> tuple[DataFrame, int]:
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[col(k) for k in keys])
+
+
+def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict) -> tuple[DataFrame | None, int]:
+    """Hashes of keys with more than ``max_array_len`` rows, and how many there are.
+
+    One aggregation over the 64-bit key hash (map-side partial counts, 16-byte shuffle records);
+    the hot set is written as a small table to the shared checkpoint folder (one job, lineage
+    cut) and its size is observed during that write. A hash collision can only flag an
+    ordinary key as hot, which splits it into pieces but never changes a value.
+    """
+    spark = keyed.sparkSession
     obs = Observation("panelforge_key_sizes")
-    sizes = keyed.groupBy(*[col(k) for k in pk]).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = keyed.groupBy(_key_hash(pk).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.observe(
         obs,
         F.count(F.lit(1)).alias("n_keys"),
         F.coalesce(F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)), F.lit(0)).alias("n_duplicate_keys"),
         F.coalesce(F.max("_n"), F.lit(0)).alias("max_group_rows"),
     )
-    checkpoint_root(keyed.sparkSession)
-    hot = (
-        sizes.where(F.col("_n") > max_array_len)
-        .select(*[col(k) for k in pk], F.ceil(F.col("_n") / F.lit(max_array_len)).cast("int").alias("_parts"))
-        .checkpoint(eager=True)
+    hot = sizes.where(F.col("_n") > max_array_len).select(
+        "_h", F.ceil(F.col("_n") / F.lit(max_array_len)).cast("int").alias("_parts")
     )
-    n_hot = hot.count()
+    path = scratch_path(spark, "hot-keys")
+    n_hot = write_parquet(hot.coalesce(1), path).rows
     stats.update(obs.get)
     stats["n_hot_keys"] = n_hot
     LOGGER.info(
         "keys: %s, duplicated: %s, largest group: %s rows, split groups: %s",
         stats.get("n_keys"), stats.get("n_duplicate_keys"), stats.get("max_group_rows"), n_hot,
     )
-    return hot, n_hot
+    return (spark.read.parquet(path) if n_hot else None), n_hot
 
 
 def conflict_aggregate(
@@ -144,36 +155,48 @@ def conflict_aggregate(
     if n_hot:
         hk = F.broadcast(hot) if n_hot <= broadcast_limit else hot
         piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")) + F.lit(1)
-        rows = keyed.join(hk, on=pk, how="left").select(
-            *keys,
-            F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(piece).cast("int").alias(part_col),
-            *[col(v) for v in values],
+        rows = (
+            keyed.withColumn("_h", _key_hash(pk))
+            .join(hk, on="_h", how="left")
+            .select(
+                *keys,
+                F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(piece).cast("int").alias(part_col),
+                *[col(v) for v in values],
+            )
         )
+        group_cols = keys + [col(part_col)]
     else:
-        rows = keyed.select(*keys, F.lit(0).alias(part_col), *[col(v) for v in values])
+        rows = keyed.select(*keys, *[col(v) for v in values])
+        group_cols = keys
+    # rows are shuffled as they are: a collected list cannot shrink map-side, and raw rows are
+    # cheaper to move than partial list buffers
+    rows = rows.repartition(*group_cols)
 
     if not values:
-        out = rows.groupBy(*keys, col(part_col)).count().drop("count")
+        out = rows.groupBy(*group_cols).count().drop("count")
+        if not n_hot:
+            out = out.withColumn(part_col, F.lit(0))
         return out.unionByName(loose_out)
 
     collected = F.collect_list(F.struct(*[col(v) for v in values]))
     if order_rows and all(is_orderable(types[v]) for v in values):
         collected = F.sort_array(collected)
-    grouped = rows.groupBy(*keys, col(part_col)).agg(collected.alias("_rows"))
+    grouped = rows.groupBy(*group_cols).agg(collected.alias("_rows"))
+    part = col(part_col) if n_hot else F.lit(0).alias(part_col)
 
     def arr(v: str) -> Column:
         return F.col("_rows").getField(v)
 
     keyed_out = grouped.select(
         *keys,
-        col(part_col),
+        part,
         *[e for v in values for e in (arr(v).alias(v), distinct_non_null_count(arr(v), types[v]).alias(prefix + v))],
     )
 
     if n_hot:
         # whole-group distinct counts for split groups: distributed (value-level shuffle, no group collected)
-        hk_keys = F.broadcast(hot.select(*keys)) if n_hot <= broadcast_limit else hot.select(*keys)
-        hot_rows = keyed.join(hk_keys, on=pk, how="left_semi")
+        hk_keys = F.broadcast(hot.select("_h")) if n_hot <= broadcast_limit else hot.select("_h")
+        hot_rows = keyed.withColumn("_h", _key_hash(pk)).join(hk_keys, on="_h", how="left_semi")
 
         def distinct_input(v: str) -> Column:
             return col(v).cast("string") if contains_map(types[v]) else col(v)

@@ -27,10 +27,18 @@ def glob_parquet(spark: SparkSession, pattern: str) -> list[str]:
 
 def lineage_path() -> Column:
     """Source path of each row as a plain path: Spark's ``file:`` URI scheme is removed and
-    percent-escapes are decoded; other schemes (``hdfs://``, ``s3a://``) are kept."""
+    percent-escapes are decoded; other schemes (``hdfs://``, ``s3a://``) are kept.
+
+    Cheap per row: decoding runs only for paths that hold an escape, and the scheme is removed
+    by a prefix test rather than a regular expression.
+    """
     p = F.col("_metadata.file_path")
-    p = F.url_decode(F.regexp_replace(p, r"\+", "%2B"))
-    return F.regexp_replace(p, r"^file:(//)?(?=/)", "")
+    p = F.when(p.contains("%"), F.url_decode(F.regexp_replace(p, r"\+", "%2B"))).otherwise(p)
+    return (
+        F.when(p.startswith("file:///"), F.substring(p, 8, 1 << 30))
+        .when(p.startswith("file:/"), F.substring(p, 6, 1 << 30))
+        .otherwise(p)
+    )
 
 
 def schema_of(df: DataFrame) -> dict[str, str]:

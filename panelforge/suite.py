@@ -270,7 +270,7 @@ LINEAGE_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
 def q_select_with_lineage(spark, sf_dir):
     spec = SelectSpec(name="lineitem", path_pattern=f"{sf_dir.rstrip('/')}/lineitem.parquet", columns=LINEAGE_COLUMNS)
     df = select_year(spark, spec)
-    return df.withColumn("filename", F.regexp_extract("filename", r"[^/]+$", 0))
+    return df.withColumn("filename", F.substring_index("filename", "/", -1))
 
 
 def sql_select_with_lineage():
