@@ -101,7 +101,7 @@ def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict)
         "_h", F.ceil(F.col("_n") / F.lit(max_array_len)).cast("int").alias("_parts")
     )
     path = scratch_path(spark, "hot-keys")
-    n_hot = write_parquet(hot.coalesce(1), path).rows
+    n_hot = write_parquet(hot, path).rows
     stats.update(obs.get)
     stats["n_hot_keys"] = n_hot
     LOGGER.info(
