@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.functions.names import col, monthly_groups, resolve
+from panelforge.functions.names import col, literal_rows, monthly_groups, resolve
 from panelforge.operators.union import conform, target_schema
 
 
@@ -24,7 +24,7 @@ def _groups(group_col: str | None):
     return [col(group_col)] if group_col else []
 
 
-def _stack(df: DataFrame, keep: list[str], entries: list[tuple[str, str, str]]) -> DataFrame:
+def stack_checks(df: DataFrame, keep: list[str], entries: list[tuple[str, str, str]]) -> DataFrame:
     """Wide one-row-per-group -> long (check, column_name, value)."""
     arr = F.array(
         *[
@@ -35,15 +35,22 @@ def _stack(df: DataFrame, keep: list[str], entries: list[tuple[str, str, str]])
     return df.select(*[col(k) for k in keep], F.inline(arr))
 
 
-def profile(df: DataFrame, group_col: str | None = None) -> DataFrame:
-    """Long rows ``[group_col,] check, column_name, value`` for ``row_count`` and ``null_count``."""
+def profile_wide(df: DataFrame, group_col: str | None = None) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """One aggregate: row count and NULL count per column (per group), as one wide row per
+    group, plus the (check, column, field) entries that name its fields."""
     cols = [c for c in df.columns if c != group_col]
     wide = df.groupBy(*_groups(group_col)).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.coalesce(F.sum(F.when(col(c).isNull(), 1).otherwise(0)), F.lit(0)).alias(f"_n{i}") for i, c in enumerate(cols)],
     )
     entries = [("row_count", None, "_rows")] + [("null_count", c, f"_n{i}") for i, c in enumerate(cols)]
-    return _stack(wide, [group_col] if group_col else [], entries)
+    return wide, entries
+
+
+def profile(df: DataFrame, group_col: str | None = None) -> DataFrame:
+    """Long rows ``[group_col,] check, column_name, value`` for ``row_count`` and ``null_count``."""
+    wide, entries = profile_wide(df, group_col)
+    return stack_checks(wide, [group_col] if group_col else [], entries)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -116,7 +123,8 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
             meta.append((label, f.name, t, f.dataType.simpleString(), t is not None, changed))
     label_type = T.LongType() if all(isinstance(x, int) for x in labels) else T.StringType()
     spark = frames[0].sparkSession
-    meta_df = spark.createDataFrame(
+    meta_df = literal_rows(
+        spark,
         meta,
         T.StructType(
             [
@@ -157,6 +165,7 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
 
 __all__ = [
     "expected_output_columns",
+    "profile_wide",
     "key_uniqueness",
     "missing_columns",
     "null_counts",

@@ -574,10 +574,10 @@ def sql_qc_report():
         f"SELECT year, 'duplicate_count', NULL, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM {src} GROUP BY year",
     ]
     absent = ", ".join(f"({y})" for y in QC_YEARS)
-    parts.append(
-        f"SELECT CAST(y AS INTEGER), 'row_count', NULL, 0 FROM (VALUES {absent}) v(y) "
-        f"WHERE y NOT IN (SELECT year FROM {src})"
-    )
+    missing = f"(SELECT CAST(y AS INTEGER) AS year FROM (VALUES {absent}) v(y) WHERE y NOT IN (SELECT year FROM {src}))"
+    parts.append(f"SELECT year, 'row_count', NULL, 0 FROM {missing}")
+    parts += [f"SELECT year, 'null_count', '{c}', 0 FROM {missing}" for c in LINEITEM_COLUMNS]
+    parts += [f"SELECT year, '{k}', NULL, 0 FROM {missing}" for k in ("distinct_pk_count", "duplicate_count")]
     body = " UNION ALL ".join(parts)
     return (
         f"WITH r AS ({body}) SELECT year, \"check\", column_name, value, "
