@@ -147,6 +147,42 @@ def sql_conflict_summary():
     return f"WITH agg AS ({inner}) " + " UNION ALL ".join(parts)
 
 
+HOT_MAX_ARRAY_LEN = 5000
+HOT_COLUMNS = ["l_partkey", "l_returnflag", "l_shipdate"]
+
+
+def q_conflict_hot_key(spark, sf_dir):
+    """Lines 1 and 2 of every order share one key (about 45% of all rows): that group is split
+    into pieces of about ``HOT_MAX_ARRAY_LEN`` rows; per key, the pieces together hold every row
+    and carry the whole group's distinct counts."""
+    li = table(spark, sf_dir, "lineitem")
+    src = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")))
+    agg = conflict_aggregate(src, ["l_orderkey"], max_array_len=HOT_MAX_ARRAY_LEN)
+    return agg.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_pieces"),
+        F.min("array_part").alias("first_part"),
+        F.max("array_part").alias("last_part"),
+        F.sum(F.size("l_partkey")).alias("n_rows"),
+        F.sum(F.when(F.size("l_partkey") > 2 * HOT_MAX_ARRAY_LEN, 1).otherwise(0)).alias("oversized_pieces"),
+        *[F.max(f"n_distinct_{c}").alias(f"n_distinct_{c}") for c in HOT_COLUMNS],
+    )
+
+
+def sql_conflict_hot_key():
+    m = HOT_MAX_ARRAY_LEN
+    nd = ", ".join(f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct_{c}" for c in HOT_COLUMNS)
+    return (
+        "WITH src AS (SELECT * REPLACE (CASE WHEN l_linenumber <= 2 THEN 0 ELSE l_orderkey END AS l_orderkey) FROM lineitem), "
+        f"g AS (SELECT l_orderkey, count(*) AS n, {nd} FROM src GROUP BY l_orderkey) "
+        f"SELECT l_orderkey, CASE WHEN n > {m} THEN CAST(ceil(n / {m}.0) AS BIGINT) ELSE 1 END AS n_pieces, "
+        f"CAST(CASE WHEN n > {m} THEN 1 ELSE 0 END AS INTEGER) AS first_part, "
+        f"CAST(CASE WHEN n > {m} THEN ceil(n / {m}.0) ELSE 0 END AS INTEGER) AS last_part, "
+        "n AS n_rows, 0 AS oversized_pieces, "
+        + ", ".join(f"n_distinct_{c}" for c in HOT_COLUMNS)
+        + " FROM g"
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # reshapes
 
@@ -598,6 +634,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_keys": q_duplicate_keys,
         "nest_children": q_nest_children,
         "conflict_summary": q_conflict_summary,
+        "conflict_hot_key": q_conflict_hot_key,
         "explode_periods": q_explode_periods,
         "explode_ragged_arrays": q_explode_ragged_arrays,
         "unpivot_monthly": q_unpivot_monthly,
@@ -625,6 +662,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_keys": sql_duplicate_keys(),
         "nest_children": sql_nest_children(),
         "conflict_summary": sql_conflict_summary(),
+        "conflict_hot_key": sql_conflict_hot_key(),
         "explode_periods": sql_explode_periods(),
         "explode_ragged_arrays": sql_explode_ragged_arrays(),
         "unpivot_monthly": sql_unpivot_monthly(),
