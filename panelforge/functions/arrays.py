@@ -37,3 +37,22 @@ def distinct_non_null_count(arr: Column, element_type: T.DataType) -> Column:
     if contains_map(element_type):
         arr = F.transform(arr, lambda x: x.cast("string"))
     return F.size(F.array_distinct(F.filter(arr, lambda x: x.isNotNull()))).cast("long")
+
+
+def hashable_equality(t: T.DataType) -> bool:
+    """Whether Spark compares values of ``t`` by hashing (atomic types except binary).
+
+    For other types ``array_distinct`` falls back to a nested loop, quadratic in the array
+    length; their distinct counts are taken with ``collect_set`` during aggregation instead.
+    """
+    return not isinstance(t, (T.ArrayType, T.StructType, T.MapType, T.BinaryType))
+
+
+def set_input(c: Column, t: T.DataType) -> Column:
+    """``c`` in a form ``collect_set`` accepts with value equality: maps (at any depth) by their
+    JSON text, binary by its base64 text, everything else as is."""
+    if contains_map(t):
+        return F.to_json(c) if isinstance(t, (T.StructType, T.MapType, T.ArrayType)) else c.cast("string")
+    if isinstance(t, T.BinaryType):
+        return F.base64(c)
+    return c

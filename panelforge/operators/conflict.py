@@ -31,7 +31,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.functions.arrays import distinct_non_null_count, presence_count, singleton
+from panelforge.functions.arrays import (
+    distinct_non_null_count,
+    hashable_equality,
+    presence_count,
+    set_input,
+    singleton,
+)
 from panelforge.functions.names import col, resolve
 from panelforge.functions.types import contains_map, is_orderable
 from panelforge.session import scratch_path
@@ -181,16 +187,25 @@ def conflict_aggregate(
     collected = F.collect_list(F.struct(*[col(v) for v in values]))
     if order_rows and all(is_orderable(types[v]) for v in values):
         collected = F.sort_array(collected)
-    grouped = rows.groupBy(*group_cols).agg(collected.alias("_rows"))
+    # nested / binary values: distinct count by hashing during the aggregation (linear), since
+    # array_distinct compares such elements pairwise
+    by_set = [i for i, v in enumerate(values) if not hashable_equality(types[v])]
+    grouped = rows.groupBy(*group_cols).agg(
+        collected.alias("_rows"),
+        *[F.size(F.collect_set(set_input(col(values[i]), types[values[i]]))).cast("long").alias(f"_set{i}") for i in by_set],
+    )
     part = col(part_col) if n_hot else F.lit(0).alias(part_col)
 
     def arr(v: str) -> Column:
         return F.col("_rows").getField(v)
 
+    def n_distinct(i: int, v: str) -> Column:
+        return F.col(f"_set{i}") if i in by_set else distinct_non_null_count(arr(v), types[v])
+
     keyed_out = grouped.select(
         *keys,
         part,
-        *[e for v in values for e in (arr(v).alias(v), distinct_non_null_count(arr(v), types[v]).alias(prefix + v))],
+        *[e for i, v in enumerate(values) for e in (arr(v).alias(v), n_distinct(i, v).alias(prefix + v))],
     )
 
     if n_hot:
@@ -199,7 +214,7 @@ def conflict_aggregate(
         hot_rows = keyed.withColumn("_h", _key_hash(pk)).join(hk_keys, on="_h", how="left_semi")
 
         def distinct_input(v: str) -> Column:
-            return col(v).cast("string") if contains_map(types[v]) else col(v)
+            return set_input(col(v), types[v])
 
         nd = hot_rows.groupBy(*keys).agg(
             *[F.count_distinct(distinct_input(v)).alias(f"_nd{i}") for i, v in enumerate(values)]

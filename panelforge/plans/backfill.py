@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -17,20 +18,36 @@ def output_complete(spark: SparkSession, path: str) -> bool:
     return hadoop_fs.exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def backfill(spark: SparkSession, spec, years: list[int], force: bool = False) -> list[dict]:
+def backfill(
+    spark: SparkSession, spec, years: list[int], force: bool = False, concurrent_years: int = 1
+) -> list[dict]:
     """Run Stage 1 for every wanted year whose output is missing or incomplete.
 
     Each built year is one distributed job over that year's files; years already present are
-    reported as ``existing``. Returns ``[{year, status, rows, path}]``.
+    reported as ``existing``. ``concurrent_years > 1`` submits several years' jobs at once (they
+    share the cluster; useful when single years are small). Returns ``[{year, status, rows, path}]``
+    in year order.
     """
     spec = as_select_spec(spec)
-    out = []
+    todo, report = [], {}
     for year in years:
         path = spec.output_path(year)
         if not force and output_complete(spark, path):
-            out.append({"year": year, "status": "existing", "rows": None, "path": path})
-            continue
+            report[year] = {"year": year, "status": "existing", "rows": None, "path": path}
+        else:
+            todo.append(year)
+
+    def build(year: int) -> dict:
         res = process_year(spark, spec, year)
-        out.append({"year": year, "status": "built", "rows": res.rows, "path": path})
+        return {"year": year, "status": "built", "rows": res.rows, "path": res.path}
+
+    if concurrent_years > 1 and len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=concurrent_years) as pool:
+            built = list(pool.map(build, todo))
+    else:
+        built = [build(y) for y in todo]
+    for r in built:
+        report[r["year"]] = r
+    out = [report[y] for y in years]
     LOGGER.info("backfill %s: %s", spec.name, {r["year"]: r["status"] for r in out})
     return out

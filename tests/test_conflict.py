@@ -126,3 +126,18 @@ def test_duplicate_keys_counts_null_group(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (None,), (2,)], "k int")
     out = sorted((r["k"] is None, r["n_rows"]) for r in rows(duplicate_keys(df, ["k"])))
     assert out == [(False, 2), (True, 2)]
+
+
+def test_nested_distinct_count_is_linear(spark):
+    import time
+
+    n = 40000
+    df = spark.range(n).select(
+        F.lit(1).alias("k"),
+        F.array(F.col("id") % 20000, F.lit(1)).alias("a"),
+        F.struct((F.col("id") % 7).alias("x")).alias("s"),
+    )
+    t = time.perf_counter()
+    r = conflict_aggregate(df, ["k"], max_array_len=None).select("n_distinct_a", "n_distinct_s", F.size("a").alias("n")).first()
+    assert (r["n_distinct_a"], r["n_distinct_s"], r["n"]) == (20000, 7, n)
+    assert time.perf_counter() - t < 15  # the pairwise array_distinct path takes ~20 s here
