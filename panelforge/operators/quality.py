@@ -85,6 +85,15 @@ def row_uniqueness(df: DataFrame, ignore: tuple[str, ...] = (), group_col: str |
     return _uniqueness(df, cols, group_col, "distinct_row_count")
 
 
+def sample_rows(df: DataFrame, n: int = 100, order_by: list[str] | None = None) -> DataFrame:
+    """``n`` rows of ``df``. With ``order_by`` the sample is reproducible: the first ``n`` rows in
+    that order, taken as a top-k (each task keeps its own first ``n``; only those are merged),
+    never a full sort."""
+    if order_by:
+        return df.orderBy(*[col(c).asc_nulls_first() for c in resolve(df.columns, order_by)]).limit(int(n))
+    return df.limit(int(n))
+
+
 def missing_columns(columns: list[str], expected: list[str]) -> list[str]:
     """Expected names absent from ``columns`` (case-insensitive), in expected order."""
     have = {c.lower() for c in columns}
@@ -164,6 +173,7 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
 
 
 __all__ = [
+    "sample_rows",
     "expected_output_columns",
     "profile_wide",
     "key_uniqueness",

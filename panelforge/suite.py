@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_keys, nest_children
-from panelforge.operators.quality import key_uniqueness, null_counts, row_uniqueness, schema_drift
+from panelforge.operators.quality import key_uniqueness, null_counts, row_uniqueness, sample_rows, schema_drift
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.plans.backfill import backfill
 from panelforge.plans.qc import qc_report
@@ -595,10 +595,21 @@ def sql_qc_row_uniqueness():
     )
 
 
-QC_YEARS = list(range(1995, 2003))  # 2002 has no rows: reported as a warning
 LINEITEM_COLUMNS = LINEITEM_PK[:1] + LINEITEM_VALUES[:2] + LINEITEM_PK[1:] + LINEITEM_VALUES[2:]
 
 
+def q_qc_sample(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return sample_rows(li, 100, order_by=LINEITEM_COLUMNS)
+
+
+def sql_qc_sample():
+    return f"SELECT * FROM lineitem ORDER BY {_order_by(LINEITEM_COLUMNS)} LIMIT 100"
+
+
+QC_YEARS = list(range(1995, 2003))  # 2002 has no rows: reported as a warning
+
+
 def q_qc_report(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
     return qc_report(li, "year", years=QC_YEARS, primary_key=LINEITEM_PK)
@@ -656,6 +667,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qc_key_uniqueness": q_qc_key_uniqueness,
         "qc_row_uniqueness": q_qc_row_uniqueness,
         "qc_report": q_qc_report,
+        "qc_sample": q_qc_sample,
     }
 
 
@@ -684,4 +696,5 @@ def oracle_sql() -> dict[str, str]:
         "qc_key_uniqueness": sql_qc_key_uniqueness(),
         "qc_row_uniqueness": sql_qc_row_uniqueness(),
         "qc_report": sql_qc_report(),
+        "qc_sample": sql_qc_sample(),
     }
