@@ -38,7 +38,7 @@ from panelforge.functions.arrays import (
     set_input,
     singleton,
 )
-from panelforge.functions.names import col, resolve
+from panelforge.functions.names import col, quote, resolve
 from panelforge.functions.types import contains_map, is_orderable
 from panelforge.session import scratch_path
 from panelforge.sinks.parquet import write_parquet
@@ -200,7 +200,7 @@ def conflict_aggregate(
         return F.col("_rows").getField(v)
 
     def n_distinct(i: int, v: str) -> Column:
-        return F.col(f"_set{i}") if i in by_set else distinct_non_null_count(arr(v), types[v])
+        return F.col(f"_set{i}") if i in by_set else distinct_non_null_count(f"_rows.{quote(v)}", types[v])
 
     keyed_out = grouped.select(
         *keys,
