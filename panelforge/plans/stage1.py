@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.operators.project import select_columns
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
@@ -20,11 +21,16 @@ def as_select_spec(spec: SelectSpec | dict) -> SelectSpec:
 
 
 def select_year(
-    spark: SparkSession, spec: SelectSpec | dict, year: int | None = None, check_schema: bool = True
+    spark: SparkSession,
+    spec: SelectSpec | dict,
+    year: int | None = None,
+    check_schema: bool = True,
+    loaded: Observation | None = None,
 ) -> DataFrame:
     """The Stage 1 table for one year as a lazy plan: scan (+ lineage) -> select -> reshape.
 
-    ``explode_arrays`` wins over ``monthly_columns`` when both are set.
+    ``explode_arrays`` wins over ``monthly_columns`` when both are set. ``loaded``, if given,
+    observes the number of rows read (reported once the plan runs, no extra job).
     """
     spec = as_select_spec(spec)
     pattern = spec.resolved_pattern(year) if year is not None else spec.path_pattern
@@ -32,6 +38,8 @@ def select_year(
     LOGGER.info("%s %s: %d input file(s)", spec.name, year, len(files))
     raw = read_with_lineage(spark, files, spec.lineage_col, check_schema=check_schema)
     working = select_columns(raw, spec.columns, spec.lineage_col)
+    if loaded is not None:
+        working = working.observe(loaded, F.count(F.lit(1)).alias("rows"))
     if spec.explode_arrays:
         return explode_periods(working, spec.period_col, spec.n_periods)
     if spec.monthly_columns:
@@ -42,9 +50,15 @@ def select_year(
 def process_year(
     spark: SparkSession, spec: SelectSpec | dict, year: int, preview: bool = False
 ) -> WriteResult:
-    """Build and write ``<output_dir>/<output_name>.parquet`` for one year (overwrites)."""
+    """Build and write ``<output_dir>/<output_name>.parquet`` for one year (overwrites).
+
+    Rows read and rows written are both observed during the single write job and logged.
+    """
     spec = as_select_spec(spec)
-    df = select_year(spark, spec, year)
+    loaded = Observation(f"panelforge_loaded_{spec.name}_{year}")
+    df = select_year(spark, spec, year, loaded=loaded)
     if preview:
         LOGGER.info("preview:\n%s", "\n".join(str(r) for r in df.limit(5).collect()))
-    return write_parquet(df, spec.output_path(year))
+    res = write_parquet(df, spec.output_path(year))
+    LOGGER.info("%s %s: %s rows read, %s rows written", spec.name, year, f"{loaded.get['rows']:,}", f"{res.rows:,}")
+    return res

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.operators.conflict import conflict_aggregate
 from panelforge.sinks.parquet import WriteResult, write_table
@@ -29,11 +30,19 @@ def load_years(spark: SparkSession, spec: BuildSpec, basepath: str) -> DataFrame
 
 
 def build_table_df(
-    spark: SparkSession, name: str, conf: BuildSpec | dict, basepath: str, **aggregate_options
+    spark: SparkSession,
+    name: str,
+    conf: BuildSpec | dict,
+    basepath: str,
+    loaded: Observation | None = None,
+    **aggregate_options,
 ) -> DataFrame:
-    """The Stage 2 table as a lazy plan (key aggregation when ``primary_key`` is set)."""
+    """The Stage 2 table as a lazy plan (key aggregation when ``primary_key`` is set).
+    ``loaded``, if given, observes the number of rows read across all years."""
     spec = as_build_spec(name, conf)
     df = load_years(spark, spec, basepath)
+    if loaded is not None:
+        df = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
     if spec.aggregated:
         return conflict_aggregate(df, spec.primary_key, **aggregate_options)
     return df
@@ -42,10 +51,15 @@ def build_table_df(
 def build_table(
     spark: SparkSession, name: str, conf: BuildSpec | dict, basepath: str, output_path: str, **aggregate_options
 ) -> WriteResult:
-    """Validate -> verify inputs -> load -> aggregate or not -> write (one of four outcomes)."""
+    """Validate -> verify inputs -> load -> aggregate or not -> write (one of four outcomes).
+
+    Rows loaded and rows written are observed during the write job and logged; the key
+    statistics (keys, duplicated keys, split groups) come from the aggregation's key pass.
+    """
     spec = as_build_spec(name, conf)
-    df = build_table_df(spark, name, spec, basepath, **aggregate_options)
-    return write_table(
+    loaded = Observation(f"panelforge_loaded_{spec.name}")
+    df = build_table_df(spark, name, spec, basepath, loaded=loaded, **aggregate_options)
+    res = write_table(
         df,
         output_path,
         table_name=spec.name,
@@ -53,3 +67,5 @@ def build_table(
         shard_by=spec.shard_by,
         aggregated=spec.aggregated,
     )
+    LOGGER.info("%s: %s rows loaded, %s rows written to %s", spec.name, f"{loaded.get['rows']:,}", f"{res.rows:,}", res.path)
+    return res
