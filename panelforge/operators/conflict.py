@@ -209,7 +209,10 @@ def conflict_aggregate(
     )
 
     if n_hot:
-        # whole-group distinct counts for split groups: distributed (value-level shuffle, no group collected)
+        # whole-group distinct counts for split groups: one more read of the input, semi-joined
+        # to the hot hashes, then a distributed distinct count (the shuffle carries distinct
+        # (key, value) pairs of split-group rows only; no group is gathered). Runs only when
+        # some group exceeds max_array_len.
         hk_keys = F.broadcast(hot.select("_h")) if n_hot <= broadcast_limit else hot.select("_h")
         hot_rows = keyed.withColumn("_h", _key_hash(pk)).join(hk_keys, on="_h", how="left_semi")
 
