@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from panelforge.functions.names import index_ci
 from panelforge.operators.union import conform, target_schema, union_by_name
 from panelforge.sources import hadoop_fs
+from panelforge.specs import fill
 
 LOGGER = logging.getLogger(__name__)
 
@@ -108,7 +109,7 @@ def _with_lineage(df: DataFrame, lineage_col: str | None) -> DataFrame:
 
 def year_paths(path_pattern: str, year_min: int, year_max: int, **fmt) -> list[str]:
     """The exact per-year inputs, year_min..year_max inclusive (never a ``*`` over years)."""
-    return [path_pattern.format(year=y, **fmt) for y in range(int(year_min), int(year_max) + 1)]
+    return [fill(path_pattern, year=y, **fmt) for y in range(int(year_min), int(year_max) + 1)]
 
 
 def verify_paths_exist(spark: SparkSession, paths: list[str]) -> None:

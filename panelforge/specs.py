@@ -13,6 +13,13 @@ from typing import Any
 DEFAULT_MONTHLY_PATTERN = r"^(.+)_mo_(\d{2})$"
 
 
+def fill(template: str, **values) -> str:
+    """Substitute ``{name}`` placeholders by name only, leaving any other braces untouched."""
+    for k, v in values.items():
+        template = template.replace("{" + k + "}", str(v))
+    return template
+
+
 @dataclass
 class SelectSpec:
     name: str
@@ -34,11 +41,11 @@ class SelectSpec:
         return cls(**{k: v for k, v in conf.items() if k in known})
 
     def resolved_pattern(self, year: int) -> str:
-        return self.path_pattern.format(year=year)
+        # only the placeholder is substituted: the rest may hold glob braces such as {a,b}
+        return fill(self.path_pattern, year=year)
 
     def resolved_output_name(self, year: int) -> str:
-        template = self.output_name or f"{self.name}_{{year}}"
-        return template.format(year=year)
+        return fill(self.output_name or f"{self.name}_{{year}}", year=year)
 
     def output_path(self, year: int) -> str:
         if not self.output_dir:
@@ -71,10 +78,10 @@ class BuildSpec:
         return list(range(int(self.year_min), int(self.year_max) + 1))
 
     def year_path(self, basepath: str, year: int) -> str:
-        return self.path_pattern.format(basepath=basepath, year=year)
+        return fill(self.path_pattern, basepath=basepath, year=year)
 
     def formatted_output_name(self) -> str:
-        return self.output_name.format(year_min=self.year_min, year_max=self.year_max)
+        return fill(self.output_name, year_min=self.year_min, year_max=self.year_max)
 
     @property
     def aggregated(self) -> bool:

@@ -19,3 +19,13 @@ def test_monthly_groups():
     groups, static = monthly_groups(["id", "a_mo_02", "a_mo_01", "b_mo_01", "filename"], r"^(.+)_mo_(\d{2})$", ["filename"])
     assert groups == {"a": {2: "a_mo_02", 1: "a_mo_01"}, "b": {1: "b_mo_01"}}
     assert static == ["id"]
+
+
+def test_fill_keeps_glob_braces():
+    from panelforge.specs import BuildSpec, SelectSpec, fill
+
+    assert fill("/raw/{year}/p-{a,b}*.parquet", year=2018) == "/raw/2018/p-{a,b}*.parquet"
+    s = SelectSpec(name="t", path_pattern="/raw/{year}/{x,y}/*.parquet", columns=["a"], output_dir="/o")
+    assert s.resolved_pattern(2001) == "/raw/2001/{x,y}/*.parquet" and s.output_path(2001) == "/o/t_2001.parquet"
+    b = BuildSpec(name="t", year_min=2000, year_max=2001, path_pattern="{basepath}/t_{year}.parquet", output_name="t_{year_min}_{year_max}")
+    assert b.year_path("/i", 2000) == "/i/t_2000.parquet" and b.formatted_output_name() == "t_2000_2001"
