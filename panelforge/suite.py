@@ -27,6 +27,7 @@ from panelforge.plans.stage2 import build_table, load_years
 from panelforge.session import scratch_path
 from panelforge.sinks.parquet import write_parquet
 from panelforge.specs import BuildSpec, SelectSpec
+from panelforge.streaming.incremental import run_incremental
 
 YEARS = list(range(1995, 2002))
 
@@ -548,6 +549,38 @@ def sql_backfill():
     )
 
 
+def q_incremental_select(spark, sf_dir):
+    """Raw monthly-array files arrive in two deliveries (1995-1998, then 1999-2001); each
+    incremental run explodes only the files it has not seen."""
+    orders = table(spark, sf_dir, "orders")
+    raw, out = scratch_path(spark, "orders-raw"), scratch_path(spark, "orders-incremental")
+    ckpt = scratch_path(spark, "orders-incremental-ckpt")
+    spec = SelectSpec(name="orders_amt", path_pattern="", columns=["o_orderkey", "year", "amt"], explode_arrays=True)
+
+    def deliver(years: list[int]) -> None:
+        for y in years:
+            part = year_slice(orders, "o_orderdate", y).select(
+                "o_orderkey",
+                F.lit(y).alias("year"),
+                F.array(*[F.when(F.month("o_orderdate") == m, F.col("o_totalprice")) for m in range(1, 13)]).alias("amt"),
+            )
+            write_parquet(part, f"{raw}/y{y}")
+
+    deliver(YEARS[:4])
+    run_incremental(spark, spec, raw + "/*/*.parquet", out, checkpoint_location=ckpt)
+    deliver(YEARS[4:])
+    run_incremental(spark, spec, raw + "/*/*.parquet", out, checkpoint_location=ckpt)
+    return spark.read.parquet(out).select("o_orderkey", "year", "month", "amt")
+
+
+def sql_incremental_select():
+    return (
+        "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(p AS INTEGER) AS month, "
+        "CASE WHEN month(o_orderdate) = p THEN o_totalprice END AS amt "
+        "FROM orders CROSS JOIN range(1, 13) t(p)"
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # quality checks
 
@@ -663,6 +696,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shard_counts": q_shard_counts,
         "flat_vs_array": q_flat_vs_array,
         "backfill": q_backfill,
+        "incremental_select": q_incremental_select,
         "qc_null_counts": q_qc_null_counts,
         "qc_key_uniqueness": q_qc_key_uniqueness,
         "qc_row_uniqueness": q_qc_row_uniqueness,
@@ -692,6 +726,7 @@ def oracle_sql() -> dict[str, str]:
         "shard_counts": sql_shard_counts(),
         "flat_vs_array": sql_flat_vs_array(),
         "backfill": sql_backfill(),
+        "incremental_select": sql_incremental_select(),
         "qc_null_counts": sql_qc_null_counts(),
         "qc_key_uniqueness": sql_qc_key_uniqueness(),
         "qc_row_uniqueness": sql_qc_row_uniqueness(),
