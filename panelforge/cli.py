@@ -3,11 +3,11 @@
 ``panelforge.cli.main``); the session comes from the environment (master, checkpoint folder,
 shuffle sizing).
 
-    python -m panelforge select --table-config eligibility.yaml --year 2018 \\
+    python -m panelforge select --table-config enrolment.yaml --year 2018 \\
         --var datapaths.dirs.input=/raw --var datapaths.dirs.intermediate=/inter
-    python -m panelforge build --dataset-config medicaid_taf.yaml --table ip_header \\
+    python -m panelforge build --dataset-config dataset.yaml --table claims \\
         --basepath /inter --output /out
-    python -m panelforge qc --table-config eligibility.yaml --year 2018 --var ...
+    python -m panelforge qc --table-config enrolment.yaml --year 2018 --var ...
 
 Table configs may hold ``${name}`` placeholders; ``${year}`` is the run's year and other names
 come from ``--var name=value`` (a missing one is an error).

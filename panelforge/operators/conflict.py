@@ -29,7 +29,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelforge.functions.arrays import (
     distinct_non_null_count,

@@ -50,7 +50,7 @@ def _stage_raw(spark, tmp_path):
     raw = str(tmp_path / "raw")
     for y in (1996, 1997):
         part = o.where(F.year("o_orderdate") == y).select(
-            F.col("o_custkey").alias("bene_id"),
+            F.col("o_custkey").alias("person_id"),
             F.lit(y).alias("year"),
             F.array(*[F.when(F.month("o_orderdate") == m, F.col("o_orderstatus")) for m in range(1, 13)]).alias("status"),
             *[F.when(F.month("o_orderdate") == m, F.col("o_totalprice")).alias(f"amt_mo_{m:02d}") for m in range(1, 13)],
@@ -62,42 +62,42 @@ def _stage_raw(spark, tmp_path):
 def test_stage1_stage2_qc_end_to_end(spark, tmp_path):
     raw = _stage_raw(spark, tmp_path)
     inter = str(tmp_path / "inter")
-    cols = ["bene_id", "year", "status"]
-    spec = SelectSpec(name="elig", path_pattern=raw + "/{year}/*.parquet", output_dir=inter, columns=cols,
-                      explode_arrays=True, output_name="elig_{year}", primary_key=["bene_id", "year", "month"])
+    cols = ["person_id", "year", "status"]
+    spec = SelectSpec(name="enrol", path_pattern=raw + "/{year}/*.parquet", output_dir=inter, columns=cols,
+                      explode_arrays=True, output_name="enrol_{year}", primary_key=["person_id", "year", "month"])
     for y in (1996, 1997):
         res = process_year(spark, spec, y)
         n_in = spark.read.parquet(f"{raw}/{y}").count()
         assert res.rows == n_in * 12
-    df = spark.read.parquet(f"{inter}/elig_1996.parquet")
-    assert df.columns == ["bene_id", "year", "filename", "month", "status"]
+    df = spark.read.parquet(f"{inter}/enrol_1996.parquet")
+    assert df.columns == ["person_id", "year", "filename", "month", "status"]
 
-    conf = {"year_min": 1996, "year_max": 1997, "path_pattern": "{basepath}/elig_{year}.parquet",
-            "output_name": "elig_{year_min}_{year_max}", "primary_key": ["bene_id", "year", "month"], "shard_by": "year"}
+    conf = {"year_min": 1996, "year_max": 1997, "path_pattern": "{basepath}/enrol_{year}.parquet",
+            "output_name": "enrol_{year_min}_{year_max}", "primary_key": ["person_id", "year", "month"], "shard_by": "year"}
     out = str(tmp_path / "out")
-    res = build_table(spark, "elig", conf, inter, out)
-    built = spark.read.parquet(f"{out}/elig_array")
+    res = build_table(spark, "enrol", conf, inter, out)
+    built = spark.read.parquet(f"{out}/enrol_array")
     assert sorted(res.shards) == [1996, 1997]
     assert "filename" not in built.columns
-    assert built.select(F.sum(F.size("status"))).first()[0] == spark.read.parquet(f"{inter}/elig_*.parquet").count()
+    assert built.select(F.sum(F.size("status"))).first()[0] == spark.read.parquet(f"{inter}/enrol_*.parquet").count()
 
-    qc = run_qc(spark, spec, f"{inter}/elig_1996.parquet", 1996, qc_dir=str(tmp_path / "qc"))
+    qc = run_qc(spark, spec, f"{inter}/enrol_1996.parquet", 1996, qc_dir=str(tmp_path / "qc"))
     assert qc["status"] == "warn" and qc["duplicate_count"] > 0  # customers with several orders per year
     assert qc["row_count"] == df.count() and qc["null_counts"]["status"] > 0
     assert not any("Missing expected" in w for w in qc["warnings"])
     for f in ("qc.json", "schema_before.json", "schema_after.json", "sample.parquet"):
         assert os.path.exists(tmp_path / "qc" / f)
-    assert json.load(open(tmp_path / "qc" / "qc.json"))["table"] == "elig"
+    assert json.load(open(tmp_path / "qc" / "qc.json"))["table"] == "enrol"
 
 
 def test_q3_unpivot_no_missing_column_warning(spark, tmp_path):
     raw = _stage_raw(spark, tmp_path)
     inter = str(tmp_path / "inter")
     spec = SelectSpec(name="amt", path_pattern=raw + "/{year}/*.parquet", output_dir=inter,
-                      columns=["bene_id", "year"] + [f"amt_mo_{m:02d}" for m in range(1, 13)], monthly_columns=True)
+                      columns=["person_id", "year"] + [f"amt_mo_{m:02d}" for m in range(1, 13)], monthly_columns=True)
     process_year(spark, spec, 1996)
     out = spark.read.parquet(spec.output_path(1996))
-    assert out.columns == ["bene_id", "year", "month", "amt"]
+    assert out.columns == ["person_id", "year", "month", "amt"]
     qc = run_qc(spark, spec, spec.output_path(1996), 1996, qc_dir=str(tmp_path / "qc2"))
     assert not any("Missing expected" in w for w in qc["warnings"])
 
@@ -135,7 +135,7 @@ def test_qc_report_multi_year(spark):
 
 def test_backfill_builds_only_missing(spark, tmp_path):
     raw = _stage_raw(spark, tmp_path)
-    spec = SelectSpec(name="b", path_pattern=raw + "/{year}/*.parquet", output_dir=str(tmp_path / "o"), columns=["bene_id", "year"])
+    spec = SelectSpec(name="b", path_pattern=raw + "/{year}/*.parquet", output_dir=str(tmp_path / "o"), columns=["person_id", "year"])
     first = backfill(spark, spec, [1996])
     second = backfill(spark, spec, [1996, 1997])
     assert [r["status"] for r in first] == ["built"]
@@ -144,6 +144,6 @@ def test_backfill_builds_only_missing(spark, tmp_path):
 
 def test_select_year_explode_wins(spark, tmp_path):
     raw = _stage_raw(spark, tmp_path)
-    spec = SelectSpec(name="x", path_pattern=raw + "/1996/*.parquet", columns=["bene_id", "status", "amt_mo_01"],
+    spec = SelectSpec(name="x", path_pattern=raw + "/1996/*.parquet", columns=["person_id", "status", "amt_mo_01"],
                       explode_arrays=True, monthly_columns=True)
-    assert select_year(spark, spec).columns == ["bene_id", "amt_mo_01", "filename", "month", "status"]
+    assert select_year(spark, spec).columns == ["person_id", "amt_mo_01", "filename", "month", "status"]

@@ -54,10 +54,10 @@ def test_u4_conflict(spark):
 
 
 def test_union_case_insensitive_names(spark):
-    a = spark.createDataFrame([(1,)], "Bene_ID int")
-    b = spark.createDataFrame([(2,)], "bene_id int")
+    a = spark.createDataFrame([(1,)], "Person_ID int")
+    b = spark.createDataFrame([(2,)], "person_id int")
     out = union_by_name([a, b])
-    assert out.columns == ["Bene_ID"] and out.count() == 2
+    assert out.columns == ["Person_ID"] and out.count() == 2
 
 
 def test_u5_all_missing_years_listed(spark, tmp_path):
