@@ -179,7 +179,7 @@ def sql_conflict_hot_key():
         f"SELECT l_orderkey, CASE WHEN n > {m} THEN CAST(ceil(n / {m}.0) AS BIGINT) ELSE 1 END AS n_pieces, "
         f"CAST(CASE WHEN n > {m} THEN 1 ELSE 0 END AS INTEGER) AS first_part, "
         f"CAST(CASE WHEN n > {m} THEN ceil(n / {m}.0) ELSE 0 END AS INTEGER) AS last_part, "
-        "n AS n_rows, 0 AS oversized_pieces, "
+        "n AS n_rows, CAST(0 AS BIGINT) AS oversized_pieces, "
         + ", ".join(f"n_distinct_{c}" for c in HOT_COLUMNS)
         + " FROM g"
     )
