@@ -30,13 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from panelforge.functions.arrays import (
-    distinct_non_null_count,
-    hashable_equality,
-    presence_count,
-    set_input,
-    singleton,
-)
+from panelforge.functions.arrays import distinct_non_null_count, hashable_equality, set_input
 from panelforge.functions.names import col, quote, resolve
 from panelforge.functions.types import contains_map, is_orderable
 from panelforge.session import scratch_path
@@ -150,7 +144,14 @@ def conflict_aggregate(
     loose_out = loose.select(
         *keys,
         F.lit(0).alias(part_col),
-        *[e for v in values for e in (singleton(col(v)).alias(v), presence_count(col(v)).alias(prefix + v))],
+        *[
+            e
+            for v in values
+            for e in (
+                F.expr(f"array({quote(v)})").alias(v),
+                F.expr(f"CAST(CASE WHEN {quote(v)} IS NULL THEN 0 ELSE 1 END AS BIGINT)").alias(prefix + v),
+            )
+        ],
     )
 
     n_hot, hot = 0, None
@@ -196,7 +197,7 @@ def conflict_aggregate(
     part = col(part_col) if n_hot else F.lit(0).alias(part_col)
 
     def arr(v: str) -> Column:
-        return F.col("_rows").getField(v)
+        return F.expr(f"_rows.{quote(v)}")
 
     def n_distinct(i: int, v: str) -> Column:
         return F.col(f"_set{i}") if i in by_set else distinct_non_null_count(f"_rows.{quote(v)}", types[v])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.functions.names import col, literal_rows, monthly_groups, resolve
+from panelforge.functions.names import col, literal_rows, monthly_groups, quote, resolve, sql_literal
 from panelforge.operators.union import conform, target_schema
 
 
@@ -25,14 +25,13 @@ def _groups(group_col: str | None):
 
 
 def stack_checks(df: DataFrame, keep: list[str], entries: list[tuple[str, str, str]]) -> DataFrame:
-    """Wide one-row-per-group -> long (check, column_name, value)."""
-    arr = F.array(
-        *[
-            F.struct(F.lit(check).alias("check"), F.lit(name).cast("string").alias("column_name"), F.col(src).cast("long").alias("value"))
-            for check, name, src in entries
-        ]
+    """Wide one-row-per-group -> long (check, column_name, value); one generator expression."""
+    structs = ", ".join(
+        f"named_struct('check', {sql_literal(check)}, 'column_name', CAST({sql_literal(name)} AS STRING), "
+        f"'value', CAST({quote(src)} AS BIGINT))"
+        for check, name, src in entries
     )
-    return df.select(*[col(k) for k in keep], F.inline(arr))
+    return df.select(*[col(k) for k in keep], F.expr(f"inline(array({structs}))"))
 
 
 def profile_wide(df: DataFrame, group_col: str | None = None) -> tuple[DataFrame, list[tuple[str, str, str]]]:
@@ -41,7 +40,7 @@ def profile_wide(df: DataFrame, group_col: str | None = None) -> tuple[DataFrame
     cols = [c for c in df.columns if c != group_col]
     wide = df.groupBy(*_groups(group_col)).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.coalesce(F.sum(F.when(col(c).isNull(), 1).otherwise(0)), F.lit(0)).alias(f"_n{i}") for i, c in enumerate(cols)],
+        *[F.expr(f"coalesce(sum(CASE WHEN {quote(c)} IS NULL THEN 1 ELSE 0 END), 0)").alias(f"_n{i}") for i, c in enumerate(cols)],
     )
     entries = [("row_count", None, "_rows")] + [("null_count", c, f"_n{i}") for i, c in enumerate(cols)]
     return wide, entries
