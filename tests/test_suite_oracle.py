@@ -56,3 +56,25 @@ def test_every_query_has_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "n_distinct_l_partkey" in df.columns
+
+
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_plans(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in PYTHON_NODES)
+
+
+def test_year_slice_filter_reaches_scan(spark):
+    from pyspark.sql import functions as F
+
+    from panelforge.suite import table, year_slice
+
+    df = year_slice(table(spark, SF_SMALL, "orders"), "o_orderdate", 1997).select("o_orderkey")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    assert df.count() == table(spark, SF_SMALL, "orders").where(F.year("o_orderdate") == 1997).count()
