@@ -581,6 +581,52 @@ def sql_incremental_select():
     )
 
 
+def q_stage1_to_stage2(spark, sf_dir):
+    """lineitem delivered as one raw extract per ship year -> Stage 1 per year (projection and
+    lineage) -> Stage 2 (years by name, one row per line key and year, sharded by year) -> per
+    shard: keys, source rows, keys whose quantity conflicts."""
+    li = table(spark, sf_dir, "lineitem")
+    raw, inter, out = (scratch_path(spark, n) for n in ("lineitem-raw", "lineitem-inter", "lineitem-out"))
+
+    def deliver(y: int) -> None:
+        write_parquet(year_slice(li, "l_shipdate", y).withColumn("year", F.lit(y)), f"{raw}/{y}")
+
+    with ThreadPoolExecutor(max_workers=len(YEARS)) as pool:
+        list(pool.map(deliver, YEARS))
+    select = SelectSpec(
+        name="lineitem",
+        path_pattern=raw + "/{year}/*.parquet",
+        output_dir=inter,
+        columns=["l_orderkey", "l_linenumber", "year", "l_quantity", "l_returnflag", "l_shipdate"],
+    )
+    backfill(spark, select, YEARS, concurrent_years=4)
+    build = BuildSpec(
+        name="lineitem",
+        year_min=YEARS[0],
+        year_max=YEARS[-1],
+        path_pattern="{basepath}/lineitem_{year}.parquet",
+        output_name="lineitem_{year_min}_{year_max}",
+        primary_key=["l_orderkey", "l_linenumber", "year"],
+        shard_by="year",
+    )
+    build_table(spark, "lineitem", build, inter, out)
+    built = spark.read.parquet(f"{out}/lineitem_array")
+    return built.groupBy("year").agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum(F.size("l_quantity")).alias("n_rows"),
+        F.sum(F.when(F.col("n_distinct_l_quantity") > 1, 1).otherwise(0)).alias("n_conflicting_keys"),
+    )
+
+
+def sql_stage1_to_stage2():
+    return (
+        "WITH s AS (SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS year, l_quantity FROM lineitem), "
+        "g AS (SELECT year, l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT l_quantity) AS nd FROM s GROUP BY ALL) "
+        "SELECT year, count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_rows, "
+        "CAST(count(*) FILTER (WHERE nd > 1) AS BIGINT) AS n_conflicting_keys FROM g GROUP BY year"
+    )
+
+
 # ---------------------------------------------------------------------------------------------
 # quality checks
 
@@ -697,6 +743,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flat_vs_array": q_flat_vs_array,
         "backfill": q_backfill,
         "incremental_select": q_incremental_select,
+        "stage1_to_stage2": q_stage1_to_stage2,
         "qc_null_counts": q_qc_null_counts,
         "qc_key_uniqueness": q_qc_key_uniqueness,
         "qc_row_uniqueness": q_qc_row_uniqueness,
@@ -727,6 +774,7 @@ def oracle_sql() -> dict[str, str]:
         "flat_vs_array": sql_flat_vs_array(),
         "backfill": sql_backfill(),
         "incremental_select": sql_incremental_select(),
+        "stage1_to_stage2": sql_stage1_to_stage2(),
         "qc_null_counts": sql_qc_null_counts(),
         "qc_key_uniqueness": sql_qc_key_uniqueness(),
         "qc_row_uniqueness": sql_qc_row_uniqueness(),
