@@ -89,15 +89,15 @@ def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict)
     """
     spark = keyed.sparkSession
     obs = Observation("panelforge_key_sizes")
-    sizes = keyed.groupBy(_key_hash(pk).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = keyed.groupBy(_key_hash(pk).alias("__pf_h")).agg(F.count(F.lit(1)).alias("__pf_n"))
     sizes = sizes.observe(
         obs,
         F.count(F.lit(1)).alias("n_keys"),
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)), F.lit(0)).alias("n_duplicate_keys"),
-        F.coalesce(F.max("_n"), F.lit(0)).alias("max_group_rows"),
+        F.coalesce(F.sum(F.when(F.col("__pf_n") > 1, 1).otherwise(0)), F.lit(0)).alias("n_duplicate_keys"),
+        F.coalesce(F.max("__pf_n"), F.lit(0)).alias("max_group_rows"),
     )
-    hot = sizes.where(F.col("_n") > max_array_len).select(
-        "_h", F.ceil(F.col("_n") / F.lit(max_array_len)).cast("int").alias("_parts")
+    hot = sizes.where(F.col("__pf_n") > max_array_len).select(
+        "__pf_h", F.ceil(F.col("__pf_n") / F.lit(max_array_len)).cast("int").alias("__pf_parts")
     )
     path = scratch_path(spark, "hot-keys")
     n_hot = write_parquet(hot, path).rows
@@ -160,13 +160,13 @@ def conflict_aggregate(
 
     if n_hot:
         hk = F.broadcast(hot) if n_hot <= broadcast_limit else hot
-        piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts")) + F.lit(1)
+        piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__pf_parts")) + F.lit(1)
         rows = (
-            keyed.withColumn("_h", _key_hash(pk))
-            .join(hk, on="_h", how="left")
+            keyed.withColumn("__pf_h", _key_hash(pk))
+            .join(hk, on="__pf_h", how="left")
             .select(
                 *keys,
-                F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(piece).cast("int").alias(part_col),
+                F.when(F.col("__pf_parts").isNull(), F.lit(0)).otherwise(piece).cast("int").alias(part_col),
                 *[col(v) for v in values],
             )
         )
@@ -191,16 +191,16 @@ def conflict_aggregate(
     # array_distinct compares such elements pairwise
     by_set = [i for i, v in enumerate(values) if not hashable_equality(types[v])]
     grouped = rows.groupBy(*group_cols).agg(
-        collected.alias("_rows"),
-        *[F.size(F.collect_set(set_input(col(values[i]), types[values[i]]))).cast("long").alias(f"_set{i}") for i in by_set],
+        collected.alias("__pf_rows"),
+        *[F.size(F.collect_set(set_input(col(values[i]), types[values[i]]))).cast("long").alias(f"__pf_set{i}") for i in by_set],
     )
     part = col(part_col) if n_hot else F.lit(0).alias(part_col)
 
     def arr(v: str) -> Column:
-        return F.expr(f"_rows.{quote(v)}")
+        return F.expr(f"__pf_rows.{quote(v)}")
 
     def n_distinct(i: int, v: str) -> Column:
-        return F.col(f"_set{i}") if i in by_set else distinct_non_null_count(f"_rows.{quote(v)}", types[v])
+        return F.col(f"__pf_set{i}") if i in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])
 
     keyed_out = grouped.select(
         *keys,
@@ -213,14 +213,14 @@ def conflict_aggregate(
         # to the hot hashes, then a distributed distinct count (the shuffle carries distinct
         # (key, value) pairs of split-group rows only; no group is gathered). Runs only when
         # some group exceeds max_array_len.
-        hk_keys = F.broadcast(hot.select("_h")) if n_hot <= broadcast_limit else hot.select("_h")
-        hot_rows = keyed.withColumn("_h", _key_hash(pk)).join(hk_keys, on="_h", how="left_semi")
+        hk_keys = F.broadcast(hot.select("__pf_h")) if n_hot <= broadcast_limit else hot.select("__pf_h")
+        hot_rows = keyed.withColumn("__pf_h", _key_hash(pk)).join(hk_keys, on="__pf_h", how="left_semi")
 
         def distinct_input(v: str) -> Column:
             return set_input(col(v), types[v])
 
         nd = hot_rows.groupBy(*keys).agg(
-            *[F.count_distinct(distinct_input(v)).alias(f"_nd{i}") for i, v in enumerate(values)]
+            *[F.count_distinct(distinct_input(v)).alias(f"__pf_nd{i}") for i, v in enumerate(values)]
         )
         nd = F.broadcast(nd) if n_hot <= broadcast_limit else nd
         keyed_out = keyed_out.join(nd, on=pk, how="left").select(
@@ -229,7 +229,7 @@ def conflict_aggregate(
             *[
                 e
                 for i, v in enumerate(values)
-                for e in (col(v), F.coalesce(F.col(f"_nd{i}"), col(prefix + v)).alias(prefix + v))
+                for e in (col(v), F.coalesce(F.col(f"__pf_nd{i}"), col(prefix + v)).alias(prefix + v))
             ],
         )
 

@@ -39,10 +39,10 @@ def profile_wide(df: DataFrame, group_col: str | None = None) -> tuple[DataFrame
     group, plus the (check, column, field) entries that name its fields."""
     cols = [c for c in df.columns if c != group_col]
     wide = df.groupBy(*_groups(group_col)).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.expr(f"coalesce(sum(CASE WHEN {quote(c)} IS NULL THEN 1 ELSE 0 END), 0)").alias(f"_n{i}") for i, c in enumerate(cols)],
+        F.count(F.lit(1)).alias("__pf_rows"),
+        *[F.expr(f"coalesce(sum(CASE WHEN {quote(c)} IS NULL THEN 1 ELSE 0 END), 0)").alias(f"__pf_n{i}") for i, c in enumerate(cols)],
     )
-    entries = [("row_count", None, "_rows")] + [("null_count", c, f"_n{i}") for i, c in enumerate(cols)]
+    entries = [("row_count", None, "__pf_rows")] + [("null_count", c, f"__pf_n{i}") for i, c in enumerate(cols)]
     return wide, entries
 
 
@@ -63,9 +63,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def _uniqueness(df: DataFrame, cols: list[str], group_col: str | None, distinct_name: str) -> DataFrame:
     g = _groups(group_col)
-    per_value = df.groupBy(*g, *[col(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    per_value = df.groupBy(*g, *[col(c) for c in cols]).agg(F.count(F.lit(1)).alias("__pf_n"))
     out = per_value.groupBy(*g).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("row_count"),
+        F.coalesce(F.sum("__pf_n"), F.lit(0)).cast("long").alias("row_count"),
         F.count(F.lit(1)).alias(distinct_name),
     )
     return out.select(*g, "row_count", distinct_name, (F.col("row_count") - F.col(distinct_name)).alias("duplicate_count"))
@@ -152,11 +152,11 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
     for t in tagged[1:]:
         union = union.union(t)
     names = [f.name for f in target.fields]
-    wide = union.groupBy(col(label_col)).agg(*[F.count(col(c)).alias(f"_c{i}") for i, c in enumerate(names)])
+    wide = union.groupBy(col(label_col)).agg(*[F.count(col(c)).alias(f"__pf_c{i}") for i, c in enumerate(names)])
     counts = wide.select(
         col(label_col),
         F.inline(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("n_non_null")) for i, c in enumerate(names)])
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__pf_c{i}").alias("n_non_null")) for i, c in enumerate(names)])
         ),
     )
     # both sides are bounded by (slices x columns): metadata, not data

@@ -141,3 +141,10 @@ def test_nested_distinct_count_is_linear(spark):
     r = conflict_aggregate(df, ["k"], max_array_len=None).select("n_distinct_a", "n_distinct_s", F.size("a").alias("n")).first()
     assert (r["n_distinct_a"], r["n_distinct_s"], r["n"]) == (20000, 7, n)
     assert time.perf_counter() - t < 15  # the pairwise array_distinct path takes ~20 s here
+
+
+def test_user_columns_named_like_internal_helpers(spark):
+    df = spark.createDataFrame([(1, 1, 2, 3, 4), (1, 5, 6, 7, 8)], "k int, _rows int, _h int, _n int, _parts int")
+    r = rows(conflict_aggregate(df, ["k"], max_array_len=1))[0:1]
+    assert sorted(sum((x["_rows"] for x in rows(conflict_aggregate(df, ["k"], max_array_len=1))), [])) == [1, 5]
+    assert r and r[0]["n_distinct__h"] == 2
