@@ -129,6 +129,8 @@ def read_union(
     """
     frames = [spark.read.parquet(p) for p in paths]
     schemas = [f.schema for f in frames]
+    for line in drift_lines(schemas, paths, ignore=drop_cols):
+        LOGGER.warning("schema drift: %s", line)
     if all(s == schemas[0] for s in schemas[1:]):
         out = spark.read.schema(schemas[0]).parquet(*paths)
     else:
@@ -137,3 +139,25 @@ def read_union(
     for c in drop_cols:
         out = out.drop(c)
     return out
+
+
+def drift_lines(schemas: list[T.StructType], labels: list[str], ignore: tuple[str, ...] = ()) -> list[str]:
+    """Human-readable drift between slices, from their schemas only (no data is read): columns
+    absent from some slices, and columns whose type differs between slices."""
+    skip = {c.lower() for c in ignore}
+    seen: dict[str, dict[str, str]] = {}
+    spelled: dict[str, str] = {}
+    for schema, label in zip(schemas, labels):
+        for f in schema.fields:
+            if f.name.lower() in skip:
+                continue
+            spelled.setdefault(f.name.lower(), f.name)
+            seen.setdefault(f.name.lower(), {})[label] = f.dataType.simpleString()
+    out = []
+    for key, by_label in seen.items():
+        absent = [lb for lb in labels if lb not in by_label]
+        if absent:
+            out.append(f"column '{spelled[key]}' absent from {absent} (read as NULL there)")
+        if len(set(by_label.values())) > 1:
+            out.append(f"column '{spelled[key]}' has types {by_label} (widened)")
+    return out

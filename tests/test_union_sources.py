@@ -113,3 +113,14 @@ def test_select_columns(spark):
         select_columns(df, [{"a": "int"}])
     with pytest.raises(KeyError):
         select_columns(df, ["a", "nope", "zip"])
+
+
+def test_drift_lines():
+    from panelforge.sources.parquet import drift_lines
+
+    a = T.StructType([T.StructField("a", I), T.StructField("filename", S)])
+    b = T.StructType([T.StructField("a", L), T.StructField("b", S)])
+    lines = drift_lines([a, b], ["y1", "y2"], ignore=("filename",))
+    assert any("'a' has types" in x for x in lines)
+    assert any("'b' absent from ['y1']" in x for x in lines)
+    assert not any("filename" in x for x in lines)
