@@ -27,13 +27,13 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.arrays import distinct_non_null_count, hashable_equality, set_input
 from panelforge.functions.names import col, quote, resolve
 from panelforge.functions.types import contains_map, is_orderable
-from panelforge.session import scratch_path
+from panelforge.session import observation, scratch_path
 from panelforge.sinks.parquet import write_parquet
 
 LOGGER = logging.getLogger(__name__)
@@ -88,7 +88,7 @@ def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict)
     ordinary key as hot, which splits it into pieces but never changes a value.
     """
     spark = keyed.sparkSession
-    obs = Observation("panelforge_key_sizes")
+    obs = observation("key_sizes")
     sizes = keyed.groupBy(_key_hash(pk).alias("__pf_h")).agg(F.count(F.lit(1)).alias("__pf_n"))
     sizes = sizes.observe(
         obs,

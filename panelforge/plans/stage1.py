@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.project import select_columns
+from panelforge.session import observation
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.sinks.parquet import WriteResult, write_parquet
 from panelforge.sources.parquet import glob_parquet, read_with_lineage
@@ -55,7 +56,7 @@ def process_year(
     Rows read and rows written are both observed during the single write job and logged.
     """
     spec = as_select_spec(spec)
-    loaded = Observation(f"panelforge_loaded_{spec.name}_{year}")
+    loaded = observation(f"loaded_{year}")
     df = select_year(spark, spec, year, loaded=loaded)
     if preview:
         LOGGER.info("preview:\n%s", "\n".join(str(r) for r in df.limit(5).collect()))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.conflict import conflict_aggregate
+from panelforge.session import observation
 from panelforge.sinks.parquet import WriteResult, write_table
 from panelforge.sources.parquet import read_union, verify_paths_exist
 from panelforge.specs import BuildSpec
@@ -57,7 +58,7 @@ def build_table(
     statistics (keys, duplicated keys, split groups) come from the aggregation's key pass.
     """
     spec = as_build_spec(name, conf)
-    loaded = Observation(f"panelforge_loaded_{spec.name}")
+    loaded = observation("loaded")
     df = build_table_df(spark, name, spec, basepath, loaded=loaded, **aggregate_options)
     res = write_table(
         df,

@@ -52,3 +52,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the shared checkpoint root for staged tables."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def observation(label: str):
+    """A new ``Observation`` with a unique name: metrics are matched to queries by name, so
+    concurrent jobs (several years at once) must never share one."""
+    from pyspark.sql import Observation
+
+    return Observation(f"panelforge_{label}_{uuid.uuid4().hex[:12]}")

@@ -12,10 +12,11 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.names import col
+from panelforge.session import observation
 from panelforge.sources import hadoop_fs
 
 LOGGER = logging.getLogger(__name__)
@@ -35,7 +36,7 @@ class WriteResult:
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
     """Write ``df`` as a Parquet dataset at ``path``; the row count is observed during the write
     (no second job)."""
-    obs = Observation("panelforge_write")
+    obs = observation("write")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
     rows = int(obs.get["rows"])
     LOGGER.info("wrote %s rows to %s", f"{rows:,}", path)
@@ -44,7 +45,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> WriteRes
 
 def write_sharded(df: DataFrame, path: str, shard_col: str) -> WriteResult:
     """One pass, partitioned by ``shard_col``; only the shards present in ``df`` are replaced."""
-    obs = Observation("panelforge_sharded_write")
+    obs = observation("sharded_write")
     observed = df.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),

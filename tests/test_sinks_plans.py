@@ -147,3 +147,16 @@ def test_select_year_explode_wins(spark, tmp_path):
     spec = SelectSpec(name="x", path_pattern=raw + "/1996/*.parquet", columns=["person_id", "status", "amt_mo_01"],
                       explode_arrays=True, monthly_columns=True)
     assert select_year(spark, spec).columns == ["person_id", "amt_mo_01", "filename", "month", "status"]
+
+
+def test_concurrent_writes_observe_their_own_counts(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from panelforge.sinks.parquet import write_parquet
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    parts = {n: li.where(F.col("l_linenumber") == n) for n in range(1, 7)}
+    want = {n: df.count() for n, df in parts.items()}
+    with ThreadPoolExecutor(6) as pool:
+        got = dict(zip(parts, pool.map(lambda n: write_parquet(parts[n], str(tmp_path / f"p{n}")).rows, parts)))
+    assert got == want
