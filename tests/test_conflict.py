@@ -148,3 +148,16 @@ def test_user_columns_named_like_internal_helpers(spark):
     r = rows(conflict_aggregate(df, ["k"], max_array_len=1))[0:1]
     assert sorted(sum((x["_rows"] for x in rows(conflict_aggregate(df, ["k"], max_array_len=1))), [])) == [1, 5]
     assert r and r[0]["n_distinct__h"] == 2
+
+
+def test_edge_inputs(spark):
+    empty = spark.createDataFrame([], "k int, v string")
+    out = conflict_aggregate(empty, ["k"])
+    assert out.count() == 0 and out.columns == ["k", "array_part", "v", "n_distinct_v"]
+    all_null = spark.createDataFrame([(None, "a"), (None, "a")], "k int, v string")
+    assert conflict_aggregate(all_null, ["k"]).count() == 2
+    keys_only = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    got = sorted((r["k"] is None, r["k"], r["array_part"]) for r in conflict_aggregate(keys_only, ["k"]).collect())
+    assert got == [(False, 1, 0), (False, 2, 0), (True, None, 0)]
+    keys_only_hot = conflict_aggregate(spark.createDataFrame([(1,)] * 5, "k int"), ["k"], max_array_len=2)
+    assert keys_only_hot.count() >= 1 and all(r["array_part"] >= 1 for r in keys_only_hot.collect())

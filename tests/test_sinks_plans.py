@@ -160,3 +160,11 @@ def test_concurrent_writes_observe_their_own_counts(spark, tmp_path):
     with ThreadPoolExecutor(6) as pool:
         got = dict(zip(parts, pool.map(lambda n: write_parquet(parts[n], str(tmp_path / f"p{n}")).rows, parts)))
     assert got == want
+
+
+def test_qc_report_on_empty_table(spark):
+    df = spark.createDataFrame([], "k int, year int")
+    rep = {(r["year"], r["check"], r["column_name"]): (r["value"], r["status"]) for r in rows(qc_report(df, "year", [2000], ["k"]))}
+    assert rep[(2000, "row_count", None)] == (0, "warn")
+    assert rep[(2000, "null_count", "k")] == (0, "ok")
+    assert rep[(2000, "duplicate_count", None)] == (0, "ok")
