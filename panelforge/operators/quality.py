@@ -99,6 +99,24 @@ def missing_columns(columns: list[str], expected: list[str]) -> list[str]:
     return [e for e in expected if e.lower() not in have]
 
 
+def expected_columns_report(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Per expected column (expected order): ``present`` (case-insensitive match) and
+    ``n_non_null`` (its filled values; 0 when absent), from one aggregate over the present ones."""
+    have = {c.lower(): c for c in df.columns}
+    present = [e for e in expected if e.lower() in have]
+    counts = df.agg(
+        F.count(F.lit(1)).alias("__pf_rows"),
+        *[F.count(col(have[e.lower()])).alias(f"__pf_c{i}") for i, e in enumerate(present)],
+    )
+    idx = {e: i for i, e in enumerate(present)}
+    structs = ", ".join(
+        f"named_struct('column_name', {sql_literal(e)}, 'present', {'true' if e in idx else 'false'}, "
+        f"'n_non_null', {f'__pf_c{idx[e]}' if e in idx else 'CAST(0 AS BIGINT)'})"
+        for e in expected
+    )
+    return counts.select(F.expr(f"inline(array({structs}))"))
+
+
 def expected_output_columns(spec) -> list[str]:
     """Columns a Stage 1 output should have, derived after the reshape (a monthly unpivot
     replaces its ``<base>_mo_NN`` names by the base names and the period column)."""
@@ -172,6 +190,7 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
 
 
 __all__ = [
+    "expected_columns_report",
     "sample_rows",
     "expected_output_columns",
     "profile_wide",

@@ -18,7 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_keys, nest_children
-from panelforge.operators.quality import key_uniqueness, null_counts, row_uniqueness, sample_rows, schema_drift
+from panelforge.operators.quality import (
+    expected_columns_report,
+    key_uniqueness,
+    null_counts,
+    row_uniqueness,
+    sample_rows,
+    schema_drift,
+)
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.plans.backfill import backfill
 from panelforge.plans.qc import qc_report
@@ -677,6 +684,25 @@ def sql_qc_row_uniqueness():
 LINEITEM_COLUMNS = LINEITEM_PK[:1] + LINEITEM_VALUES[:2] + LINEITEM_PK[1:] + LINEITEM_VALUES[2:]
 
 
+# a table spec expecting two columns the customer extract does not have
+CUSTOMER_EXPECTED = ["c_custkey", "c_name", "c_phone", "c_nationkey", "c_address", "c_acctbal", "C_MKTSEGMENT"]
+
+
+def q_qc_missing_columns(spark, sf_dir):
+    return expected_columns_report(table(spark, sf_dir, "customer"), CUSTOMER_EXPECTED)
+
+
+def sql_qc_missing_columns():
+    have = {"c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"}
+    parts = [
+        f"SELECT '{c}' AS column_name, true AS present, count({c}) AS n_non_null FROM customer"
+        if c.lower() in have
+        else f"SELECT '{c}' AS column_name, false AS present, CAST(0 AS BIGINT) AS n_non_null"
+        for c in CUSTOMER_EXPECTED
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def q_qc_sample(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return sample_rows(li, 100, order_by=LINEITEM_COLUMNS)
@@ -748,6 +774,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qc_key_uniqueness": q_qc_key_uniqueness,
         "qc_row_uniqueness": q_qc_row_uniqueness,
         "qc_report": q_qc_report,
+        "qc_missing_columns": q_qc_missing_columns,
         "qc_sample": q_qc_sample,
     }
 
@@ -779,5 +806,6 @@ def oracle_sql() -> dict[str, str]:
         "qc_key_uniqueness": sql_qc_key_uniqueness(),
         "qc_row_uniqueness": sql_qc_row_uniqueness(),
         "qc_report": sql_qc_report(),
+        "qc_missing_columns": sql_qc_missing_columns(),
         "qc_sample": sql_qc_sample(),
     }
