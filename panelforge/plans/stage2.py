@@ -54,11 +54,13 @@ def build_table(
 ) -> WriteResult:
     """Validate -> verify inputs -> load -> aggregate or not -> write (one of four outcomes).
 
-    Rows loaded and rows written are observed during the write job and logged; the key
-    statistics (keys, duplicated keys, split groups) come from the aggregation's key pass.
+    Rows loaded and rows written are observed during the write job; with a key, the key pass
+    adds keys, duplicated keys, the largest group and the number of split groups. All are
+    logged and returned in ``WriteResult.stats``.
     """
     spec = as_build_spec(name, conf)
     loaded = observation("loaded")
+    stats = aggregate_options.setdefault("stats", {}) if spec.aggregated else {}
     df = build_table_df(spark, name, spec, basepath, loaded=loaded, **aggregate_options)
     res = write_table(
         df,
@@ -68,5 +70,6 @@ def build_table(
         shard_by=spec.shard_by,
         aggregated=spec.aggregated,
     )
-    LOGGER.info("%s: %s rows loaded, %s rows written to %s", spec.name, f"{loaded.get['rows']:,}", f"{res.rows:,}", res.path)
+    res.stats = {"rows_loaded": int(loaded.get["rows"]), **stats}
+    LOGGER.info("%s: %s rows loaded, %s rows written to %s", spec.name, f"{res.stats['rows_loaded']:,}", f"{res.rows:,}", res.path)
     return res

@@ -31,6 +31,7 @@ class WriteResult:
     shards: list = field(default_factory=list)
     null_shard_rows: int = 0
     warnings: list[str] = field(default_factory=list)
+    stats: dict = field(default_factory=dict)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:

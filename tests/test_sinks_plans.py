@@ -78,6 +78,9 @@ def test_stage1_stage2_qc_end_to_end(spark, tmp_path):
     res = build_table(spark, "enrol", conf, inter, out)
     built = spark.read.parquet(f"{out}/enrol_array")
     assert sorted(res.shards) == [1996, 1997]
+    n_loaded = spark.read.parquet(f"{inter}/enrol_*.parquet").count()
+    assert res.stats["rows_loaded"] == n_loaded and res.stats["n_keys"] == res.rows
+    assert res.stats["n_hot_keys"] == 0 and res.stats["n_duplicate_keys"] > 0
     assert "filename" not in built.columns
     assert built.select(F.sum(F.size("status"))).first()[0] == spark.read.parquet(f"{inter}/enrol_*.parquet").count()
 
