@@ -38,7 +38,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.components import connected_components
 from panelforge.llm.textops import U64, mix, shingle_sets
-from panelforge.llm.tables import parts, ship, staged
+from panelforge.llm.tables import only, parts, ship, staged
 
 #: Pivots that an open region takes in each of the rounds after the first.
 PIVOTS = (3, 5)
@@ -92,9 +92,9 @@ def _signed(texts: DataFrame, k: int, t: Fraction | None) -> DataFrame:
 
 def _full_sets(texts: DataFrame, entries: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(rep, entry) with all shingles, for the ``wanted``(rep), read again from the texts."""
-    docs = entries.join(wanted, "rep", "left_semi").select("doc")
-    full = _signed(texts.join(docs, "doc", "left_semi"), k, None)
-    return full.join(wanted, "rep", "left_semi").select("rep", "entry").dropDuplicates(["rep"])
+    docs = staged(only(entries.select("rep", "doc"), wanted, "rep").select("doc"), "jaccard-docs")
+    full = _signed(only(texts, docs, "doc"), k, None)
+    return only(full, wanted, "rep").select("rep", "entry").dropDuplicates(["rep"])
 
 
 _AS_LONGS = "array<bigint>"
@@ -202,18 +202,19 @@ def _overlap_udf():
     return arrow_udf(overlap, "bigint").asNondeterministic()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+
+
 def _linked(pairs: DataFrame, entries: DataFrame, texts: DataFrame, k: int, t: Fraction) -> DataFrame:
     """The (a, b) of ``pairs`` that really link, each measured on the full shingle sets."""
     size = entries.select("rep", "n")
-    near = (
-        pairs.join(size.toDF("a", "na"), "a")
-        .join(size.toDF("b", "nb"), "b")
-        .where(_enough(F.least("na", "nb"), F.greatest("na", "nb"), t))
-    )
-    entry = entries.select("rep", "entry")
+    near = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+    near = staged(near.where(_enough(F.least("na", "nb"), F.greatest("na", "nb"), t)), "jaccard-sized")
+    entry = only(entries.select("rep", "entry"), staged(_ends(near), "jaccard-ends"), "rep")
     near = near.join(entry.toDF("a", "ea"), "a").join(entry.toDF("b", "eb"), "b")
     near = staged(near.where(_bound_udf(t)("na", "ea", "nb", "eb")).select("a", "b", "na", "nb"), "jaccard-near")
-    wanted = staged(near.select(F.col("a").alias("rep")).unionByName(near.select(F.col("b").alias("rep"))).distinct(), "jaccard-wanted")
+    wanted = staged(_ends(near), "jaccard-wanted")
     sets = staged(_full_sets(texts, entries, wanted, k), "jaccard-sets")
     both = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     both = both.select("a", "b", "na", "nb", _overlap_udf()("sa", "sb").alias("o"))
@@ -264,7 +265,7 @@ def _cluster_links(region: DataFrame, entries: DataFrame, texts: DataFrame, k: i
     main = comps.groupBy("cluster").agg(F.max(F.struct("m", "comp")).alias("main"), F.sum("m").alias("m"))
     main = main.select("cluster", F.col("main.comp").alias("main"), "m", (F.col("m") - F.col("main.m")).alias("outside"))
     docs = staged(docs.join(main, "cluster"), "jaccard-cluster")
-    sets = _full_sets(texts, entries, docs.select("rep"), k).withColumnRenamed("entry", "s")
+    sets = _full_sets(texts, entries, staged(docs.select("rep").distinct(), "jaccard-reps"), k).withColumnRenamed("entry", "s")
     docs = docs.join(sets, "rep")
     deal = lambda total, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col(total) / BLOCK))
     copies = lambda total: F.explode(F.sequence(F.lit(0), F.ceil(F.col(total) / BLOCK) - 1))
@@ -324,16 +325,15 @@ def jaccard_join(
     ship(docs.sparkSession)
     t = Fraction(threshold)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    sig = staged(_signed(texts, shingle_words, t), "jaccard-signatures")
-    classes = staged(
-        sig.where("n > 0 and doc is not null").groupBy("rep").agg(F.min("doc").alias("class_id")), "jaccard-classes"
-    )
-    heads = classes.select("rep", F.col("class_id").alias("doc"))
-    entries = staged(sig.join(heads, ["rep", "doc"], "left_semi").dropDuplicates(["rep"]), "jaccard-entries")
+    sig = _signed(texts, shingle_words, t).withColumn("row", F.monotonically_increasing_id())
+    sig = staged(sig, "jaccard-signatures")
+    classes = sig.where("n > 0 and doc is not null").groupBy("rep").agg(F.min(F.struct("doc", "row")).alias("head"))
+    classes = staged(classes.select("rep", F.col("head.doc").alias("class_id"), F.col("head.row").alias("row")), "jaccard-classes")
+    entries = staged(only(sig, classes.select("row"), "row").drop("row"), "jaccard-entries")
     links = _join_entries(entries, texts.where("doc is not null"), shingle_words, t, region_rows, wide)
 
     reach = connected_components(links).select(F.col("id").alias("rep"), "component")
-    known = classes.join(reach, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    known = classes.drop("row").join(reach, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = known.groupBy("component").agg(F.min("class_id").alias("component_id"))
     known = known.join(least, "component").select("rep", "class_id", "component_id")
     own = F.when(F.col("n") > 0, F.col("rep"))  # empty texts are no class
@@ -375,7 +375,7 @@ def _join_entries(entries, texts, k, t, region_rows, wide) -> DataFrame:
     short = size.where(F.col("entered") - F.col("lost") < F.col("need"))
     region = region.select("h", "rep", "pos")
     if not short.isEmpty():
-        full = staged(_full_sets(texts, entries, short.select("rep"), k), "jaccard-full")
+        full = staged(_full_sets(texts, entries, staged(short.select("rep"), "jaccard-short"), k), "jaccard-full")
         every = full.select("rep", F.explode(arrow_udf(_longs, _AS_LONGS).asNondeterministic()("entry")).alias("h"))
         rest = entries.select("rep", "entry").join(short, "rep", "left_anti").unionByName(full)
         region = staged(_shared(_enter(rest, buckets, hot)), "jaccard-regions")

@@ -10,6 +10,7 @@ import zipfile
 
 import panelforge
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.session import scratch_path
 from panelforge.sources.hadoop_fs import delete
@@ -43,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs only the tasks it was running. The folder is removed
@@ -51,7 +52,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
@@ -68,6 +69,21 @@ def clear_staged() -> None:
             pass
 
 
+#: Keys (one 64-bit number each) up to which a semi-join sends them to all executors.
+BROADCAST_KEYS = 2_000_000
+
+
+def only(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """Rows of ``df`` whose long column ``name`` is in ``keys`` (a staged table of distinct values).
+
+    Up to ``BROADCAST_KEYS`` counted keys are broadcast, so that wide rows of ``df`` (texts) are
+    filtered where they are read; beyond that it is an ordinary shuffled semi-join.
+    """
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, name, "left_semi")
+
+
 def parts(spark: SparkSession, rows: int, rows_each: int) -> int:
     """Number of partitions for ``rows``, at least the session's shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / rows_each))
