@@ -1,25 +1,63 @@
-"""Corpus pipeline: quality rules, near duplicates, secrets, packing."""
+"""Corpus pipeline: quality rules, near duplicates, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept. All
+but the last return the columns of ``documents``; their decisions take effect: rejected documents
+go, one document of each group of near duplicates stays, secrets are replaced in the texts. Null
+text is rejected by the quality rules (it has no words). An empty table passes through empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.llm.jaccard import jaccard_join
-from panelforge.llm.tables import staged, table
+from panelforge.llm.packing import pack_mixture
+from panelforge.llm.quality import fit_quality, quality_rules
+from panelforge.llm.queries import vocabulary
+from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secrets
+from panelforge.llm.tables import only, staged, table
+
+RESULT = "_stage_result"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the calibrated regression keep."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules(docs, model, result_col=RESULT)
+    return judged.where(F.col(f"{RESULT}.kept")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    groups = jaccard_join(docs).where("component_id <> doc_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group stays: the one with the smallest id. A null id links with nothing."""
+    groups = jaccard_join(docs)
+    stay = staged(groups.where("component_id = doc_id").select("doc_id").distinct(), "pipeline-stay")
+    return only(docs, stay, "doc_id").unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with each secret replaced; ``n_chars`` counts the new text."""
+    model = fit_secrets(staged(labelled_findings(docs), "secret-labelled"))
+    clean = scan_secrets(docs, model, result_col=RESULT)
+    clean = clean.withColumn("text", F.col(f"{RESULT}.redacted"))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast("long"))
+    return clean.select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens, sources mixed to target shares."""
+    return pack_mixture(docs, vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("packing", packing)]
+#: SQL can't express the stages (a fitted model, tokenization): brute-force tests hold them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; each one's rows are written as Parquet and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

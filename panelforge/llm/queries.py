@@ -5,9 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelforge.llm.jaccard import jaccard_join
-from panelforge.llm.tables import table
+from panelforge.llm.packing import pack_mixture
+from panelforge.llm.quality import fit_quality, quality_rules
+from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secrets
+from panelforge.llm.tables import staged, table
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document and the verdict of the calibrated n-gram regression."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_rules(docs.select("doc_id", "text"), model).select("doc_id", "quality.*")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +33,25 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens, sources mixed to target shares."""
+    return pack_mixture(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in every document, with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_secrets(staged(labelled_findings(docs), "secret-labelled"))
+    found = scan_secrets(docs.select("doc_id", "text"), model).select("doc_id", F.posexplode("secrets.findings").alias("finding", "f"))
+    return found.select("doc_id", "finding", "f.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_quality_rules": op3_quality_rules,
         "op5_jaccard_join": op5_jaccard_join,
+        "op8_mixture_packing": op8_mixture_packing,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
