@@ -43,11 +43,11 @@ from panelforge.llm.tables import only, parts, ship, staged
 #: Pivots that an open region takes in each of the rounds after the first.
 PIVOTS = (3, 5)
 #: Documents of an open region up to which all pairs of its components are measured at once.
-SMALL = 24
+SMALL = 32
 #: Documents in one block of a cluster.
 BLOCK = 512
 #: Components left in a region after round one from which its shingle goes last in the order.
-WIDE = 48
+WIDE = 32
 #: Rows of shingles that one regional task holds.
 REGION_ROWS = 1_500_000
 
@@ -85,16 +85,15 @@ def _signature_udf(k: int, t: Fraction | None):
 
 
 def _signed(texts: DataFrame, k: int, t: Fraction | None) -> DataFrame:
-    """(doc, n, set_id, entry): ``set_id`` is a 64-bit hash of the whole shingle set."""
-    sig = texts.select("doc", _signature_udf(k, t)("text").alias("s"))
-    return sig.select("doc", "s.n", F.xxhash64("s.n", "s.c1", "s.c2").alias("rep"), "s.entry")
+    """(doc, n, c1, c2, entry): ``n``, ``c1`` and ``c2`` tell shingle sets apart."""
+    return texts.select("doc", _signature_udf(k, t)("text").alias("s")).select("doc", "s.*")
 
 
 def _full_sets(texts: DataFrame, entries: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """(rep, entry) with all shingles, for the ``wanted``(rep), read again from the texts."""
-    docs = staged(only(entries.select("rep", "doc"), wanted, "rep").select("doc"), "jaccard-docs")
-    full = _signed(only(texts, docs, "doc"), k, None)
-    return only(full, wanted, "rep").select("rep", "entry").dropDuplicates(["rep"])
+    docs = staged(only(entries.select("rep", "doc", "n", "c1", "c2"), wanted, "rep"), "jaccard-docs")
+    full = _signed(only(texts, docs.select("doc").distinct(), "doc"), k, None)
+    return full.join(docs, ["doc", "n", "c1", "c2"]).select("rep", "entry").dropDuplicates(["rep"])
 
 
 _AS_LONGS = "array<bigint>"
@@ -104,6 +103,15 @@ def _longs(v: pa.Array) -> pa.Array:
     return pa.array([np.frombuffer(x, np.int64) for x in v.to_pylist()], pa.list_(pa.int64()))
 
 
+def _steps(values: np.ndarray) -> bytes:
+    """Differences of neighbours, which compress well, as bytes."""
+    return np.diff(values, prepend=np.int64(0)).tobytes()
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, np.int64))
+
+
 def _enter(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """(rep, entry) -> blocks (bucket, shingles, reps), one for each bucket of an Arrow batch.
 
@@ -117,7 +125,7 @@ def _enter(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
             entry = batch.column("entry")
             sizes = np.array([len(v) // 8 for v in entry.to_pylist()], np.int64)
             h = np.frombuffer(b"".join(entry.to_pylist()), U64)
-            rep = np.repeat(batch.column("rep").to_numpy(), sizes)
+            rep = np.repeat(batch.column("rep").to_numpy(), sizes)  # ascending as rows were numbered
             pos = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
             spread = (rep.astype(U64) % U64(buckets)).astype(np.int64)
@@ -130,7 +138,7 @@ def _enter(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
                 [
                     pa.array(bucket[order][cuts]),
                     pa.array([h[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                    pa.array([rep[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                    pa.array([_steps(rep[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
                     pa.array([pos[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
                 ],
                 schema=schema,
@@ -148,7 +156,7 @@ def _shared(blocks: DataFrame) -> DataFrame:
 
     def meet(key, group):
         h = np.frombuffer(b"".join(group.column("h").to_pylist()), U64)
-        rep = np.frombuffer(b"".join(group.column("rep").to_pylist()), np.int64)
+        rep = np.concatenate([_from_steps(v) for v in group.column("rep").to_pylist()])
         pos = np.frombuffer(b"".join(group.column("pos").to_pylist()), np.int32)
         if key[0].as_py() >= 0:
             order = np.argsort(h)
@@ -327,17 +335,18 @@ def jaccard_join(
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     sig = _signed(texts, shingle_words, t).withColumn("row", F.monotonically_increasing_id())
     sig = staged(sig, "jaccard-signatures")
-    classes = sig.where("n > 0 and doc is not null").groupBy("rep").agg(F.min(F.struct("doc", "row")).alias("head"))
-    classes = staged(classes.select("rep", F.col("head.doc").alias("class_id"), F.col("head.row").alias("row")), "jaccard-classes")
-    entries = staged(only(sig, classes.select("row"), "row").drop("row"), "jaccard-entries")
+    same = ["n", "c1", "c2"]
+    classes = sig.where("n > 0 and doc is not null").groupBy(*same).agg(F.min(F.struct("doc", "row")).alias("head"))
+    # a class goes by the row number of its first document
+    classes = staged(classes.select(*same, F.col("head.doc").alias("class_id"), F.col("head.row").alias("rep")), "jaccard-classes")
+    entries = only(sig.withColumnRenamed("row", "rep"), classes.select("rep"), "rep")
     links = _join_entries(entries, texts.where("doc is not null"), shingle_words, t, region_rows, wide)
 
     reach = connected_components(links).select(F.col("id").alias("rep"), "component")
-    known = classes.drop("row").join(reach, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    known = classes.join(reach, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = known.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    known = known.join(least, "component").select("rep", "class_id", "component_id")
-    own = F.when(F.col("n") > 0, F.col("rep"))  # empty texts are no class
-    out = sig.select("doc", "n", own.alias("rep")).join(known, "rep", "left")
+    known = known.join(least, "component").select(*same, "class_id", "component_id")
+    out = sig.select("doc", *same).join(known, same, "left")  # empty texts are no class
     return out.select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
