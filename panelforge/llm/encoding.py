@@ -51,15 +51,20 @@ class Encoder:
         self.used = 0
         self.flat = [np.zeros(1 << 14, np.int64) for _ in range(3 if self.spans else 1)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _solve(self, new: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(number of ids of each piece, [all ids, and with ``spans`` their begins and ends])."""
         encode = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
         found = encode(new, add_special_tokens=False)
         ids = [e.ids for e in found]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        columns = [np.concatenate([np.array(v, np.int64) for v in ids])]
+        columns = [np.fromiter((x for v in ids for x in v), np.int64, int(sizes.sum()))]
         if self.spans:
             spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
             columns += [spans[:, 0], spans[:, 1]]
+        return sizes, columns
+
+    def _learn(self, new: list[str]) -> None:
+        sizes, columns = self._solve(new)
         at, total = len(self.known), self.used + len(columns[0])
         while len(self.size) < at + len(new):
             self.size, self.first = (np.concatenate([v, np.zeros_like(v)]) for v in (self.size, self.first))
@@ -130,7 +135,7 @@ class Encoder:
             out[1], out[2] = out[1] + shift, out[2] + shift
         return out, np.concatenate([[0], last])[np.searchsorted(starts, offsets)]
 
-    def texts(self, column: pa.Array, max_bytes: int = 8 << 20):
+    def texts(self, column: pa.Array, max_bytes: int = 4 << 20):
         """For each text of the column, its arrays (ids, and spans if asked for). Null counts as empty."""
         for _, _, data, offsets in pieces(column, max_bytes):
             found, first = self.encode(data, offsets)

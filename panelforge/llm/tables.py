@@ -18,12 +18,22 @@ from panelforge.sources.hadoop_fs import delete
 _staged: list[tuple[SparkSession, str]] = []
 
 
+#: Rows and bytes of an Arrow batch, at most: they bound the memory of a Python worker.
+ARROW_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20,
+}
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the executors, once for each context, for their Python workers.
 
     Operators call it before they make a Python function (which notes the shipped files).
     """
     sc = spark.sparkContext
+    for name, most in ARROW_LIMITS.items():  # workers hold a few batches at once, beside the JVM
+        if int(spark.conf.get(name).rstrip("b")) not in range(1, most + 1):
+            spark.conf.set(name, str(most))
     if getattr(sc, "_panelforge_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(panelforge.__file__))

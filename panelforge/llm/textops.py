@@ -63,7 +63,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def pieces(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about ``max_bytes`` (always whole texts): (first row, last row, bytes, offsets)."""
     data, offsets = buffers(texts)
     n, row = len(offsets) - 1, 0

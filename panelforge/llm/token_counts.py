@@ -65,7 +65,7 @@ def token_counts(
         sizes = np.stack([pc.utf8_length(c).to_numpy(zero_copy_only=False) for c in columns], axis=1) if len(columns[0]) else np.zeros((0, len(fields)), np.int64)
         joined = pc.binary_join_element_wise(*columns, "\n")
         tool, out = encoder(vocabulary, lower, spans=True), []
-        for row, _, data, offsets in pieces(joined, 8 << 20):
+        for row, _, data, offsets in pieces(joined, 4 << 20):
             (_, begin, end), first = tool.encode(data, offsets)
             chars = np.concatenate([[0], np.cumsum(~CONTINUATION[data])])
             for i in range(len(offsets) - 1):
