@@ -14,6 +14,7 @@ from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secr
 from panelforge.llm.simple8b import read_token_file, token_file
 from panelforge.llm.tables import staged, table
 from panelforge.llm.token_counts import token_counts
+from panelforge.llm.unigram import decode_pieces, encode_pieces, load_vocabulary
 from panelforge.llm.url_lists import canonical, url_list_join
 from panelforge.llm.vectors import near_vectors
 
@@ -77,6 +78,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs.select("doc_id", "text"), model).select("doc_id", "quality.*")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, and whether decoding them gives its text back (markers as spaces)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = load_vocabulary(vocabulary("piece_bpe_32k.model"))
+    coded = encode_pieces(docs, pieces).select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" ")).alias("text"), "pieces.*")
+    back = decode_pieces(coded, pieces)
+    return back.select("doc_id", "n_tokens", "n_bytes", F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents linked at Jaccard similarity 0.8 on five-word shingles, and their components."""
     return jaccard_join(table(spark, sf_dir, "documents"))
@@ -111,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_lists": op1_url_lists,
         "op2_token_counts": op2_token_counts,
         "op3_quality_rules": op3_quality_rules,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_simple8b": op6_simple8b,
         "op7_sorted_projections": op7_sorted_projections,
