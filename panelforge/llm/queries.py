@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm.jaccard import jaccard_join
+from panelforge.llm.lm_score import backoff_scores
 from panelforge.llm.packing import pack_mixture
 from panelforge.llm.quality import fit_quality, quality_rules
 from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secrets
@@ -108,6 +109,11 @@ def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_mixture(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's stupid-backoff score against the bigram counts of all documents."""
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate for a secret in every document, with the forest's verdict."""
     docs = table(spark, sf_dir, "documents")
@@ -126,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simple8b": op6_simple8b,
         "op7_sorted_projections": op7_sorted_projections,
         "op8_mixture_packing": op8_mixture_packing,
+        "op9_stupid_backoff": op9_stupid_backoff,
         "op10_secret_scan": op10_secret_scan,
     }
 
