@@ -10,10 +10,10 @@ document, so a window of 2r holds everything). The root pivots are therefore the
 * Window: |x - y| <= r|x| for any partner y, hence a partner holds at least one of x's first
   floor(r|x|) + 1 shingles, and x is copied to the regions of these pivots (and of a margin more,
   which is always allowed). Every linked pair meets in at least one region.
-* Recursion inside regions: rounds of document pivots. Every open region measures its documents
-  against its pivots; a document within r is linked. Documents of one component need not meet
-  again and a region whose documents are all in one component is closed, so groups of near copies
-  shrink to their main component and a few outliers, and never give all pairs.
+* Recursion inside regions: first every region measures its documents against one document
+  pivot; a document within r is linked. Documents of one component need not meet again and a
+  region whose documents are all in one component is closed, so groups of near copies shrink to
+  their main component and a few outliers, and never give all pairs.
 * Regions that stay open and hold more than ``SMALL`` documents are joined into clusters; there
   each outlier is measured against all documents, in blocks of bounded size, one task a pair of
   blocks, without writing pairs. In smaller open regions all pairs of different components are
@@ -40,8 +40,6 @@ from panelforge.llm.components import connected_components
 from panelforge.llm.textops import U64, mix, shingle_sets
 from panelforge.llm.tables import only, parts, ship, staged
 
-#: Pivots that an open region takes in each of the rounds after the first.
-PIVOTS = (3, 5)
 #: Documents of an open region up to which all pairs of its components are measured at once.
 SMALL = 32
 #: Documents in one block of a cluster.
@@ -49,7 +47,7 @@ BLOCK = 512
 #: Components left in a region after round one from which its shingle goes last in the order.
 WIDE = 32
 #: Rows of shingles that one regional task holds.
-REGION_ROWS = 1_500_000
+REGION_ROWS = 500_000
 
 
 def window_size(n, t: Fraction):
@@ -229,10 +227,10 @@ def _linked(pairs: DataFrame, entries: DataFrame, texts: DataFrame, k: int, t: F
     return both.where(_enough(F.col("o"), F.col("na") + F.col("nb") - F.col("o"), t)).select("a", "b")
 
 
-def _label(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of each document under the links found so far."""
-    found = connected_components(links).select(F.col("id").alias("rep"), F.col("component").alias("found"))
-    return rows.drop("comp").join(found, "rep", "left").withColumn("comp", F.coalesce("found", "rep")).drop("found")
+def _label(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` with the component of each document."""
+    found = comps.select(F.col("id").alias("rep"), F.col("component").alias("found"))
+    return rows.join(found, "rep", "left").withColumn("comp", F.coalesce("found", "rep")).drop("found")
 
 
 def _open_regions(rows: DataFrame) -> DataFrame:
@@ -371,10 +369,10 @@ def _join_entries(entries, texts, k, t, region_rows, wide) -> DataFrame:
 
     tested = staged(first_round(region), "jaccard-tested")
     links = staged(_linked(tested, entries, texts, k, t), "jaccard-links")
-    region = staged(_label(region, links), "jaccard-regions")
+    comps = connected_components(links)
 
     # common shingles go last; documents without enough others enter with all their shingles
-    common = region.groupBy("h").agg(F.approx_count_distinct("comp", 0.05).alias("m")).where(F.col("m") > wide).select("h")
+    common = _label(region, comps).groupBy("h").agg(F.approx_count_distinct("comp", 0.05).alias("m")).where(F.col("m") > wide).select("h")
     common = staged(common, "jaccard-common")
     lost = region.join(common, "h", "left_semi").groupBy("rep").agg(F.count("*").alias("lost"))
     need = F.expr(f"n * {t.denominator - t.numerator} div {t.denominator} + 1")
@@ -403,25 +401,12 @@ def _join_entries(entries, texts, k, t, region_rows, wide) -> DataFrame:
     region = region.select("h", "rep", F.greatest(F.col("pos") - F.col("lost"), F.lit(0)).cast("int").alias("rank"))
     region = staged(region.unionByName(last).join(size.select("rep", "n"), "rep"), "jaccard-regions")
 
-    def measure(pairs, tested, links):
-        """New pairs are measured; the tables of pairs tested and of links with them."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = staged(pairs.join(seen, ["a", "b"], "left_anti"), "jaccard-pairs")
-        found = staged(_linked(pairs, entries, texts, k, t), "jaccard-found")
-        return staged(seen.unionByName(pairs), "jaccard-tested"), staged(links.unionByName(found), "jaccard-links")
-
-    for turn, slots in enumerate(PIVOTS):
-        region = staged(_open_regions(_label(region, links)), "jaccard-open")
-        slot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(slots))
-        pivots = region.groupBy("h", slot.alias("slot")).agg(F.min(F.struct("rep", "comp", "n", "rank")).alias("b"))
-        pairs = _side(region, "a").join(_side(pivots.select("h", "b.*"), "b"), _may_link(t))
-        tested, links = measure(pairs.select("a", "b"), tested, links)
-
-    region = staged(_open_regions(_label(region, links)), "jaccard-open")
+    region = staged(_open_regions(_label(region, comps)), "jaccard-open")
     many = region.groupBy("h").count().where(F.col("count") > SMALL).select("h")
-    links = staged(links.unionByName(_cluster_links(region.join(many, "h", "left_semi"), entries, texts, k, t)), "jaccard-links")
-    region = region.join(many, "h", "left_anti")
-    region = staged(_open_regions(_label(region, links)), "jaccard-open")
-    pairs = _side(region, "a").join(_side(region, "b"), _may_link(t) & (F.col("a") < F.col("b")))
-    return measure(pairs.select("a", "b"), tested, links)[1]
+    large = region.join(many, "h", "left_semi")
+    small = region.join(many, "h", "left_anti")
+    pairs = _side(small, "a").join(_side(small, "b"), _may_link(t) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = staged(pairs.join(seen, ["a", "b"], "left_anti"), "jaccard-pairs")
+    found = _linked(pairs, entries, texts, k, t)
+    return staged(links.unionByName(found).unionByName(_cluster_links(large, entries, texts, k, t)), "jaccard-links")
