@@ -28,7 +28,7 @@ LETTER[65:91] = LETTER[97:123] = True
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
 #: Pieces that a worker remembers; beyond them it starts again.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 _workers: dict[tuple, Encoder] = {}
 
@@ -50,7 +50,7 @@ class Encoder:
         self.size = np.zeros(1 << 12, np.int64)
         self.first = np.zeros(1 << 12, np.int64)
         self.used = 0
-        self.flat = [np.zeros(1 << 14, np.int64) for _ in range(3 if self.spans else 1)]
+        self.flat = [np.zeros(1 << 14, np.int32) for _ in range(3 if self.spans else 1)]
 
     def _solve(self, new: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
         """(number of ids of each piece, [all ids, and with ``spans`` their begins and ends])."""
@@ -128,7 +128,7 @@ class Encoder:
         size = self.size[word]
         last = np.cumsum(size)
         at = np.repeat(self.first[word] - last + size, size) + np.arange(last[-1])
-        out = [flat[at] for flat in self.flat]
+        out = [flat[at].astype(np.int64) for flat in self.flat]
         if self.spans:  # from places in the piece to places in the text
             head = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             text = np.searchsorted(offsets, starts, "right") - 1

@@ -27,7 +27,8 @@ from panelforge.llm.encoding import encoder
 from panelforge.llm.tables import ship, staged
 
 FRACTION = 16  # bits of a quantum behind the point
-#: Rows of the rounds' table up to which it is broadcast (at most 40 bytes each); else it is joined.
+#: Rows of the tables of rounds and of (source, task) up to which they are broadcast (at most 40
+#: bytes and a source's name each); larger ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 PIECES = "array<struct<start:bigint,length:bigint,ids_crc32:bigint,sequence_id:bigint,offset:bigint,ids:binary>>"
@@ -59,25 +60,17 @@ def _tokens(docs: DataFrame, path: str, end_id: int, lower: bool) -> DataFrame:
 
 def _cut_rounds(rows: DataFrame) -> DataFrame:
     """Documents cut where a round ends: (source, round, doc_id, doc_tokens, start, shift, ids)."""
-    names = ["source", "round", "doc_id", "doc_tokens", "start", "shift", "ids"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    schema = pa.schema(list(zip(names, kinds)))
-
-    def cut(batches):
-        for batch in batches:
-            out = [[] for _ in names]
-            for source, doc, at, n, quantum, ids in zip(*(batch.column(c).to_pylist() for c in ("source", "doc_id", "at", "n", "quantum", "ids"))):
-                x, end = at, at + n
-                while x < end:
-                    k = (((x + 1) << FRACTION) - 1) // quantum
-                    stop = min(end, ((k + 1) * quantum) >> FRACTION)
-                    row = (source, k, doc, n, x - at, x - ((k * quantum) >> FRACTION), ids[4 * (x - at) : 4 * (stop - at)])
-                    for column, value in zip(out, row):
-                        column.append(value)
-                    x = stop
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], schema=schema)
-
-    return rows.mapInArrow(cut, "source string, round long, doc_id long, doc_tokens long, start long, shift long, ids binary")
+    one = 1 << FRACTION
+    first, last = f"((at + 1) * {one} - 1) div quantum", f"((at + n) * {one} - 1) div quantum"
+    rows = rows.withColumn("round", F.explode(F.sequence(F.expr(first), F.expr(last))))
+    rows = rows.withColumn("opens", F.expr(f"round * quantum div {one}"))
+    rows = rows.withColumn("begin", F.greatest("at", "opens"))
+    rows = rows.withColumn("stop", F.least(F.col("at") + F.col("n"), F.expr(f"(round + 1) * quantum div {one}")))
+    piece = F.expr("substring(ids, int(4 * (begin - at)) + 1, int(4 * (stop - begin)))")
+    return rows.select(
+        "source", "round", "doc_id", F.col("n").alias("doc_tokens"), (F.col("begin") - F.col("at")).alias("start"),
+        (F.col("begin") - F.col("opens")).alias("shift"), piece.alias("ids"),
+    )
 
 
 def _cut_sequences(length: int, with_ids: bool):
@@ -152,7 +145,10 @@ def pack_mixture(
     if (rounds or 0) * whole.m <= BROADCAST_ROWS:
         grid = F.broadcast(grid)
 
-    placed = tokens.join(runs.select("source", "part", "ahead").join(totals.select("source", "quantum"), "source"), ["source", "part"])
+    heads = staged(runs.select("source", "part", "ahead").join(totals.select("source", "quantum"), "source"), "packing-heads")
+    if heads.count() <= BROADCAST_ROWS:
+        heads = F.broadcast(heads)
+    placed = tokens.join(heads, ["source", "part"])
     placed = placed.select("source", "doc_id", (F.col("ahead") + F.col("before")).alias("at"), "n", "quantum", "ids")
     placed = _cut_rounds(placed).join(grid, ["source", "round"]).withColumn("at", F.col("base") + F.col("shift"))
     pieces = placed.withColumn("p", _cut_sequences(length, with_ids)("at", "start", "ids"))
