@@ -31,6 +31,8 @@ from panelforge.llm.textops import CONTINUATION
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Text that one Viterbi search takes, beyond a single longer chunk.
+CHUNK_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -205,8 +207,17 @@ class UnigramEncoder(Encoder):
         self._clear()
 
     def _solve(self, new: list[str]):
-        ids, sizes = viterbi(self.vocabulary, [w.encode() for w in new])
-        return sizes, [ids]
+        raw, ids, sizes, at = [w.encode() for w in new], [], [], 0
+        while at < len(raw):  # the search holds some hundred bytes for each character
+            end, room = at + 1, CHUNK_BYTES - len(raw[at])
+            while end < len(raw) and room >= len(raw[end]):
+                room -= len(raw[end])
+                end += 1
+            found, count = viterbi(self.vocabulary, raw[at:end])
+            ids.append(found)
+            sizes.append(count)
+            at = end
+        return np.concatenate(sizes), [np.concatenate(ids)]
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         cut = np.zeros(len(data), bool)
