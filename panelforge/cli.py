@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "build":
         tables = _load_yaml(args.dataset_config)["tables"]
         if args.table not in tables:
-            raise KeyError(f"Table '{args.table}' not found in {args.dataset_config}")
+            raise KeyError(f"{args.dataset_config} describes no table {args.table!r}, only {sorted(tables)}")
         build_table(spark, args.table, tables[args.table], args.basepath, args.output)
         return 0
     conf = resolve_placeholders(_load_yaml(args.table_config), _vars(args.var, args.year))

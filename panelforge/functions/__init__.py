@@ -3,8 +3,6 @@
 from panelforge.functions.arrays import (
     distinct_non_null_count,
     element_at_period,
-    presence_count,
-    singleton,
 )
 from panelforge.functions.types import SchemaConflictError, widen, widen_all
 
@@ -12,8 +10,6 @@ __all__ = [
     "SchemaConflictError",
     "distinct_non_null_count",
     "element_at_period",
-    "presence_count",
-    "singleton",
     "widen",
     "widen_all",
 ]

@@ -18,16 +18,6 @@ def element_at_period(arr: Column, period: Column) -> Column:
     return F.get(arr, period - F.lit(1))
 
 
-def singleton(col: Column) -> Column:
-    """``[col]``: a one-element array, which holds NULL when ``col`` is NULL."""
-    return F.array(col)
-
-
-def presence_count(col: Column) -> Column:
-    """Distinct non-NULL count of a single value: 0 for NULL, else 1 (as BIGINT)."""
-    return F.when(col.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long")
-
-
 def distinct_non_null_count(array_sql: str, element_type: T.DataType) -> Column:
     """Number of distinct non-NULL elements of the array expression ``array_sql`` (SQL text),
     as BIGINT; an empty array gives 0.
@@ -50,10 +40,10 @@ def hashable_equality(t: T.DataType) -> bool:
 
 
 def set_input(c: Column, t: T.DataType) -> Column:
-    """``c`` in a form ``collect_set`` accepts with value equality: maps (at any depth) by their
-    JSON text, binary by its base64 text, everything else as is."""
-    if contains_map(t):
-        return F.to_json(c) if isinstance(t, (T.StructType, T.MapType, T.ArrayType)) else c.cast("string")
+    """``c`` as text with the same equality (NULL stays NULL), so that sets of it are hashed:
+    nested values as JSON with full timestamps, binary as base64."""
     if isinstance(t, T.BinaryType):
         return F.base64(c)
-    return c
+    full = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    options = {"timestampFormat": full, "timestampNTZFormat": full.removesuffix("XXX"), "ignoreNullFields": "false"}
+    return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v")), options))

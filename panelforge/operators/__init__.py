@@ -3,10 +3,11 @@
 from panelforge.operators.conflict import (
     conflict_aggregate,
     conflict_summary,
+    duplicate_key_counts,
     duplicate_keys,
     nest_children,
 )
-from panelforge.operators.project import drop_if_exists, select_columns
+from panelforge.operators.project import select_columns
 from panelforge.operators.quality import (
     key_uniqueness,
     missing_columns,
@@ -21,7 +22,7 @@ from panelforge.operators.union import union_by_name
 __all__ = [
     "conflict_aggregate",
     "conflict_summary",
-    "drop_if_exists",
+    "duplicate_key_counts",
     "duplicate_keys",
     "explode_periods",
     "key_uniqueness",

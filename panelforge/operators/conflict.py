@@ -12,19 +12,16 @@ Semantics (shared with the unit tests and the oracle SQL):
   shuffle); the key filters of both branches reach the Parquet scan.
 * ``n_distinct`` ignores NULLs, compares arrays and structs by value, and is a BIGINT.
 
-Scale. One shuffle on the key carries the rows once. A group bigger than ``max_array_len``
-(a hot key: one key may hold a large share of all rows) is never collected whole: its rows are
-spread over ``ceil(rows / max_array_len)`` pieces numbered 1.. in ``array_part`` (whole groups
-have ``array_part = 0``), each piece is an ordinary bounded group, and its ``n_distinct`` values
-are computed for the whole group by a distributed distinct count. Finding the hot keys costs one
-aggregation over a 64-bit hash of the key (map-side partial counts); it also gives the
-duplicate-key statistics. The hot-key table is written to the shared checkpoint folder and
-broadcast only when its row count is at most ``broadcast_limit``.
+Scale. The result never depends on the size of a group: there is exactly one row for each key
+without NULLs, whatever its number of rows. The work on a group is done in two steps for every
+key alike: its rows are dealt over a fixed number of pieces by a hash of their values, each piece
+is collected and sorted by itself, and the sorted pieces of a key are then merged into its row.
+Only the merge sees a whole group, which an array-valued result makes inevitable (Spark holds a
+row of up to 2 GB). Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
-import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,15 +30,10 @@ from pyspark.sql import functions as F
 from panelforge.functions.arrays import distinct_non_null_count, hashable_equality, set_input
 from panelforge.functions.names import col, quote, resolve
 from panelforge.functions.types import contains_map, is_orderable
-from panelforge.session import observation, scratch_path
-from panelforge.sinks.parquet import write_parquet
 
-LOGGER = logging.getLogger(__name__)
-
-PART_COL = "array_part"
 PREFIX = "n_distinct_"
-DEFAULT_MAX_ARRAY_LEN = 100_000
-DEFAULT_BROADCAST_LIMIT = 1_000_000
+#: Pieces that the rows of every key are dealt over before they are merged.
+PIECES = 8
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -75,39 +67,15 @@ def duplicate_keys(df: DataFrame, primary_key: list[str], count_col: str = "n_ro
     )
 
 
-def _key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*[col(k) for k in keys])
-
-
-def _hot_keys(keyed: DataFrame, pk: list[str], max_array_len: int, stats: dict) -> tuple[DataFrame | None, int]:
-    """Hashes of keys with more than ``max_array_len`` rows, and how many there are.
-
-    One aggregation over the 64-bit key hash (map-side partial counts, 16-byte shuffle records);
-    the hot set is written as a small table to the shared checkpoint folder (one job, lineage
-    cut) and its size is observed during that write. A hash collision can only flag an
-    ordinary key as hot, which splits it into pieces but never changes a value.
-    """
-    spark = keyed.sparkSession
-    obs = observation("key_sizes")
-    sizes = keyed.groupBy(_key_hash(pk).alias("__pf_h")).agg(F.count(F.lit(1)).alias("__pf_n"))
-    sizes = sizes.observe(
-        obs,
-        F.count(F.lit(1)).alias("n_keys"),
-        F.coalesce(F.sum(F.when(F.col("__pf_n") > 1, 1).otherwise(0)), F.lit(0)).alias("n_duplicate_keys"),
-        F.coalesce(F.max("__pf_n"), F.lit(0)).alias("max_group_rows"),
-    )
-    hot = sizes.where(F.col("__pf_n") > max_array_len).select(
-        "__pf_h", F.ceil(F.col("__pf_n") / F.lit(max_array_len)).cast("int").alias("__pf_parts")
+def duplicate_key_counts(df: DataFrame, primary_key: list[str]) -> DataFrame:
+    """One row: complete keys that occur more than once, and the same count with incomplete keys
+    included (their NULLs taken as equal, although their rows are never merged)."""
+    dup = duplicate_keys(df, primary_key)
+    complete = _all_set(resolve(df.columns, primary_key))
+    return dup.agg(
+        F.coalesce(F.sum(F.when(complete, 1).otherwise(0)), F.lit(0)).cast("long").alias("n_duplicate_keys"),
+        F.count(F.lit(1)).alias("n_duplicate_groups"),
     )
-    path = scratch_path(spark, "hot-keys")
-    n_hot = write_parquet(hot, path).rows
-    stats.update(obs.get)
-    stats["n_hot_keys"] = n_hot
-    LOGGER.info(
-        "keys: %s, duplicated: %s, largest group: %s rows, split groups: %s",
-        stats.get("n_keys"), stats.get("n_duplicate_keys"), stats.get("max_group_rows"), n_hot,
-    )
-    return (spark.read.parquet(path) if n_hot else None), n_hot
 
 
 def conflict_aggregate(
@@ -115,23 +83,17 @@ def conflict_aggregate(
     primary_key: list[str],
     *,
     order_rows: bool = True,
-    max_array_len: int | None = DEFAULT_MAX_ARRAY_LEN,
-    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-    part_col: str = PART_COL,
+    pieces: int = PIECES,
     prefix: str = PREFIX,
-    stats: dict | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``primary_key``; see the module docstring for the exact semantics.
 
-    Output columns: key columns, ``part_col`` (int), then for each other column (input order)
-    the array column and ``<prefix><column>``. With ``max_array_len=None`` no hot-key pass runs
-    and every group is collected whole (``part_col`` is always 0).
+    Output columns: key columns, then for each other column (input order) the array column and
+    ``<prefix><column>``. ``pieces`` sets how far the work on one key is spread, never the result.
     """
-    stats = {} if stats is None else stats
     pk, values = split_key_columns(df, primary_key)
     taken = {c.lower() for c in df.columns}
-    produced = [part_col] + [prefix + v for v in values]
-    clash = [p for p in produced if p.lower() in taken]
+    clash = [prefix + v for v in values if (prefix + v).lower() in taken]
     if clash:
         raise ValueError(f"output names collide with input columns: {clash}")
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -143,7 +105,6 @@ def conflict_aggregate(
     # NULL key: never merged -> one row each, no shuffle
     loose_out = loose.select(
         *keys,
-        F.lit(0).alias(part_col),
         *[
             e
             for v in values
@@ -153,86 +114,35 @@ def conflict_aggregate(
             )
         ],
     )
-
-    n_hot, hot = 0, None
-    if max_array_len:
-        hot, n_hot = _hot_keys(keyed, pk, max_array_len, stats)
-
-    if n_hot:
-        hk = F.broadcast(hot) if n_hot <= broadcast_limit else hot
-        piece = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__pf_parts")) + F.lit(1)
-        rows = (
-            keyed.withColumn("__pf_h", _key_hash(pk))
-            .join(hk, on="__pf_h", how="left")
-            .select(
-                *keys,
-                F.when(F.col("__pf_parts").isNull(), F.lit(0)).otherwise(piece).cast("int").alias(part_col),
-                *[col(v) for v in values],
-            )
-        )
-        group_cols = keys + [col(part_col)]
-    else:
-        rows = keyed.select(*keys, *[col(v) for v in values])
-        group_cols = keys
-    # rows are shuffled as they are: a collected list cannot shrink map-side, and raw rows are
-    # cheaper to move than partial list buffers
-    rows = rows.repartition(*group_cols)
-
     if not values:
-        out = rows.groupBy(*group_cols).count().drop("count")
-        if not n_hot:
-            out = out.withColumn(part_col, F.lit(0))
-        return out.unionByName(loose_out)
+        return keyed.select(*keys).distinct().union(loose_out)
 
-    collected = F.collect_list(F.struct(*[col(v) for v in values]))
-    if order_rows and all(is_orderable(types[v]) for v in values):
-        collected = F.sort_array(collected)
-    # nested / binary values: distinct count by hashing during the aggregation (linear), since
+    ordered = order_rows and all(is_orderable(types[v]) for v in values)
+    arrange = F.sort_array if ordered else (lambda rows: rows)
+    # nested / binary values: distinct sets gathered with the pieces (linear), since
     # array_distinct compares such elements pairwise
-    by_set = [i for i, v in enumerate(values) if not hashable_equality(types[v])]
-    grouped = rows.groupBy(*group_cols).agg(
-        collected.alias("__pf_rows"),
-        *[F.size(F.collect_set(set_input(col(values[i]), types[values[i]]))).cast("long").alias(f"__pf_set{i}") for i in by_set],
+    by_set = {v: i for i, v in enumerate(values) if not hashable_equality(types[v])}
+    piece = F.pmod(F.xxhash64(*[F.to_json(F.struct(col(v))) if contains_map(types[v]) else col(v) for v in values]), F.lit(pieces))
+    rows = keyed.select(*keys, piece.alias("__pf_piece"), F.struct(*[col(v) for v in values]).alias("__pf_row"))
+    # rows are shuffled as they are: a collected list cannot shrink map-side, and raw rows are
+    # cheaper to move than partial list buffers
+    rows = rows.repartition(*keys, F.col("__pf_piece"))
+    sorted_pieces = rows.groupBy(*keys, F.col("__pf_piece")).agg(
+        arrange(F.collect_list("__pf_row")).alias("__pf_rows"),
+        *[F.collect_set(set_input(F.col("__pf_row").getField(v), types[v])).alias(f"__pf_set{i}") for v, i in by_set.items()],
+    )
+    merged = sorted_pieces.groupBy(*keys).agg(
+        arrange(F.flatten(F.collect_list("__pf_rows"))).alias("__pf_rows"),
+        *[F.size(F.array_distinct(F.flatten(F.collect_list(f"__pf_set{i}")))).cast("long").alias(f"__pf_set{i}") for i in by_set.values()],
     )
-    part = col(part_col) if n_hot else F.lit(0).alias(part_col)
-
-    def arr(v: str) -> Column:
-        return F.expr(f"__pf_rows.{quote(v)}")
 
-    def n_distinct(i: int, v: str) -> Column:
-        return F.col(f"__pf_set{i}") if i in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])
+    def n_distinct(v: str) -> Column:
+        return F.col(f"__pf_set{by_set[v]}") if v in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])
 
-    keyed_out = grouped.select(
+    keyed_out = merged.select(
         *keys,
-        part,
-        *[e for i, v in enumerate(values) for e in (arr(v).alias(v), n_distinct(i, v).alias(prefix + v))],
+        *[e for v in values for e in (F.expr(f"__pf_rows.{quote(v)}").alias(v), n_distinct(v).alias(prefix + v))],
     )
-
-    if n_hot:
-        # whole-group distinct counts for split groups: one more read of the input, semi-joined
-        # to the hot hashes, then a distributed distinct count (the shuffle carries distinct
-        # (key, value) pairs of split-group rows only; no group is gathered). Runs only when
-        # some group exceeds max_array_len.
-        hk_keys = F.broadcast(hot.select("__pf_h")) if n_hot <= broadcast_limit else hot.select("__pf_h")
-        hot_rows = keyed.withColumn("__pf_h", _key_hash(pk)).join(hk_keys, on="__pf_h", how="left_semi")
-
-        def distinct_input(v: str) -> Column:
-            return set_input(col(v), types[v])
-
-        nd = hot_rows.groupBy(*keys).agg(
-            *[F.count_distinct(distinct_input(v)).alias(f"__pf_nd{i}") for i, v in enumerate(values)]
-        )
-        nd = F.broadcast(nd) if n_hot <= broadcast_limit else nd
-        keyed_out = keyed_out.join(nd, on=pk, how="left").select(
-            *keys,
-            col(part_col),
-            *[
-                e
-                for i, v in enumerate(values)
-                for e in (col(v), F.coalesce(F.col(f"__pf_nd{i}"), col(prefix + v)).alias(prefix + v))
-            ],
-        )
-
     return keyed_out.union(loose_out)
 
 
@@ -241,28 +151,14 @@ def nest_children(df: DataFrame, parent_key: list[str], **kwargs) -> DataFrame:
     return conflict_aggregate(df, parent_key, **kwargs)
 
 
-def conflict_summary(
-    agg: DataFrame, primary_key: list[str], part_col: str = PART_COL, prefix: str = PREFIX
-) -> DataFrame:
+def conflict_summary(agg: DataFrame, primary_key: list[str], prefix: str = PREFIX) -> DataFrame:
     """Per value column of a conflict-aggregated table: keys, keys with conflicting values
-    (``n_distinct > 1``), their share, and the largest ``n_distinct``.
-
-    Whole groups (``part_col = 0``) are counted directly; pieces of split groups carry the same
-    whole-group counts, so they are reduced to one row per key first (only those rows shuffle).
-    """
-    pk = resolve(agg.columns, primary_key)
+    (``n_distinct > 1``), their share, and the largest ``n_distinct``."""
+    resolve(agg.columns, primary_key)
     nd_cols = [c for c in agg.columns if c.startswith(prefix)]
     if not nd_cols:
         raise ValueError(f"no '{prefix}*' columns: is this a conflict-aggregated table?")
-    whole = agg.where(col(part_col) == 0).select(*[col(c) for c in nd_cols])
-    pieces = (
-        agg.where(col(part_col) > 0)
-        .groupBy(*[col(k) for k in pk])
-        .agg(*[F.max(col(c)).alias(c) for c in nd_cols])
-        .select(*[col(c) for c in nd_cols])
-    )
-    per_key = whole.union(pieces)
-    wide = per_key.agg(
+    wide = agg.agg(
         F.count(F.lit(1)).alias("n_keys"),
         *[
             e

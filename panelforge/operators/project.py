@@ -12,16 +12,6 @@ from panelforge.functions.names import col, index_ci
 _PLAIN_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def select_expressions(columns: list) -> list[str]:
-    """Validate a configured column list: every entry must be a string."""
-    out = []
-    for c in columns:
-        if not isinstance(c, str):
-            raise ValueError(f"Column definition must be a bare string, got: {c}")
-        out.append(c)
-    return out
-
-
 def select_columns(df: DataFrame, columns: list, lineage_col: str | None = "filename") -> DataFrame:
     """Configured columns in configured order, then the lineage column (if the input has it).
 
@@ -29,7 +19,10 @@ def select_columns(df: DataFrame, columns: list, lineage_col: str | None = "file
     expression (``"CAST(x AS INT) AS y"``). A lineage column listed explicitly is emitted once,
     last. All plain names that do not exist are reported together.
     """
-    exprs = select_expressions(columns)
+    wrong = [c for c in columns if not isinstance(c, str)]
+    if wrong:
+        raise ValueError(f"columns are given by name or as SQL text; not understood: {wrong}")
+    exprs = list(columns)
     idx = index_ci(df.columns)
     lineage = lineage_col.lower() if lineage_col else None
     missing = [e for e in exprs if _PLAIN_NAME.match(e) and e.lower() not in idx]
@@ -43,7 +36,3 @@ def select_columns(df: DataFrame, columns: list, lineage_col: str | None = "file
     if lineage is not None and lineage in idx:
         picked.append(col(idx[lineage]))
     return df.select(*picked)
-
-
-def drop_if_exists(df: DataFrame, name: str) -> DataFrame:
-    return df.drop(name)

@@ -39,8 +39,7 @@ def explode_periods(df: DataFrame, period_col: str = "month", n_periods: int = 1
     static = [f.name for f in fields if not isinstance(f.dataType, T.ArrayType)]
     if not arrays:
         raise ValueError(
-            "explode_arrays is set but the table has no array-typed column; "
-            "check that the source columns are arrays"
+            f"nothing to explode by {period_col!r}: none of the columns {static} is an array"
         )
     _check_period_name(period_col, static, arrays)
 

@@ -4,11 +4,13 @@ flat / array / sharded output."""
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.operators.conflict import conflict_aggregate
+from panelforge.functions.names import col
+from panelforge.operators.conflict import PREFIX, conflict_aggregate
 from panelforge.session import observation
 from panelforge.sinks.parquet import WriteResult, write_table
 from panelforge.sources.parquet import read_union, verify_paths_exist
@@ -39,14 +41,29 @@ def build_table_df(
     **aggregate_options,
 ) -> DataFrame:
     """The Stage 2 table as a lazy plan (key aggregation when ``primary_key`` is set).
-    ``loaded``, if given, observes the number of rows read across all years."""
+    ``loaded``, if given, observes the number of rows read across all years, and with a key the
+    numbers of complete keys and of duplicated ones and the largest group."""
     spec = as_build_spec(name, conf)
     df = load_years(spark, spec, basepath)
-    if loaded is not None:
-        df = df.observe(loaded, F.count(F.lit(1)).alias("rows"))
-    if spec.aggregated:
-        return conflict_aggregate(df, spec.primary_key, **aggregate_options)
-    return df
+    if not spec.aggregated:
+        return df if loaded is None else df.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    out = conflict_aggregate(df, spec.primary_key, **aggregate_options)
+    arrays = [c for c in out.columns if c.startswith(PREFIX)]
+    if loaded is None:
+        return out
+    if not arrays:  # keys only: nothing in the output tells how many rows a key had
+        return conflict_aggregate(df.observe(loaded, F.count(F.lit(1)).alias("rows")), spec.primary_key, **aggregate_options)
+    # counted on the output: an observation beside the scan would keep the key filters from it
+    held = F.size(col(arrays[0].removeprefix(PREFIX)))
+    complete = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in spec.primary_key])
+    none = lambda total: F.coalesce(total, F.lit(0)).cast("long")
+    return out.observe(
+        loaded,
+        none(F.sum(held)).alias("rows"),
+        none(F.sum(F.when(complete, 1).otherwise(0))).alias("n_keys"),
+        none(F.sum(F.when(held > 1, 1).otherwise(0))).alias("n_duplicate_keys"),
+        none(F.max(held)).alias("max_group_rows"),
+    )
 
 
 def build_table(
@@ -54,13 +71,11 @@ def build_table(
 ) -> WriteResult:
     """Validate -> verify inputs -> load -> aggregate or not -> write (one of four outcomes).
 
-    Rows loaded and rows written are observed during the write job; with a key, the key pass
-    adds keys, duplicated keys, the largest group and the number of split groups. All are
-    logged and returned in ``WriteResult.stats``.
+    Rows loaded and rows written are observed during the write job, with a key also the complete
+    keys, the duplicated ones and the largest group; ``WriteResult.stats`` returns them.
     """
     spec = as_build_spec(name, conf)
     loaded = observation("loaded")
-    stats = aggregate_options.setdefault("stats", {}) if spec.aggregated else {}
     df = build_table_df(spark, name, spec, basepath, loaded=loaded, **aggregate_options)
     res = write_table(
         df,
@@ -70,6 +85,7 @@ def build_table(
         shard_by=spec.shard_by,
         aggregated=spec.aggregated,
     )
-    res.stats = {"rows_loaded": int(loaded.get["rows"]), **stats}
+    seen = dict(loaded.get)
+    res.stats = {"rows_loaded": int(seen.pop("rows")), **seen}
     LOGGER.info("%s: %s rows loaded, %s rows written to %s", spec.name, f"{res.stats['rows_loaded']:,}", f"{res.rows:,}", res.path)
     return res

@@ -1,10 +1,11 @@
 """Parquet sinks: per-year Stage 1 output, flat / array / sharded Stage 2 output.
 
 A "file" of the naming contract is a Parquet dataset folder written by all tasks in parallel.
-A sharded table is one dataset partitioned by the shard column (``<table>[_array]/<col>=<v>/``),
-written in a single pass with dynamic partition overwrite: a rerun replaces exactly the shards
-it writes and leaves the others untouched. A NULL shard value lands in
-``__HIVE_DEFAULT_PARTITION__`` and is reported as a warning.
+A sharded table is one dataset with a folder for each value of the shard column
+(``<table>[_array]/<col>_shard=<v>/``), written in a single pass with dynamic partition overwrite:
+a rerun replaces exactly the shards it writes and leaves the others untouched. The shard column
+itself stays in the files, with its type; the folder's column is a copy of it for pruning. A NULL
+shard value lands in ``__HIVE_DEFAULT_PARTITION__`` and is reported as a warning.
 """
 
 from __future__ import annotations
@@ -44,35 +45,43 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> WriteRes
     return WriteResult(path=path, rows=rows)
 
 
+def shard_folder_column(shard_col: str) -> str:
+    return f"{shard_col}_shard"
+
+
 def write_sharded(df: DataFrame, path: str, shard_col: str) -> WriteResult:
-    """One pass, partitioned by ``shard_col``; only the shards present in ``df`` are replaced."""
+    """One pass, a folder for each shard; only the shards present in ``df`` are replaced.
+
+    Rows are rebalanced by shard first (AQE splits large shards and joins small ones), so a shard
+    gets a few files however many tasks the upstream plan has. ``shards`` of the result names the
+    shards that the dataset holds after the write.
+    """
     obs = observation("sharded_write")
-    observed = df.observe(
+    folder = shard_folder_column(shard_col)
+    observed = df.withColumn(folder, col(shard_col)).hint("rebalance", col(folder)).observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set(col(shard_col)).alias("shards"),
         F.coalesce(F.sum(F.when(col(shard_col).isNull(), 1).otherwise(0)), F.lit(0)).alias("null_rows"),
     )
     (
         observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(shard_col)
+        .partitionBy(folder)
         .parquet(path)
     )
     m = obs.get
-    res = WriteResult(path=path, rows=int(m["rows"]), shards=sorted(m["shards"]), null_shard_rows=int(m["null_rows"]))
+    shards = [name.partition("=")[2] for name in shard_folders(spark_of(df), path, shard_col)]
+    res = WriteResult(path=path, rows=int(m["rows"]), shards=shards, null_shard_rows=int(m["null_rows"]))
     if res.null_shard_rows:
-        res.warnings.append(
-            f"{res.null_shard_rows:,} rows have a NULL '{shard_col}' and were written to "
-            f"{shard_col}=__HIVE_DEFAULT_PARTITION__"
-        )
+        res.warnings.append(f"{res.null_shard_rows:,} rows without a {shard_col!r} form the shard {folder}=__HIVE_DEFAULT_PARTITION__")
         LOGGER.warning(res.warnings[-1])
-    LOGGER.info("wrote %s rows in %d shards to %s", f"{res.rows:,}", len(res.shards), path)
+    LOGGER.info("wrote %s rows to %s, which holds %d shards", f"{res.rows:,}", path, len(shards))
     return res
 
 
-def _shard_dir(shard_col: str, value) -> str:
-    return f"{shard_col}={value}"
+def shard_folders(spark, path: str, shard_col: str) -> list[str]:
+    """Folder names of the shards under ``path``, as Spark wrote (and escaped) them."""
+    return [name for name in hadoop_fs.list_dir(spark, path) if name.startswith(f"{shard_folder_column(shard_col)}=")]
 
 
 def write_table(
@@ -89,7 +98,7 @@ def write_table(
     sharded       aggregated                                  flat
     ============  ==========================================  ======================================
     no            ``<output_name>_array.parquet``             ``<output_name>.parquet``
-    yes           ``<table>_array/<shard>=<v>/``              ``<table>/<shard>=<v>/``
+    yes           ``<table>_array/<col>_shard=<v>/``          ``<table>/<col>_shard=<v>/``
     ============  ==========================================  ======================================
 
     When a sharded table switches between aggregated and flat, a written shard's output under
@@ -101,9 +110,11 @@ def write_table(
         return write_parquet(df, f"{base}/{output_name}{suffix}.parquet")
     res = write_sharded(df, f"{base}/{table_name}{suffix}", shard_by)
     other = f"{base}/{table_name}{'' if aggregated else ARRAY_SUFFIX}"
-    stale = [v for v in res.shards if hadoop_fs.exists(spark_of(df), f"{other}/{_shard_dir(shard_by, v)}")]
-    for v in stale:
-        hadoop_fs.delete(spark_of(df), f"{other}/{_shard_dir(shard_by, v)}")
+    spark = spark_of(df)
+    current = set(shard_folders(spark, res.path, shard_by))
+    stale = [name for name in shard_folders(spark, other, shard_by) if name in current]
+    for name in stale:
+        hadoop_fs.delete(spark, f"{other}/{name}")
     if stale:
         LOGGER.info("removed %d stale shard(s) from %s", len(stale), other)
     return res

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def _fs_and_path(spark: SparkSession, path: str):
+def locate(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -17,7 +17,7 @@ def _fs_and_path(spark: SparkSession, path: str):
 
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching ``pattern`` (Hadoop glob syntax), sorted; empty list when none match."""
-    fs, jpath = _fs_and_path(spark, pattern)
+    fs, jpath = locate(spark, pattern)
     statuses = fs.globStatus(jpath)
     if statuses is None:
         return []
@@ -25,17 +25,17 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs_and_path(spark, path)
+    fs, jpath = locate(spark, path)
     return bool(fs.exists(jpath))
 
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
-    fs, jpath = _fs_and_path(spark, path)
+    fs, jpath = locate(spark, path)
     return bool(fs.delete(jpath, recursive))
 
 
 def list_dir(spark: SparkSession, path: str) -> list[str]:
-    fs, jpath = _fs_and_path(spark, path)
+    fs, jpath = locate(spark, path)
     if not fs.exists(jpath):
         return []
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(jpath))
@@ -43,7 +43,7 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small UTF-8 text file (QC reports), replacing any previous one."""
-    fs, jpath = _fs_and_path(spark, path)
+    fs, jpath = locate(spark, path)
     parent = jpath.getParent()
     if parent is not None:
         fs.mkdirs(parent)
@@ -52,7 +52,3 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())

@@ -16,13 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 from panelforge.operators.project import select_columns
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.session import checkpoint_root
-from panelforge.sources.parquet import glob_parquet, lineage_path
+from panelforge.sources.parquet import check_against_first, file_schemas, glob_parquet, lineage_path
 from panelforge.specs import SelectSpec
 
 
 def stream_selected(spark: SparkSession, spec: SelectSpec, source_glob: str, max_files_per_batch: int = 1000) -> DataFrame:
-    """The Stage 1 plan over a file stream; the schema comes from the first file present."""
-    schema = spark.read.parquet(glob_parquet(spark, source_glob)[0]).schema
+    """The Stage 1 plan over a file stream; the schema comes from the first file present, and a
+    file present that lacks one of its columns is an error, as in a batch run."""
+    files = glob_parquet(spark, source_glob)
+    schemas = file_schemas(spark, files)
+    check_against_first(files, schemas)
+    schema = schemas[0]
     raw = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_batch)

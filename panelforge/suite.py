@@ -16,8 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_keys, nest_children
+from panelforge.functions.names import literal_rows
+from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_key_counts, duplicate_keys, nest_children
+from panelforge.operators.project import select_columns
 from panelforge.operators.quality import (
     expected_columns_report,
     key_uniqueness,
@@ -28,11 +31,11 @@ from panelforge.operators.quality import (
 )
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.plans.backfill import backfill
-from panelforge.plans.qc import qc_report
+from panelforge.plans.qc import qc_report, run_qc
 from panelforge.plans.stage1 import select_year
 from panelforge.plans.stage2 import build_table, load_years
 from panelforge.session import scratch_path
-from panelforge.sinks.parquet import write_parquet
+from panelforge.sinks.parquet import shard_folders, write_parquet, write_table
 from panelforge.specs import BuildSpec, SelectSpec
 from panelforge.streaming.incremental import run_incremental
 
@@ -60,10 +63,13 @@ def _order_by(cols: list[str]) -> str:
 
 def conflict_sql(src: str, pk: list[str], values: list[str]) -> str:
     """Key-conflict aggregation in SQL: keyed rows grouped, NULL-key rows kept alone."""
-    order = _order_by(values)
     keys = ", ".join(pk)
+    row = ", ".join(f"{v} := {v}" for v in values)
+    # the rows of a group are sorted once, as structs (NULLs first), and then taken apart
     grouped = ", ".join(
-        f"list({v} ORDER BY {order}) AS {v}, CAST(count(DISTINCT {v}) AS BIGINT) AS n_distinct_{v}" for v in values
+        f"list_transform(r, lambda x: x.{v}) AS {v}, "
+        f"CAST(len(list_distinct(list_filter(list_transform(r, lambda x: x.{v}), lambda x: x IS NOT NULL))) AS BIGINT) AS n_distinct_{v}"
+        for v in values
     )
     alone = ", ".join(
         f"[{v}] AS {v}, CAST(CASE WHEN {v} IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_distinct_{v}" for v in values
@@ -72,9 +78,10 @@ def conflict_sql(src: str, pk: list[str], values: list[str]) -> str:
     any_null = " OR ".join(f"{k} IS NULL" for k in pk)
     return (
         f"WITH src AS ({src}) "
-        f"SELECT {keys}, CAST(0 AS INTEGER) AS array_part, {grouped} FROM src WHERE {all_set} GROUP BY {keys} "
+        f"SELECT {keys}, {grouped} FROM (SELECT {keys}, list_sort(list(struct_pack({row})), 'ASC', 'NULLS FIRST') AS r "
+        f"FROM src WHERE {all_set} GROUP BY {keys}) "
         f"UNION ALL "
-        f"SELECT {keys}, CAST(0 AS INTEGER) AS array_part, {alone} FROM src WHERE {any_null}"
+        f"SELECT {keys}, {alone} FROM src WHERE {any_null}"
     )
 
 
@@ -88,17 +95,38 @@ LINEITEM_VALUES = [
 # key-conflict aggregation
 
 
+def _lineitem(spark, sf_dir):
+    """``lineitem`` with the ship date as text (arrays of timestamps can't be compared by every
+    checker) and NULLs in two value columns."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        *LINEITEM_PK,
+        *[
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate") if v == "l_shipdate"
+            else F.nullif(F.col(v), F.lit("R")).alias(v) if v == "l_returnflag"
+            else F.nullif(F.col(v), F.lit(0)).alias(v) if v == "l_tax"
+            else F.col(v)
+            for v in LINEITEM_VALUES
+        ],
+    )
+
+
+LINEITEM_SQL = (
+    "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, nullif(l_returnflag, 'R') AS l_returnflag, "
+    "nullif(l_tax, 0) AS l_tax{more}) FROM lineitem"
+)
+
+
 def q_conflict_aggregate(spark, sf_dir):
-    return conflict_aggregate(table(spark, sf_dir, "lineitem"), LINEITEM_PK)
+    return conflict_aggregate(_lineitem(spark, sf_dir), LINEITEM_PK)
 
 
 def sql_conflict_aggregate():
-    return conflict_sql("SELECT * FROM lineitem", LINEITEM_PK, LINEITEM_VALUES)
+    return conflict_sql(LINEITEM_SQL.format(more=""), LINEITEM_PK, LINEITEM_VALUES)
 
 
 def _lineitem_null_linenumber(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.withColumn("l_linenumber", F.nullif(F.col("l_linenumber"), F.lit(3)))
+    return _lineitem(spark, sf_dir).withColumn("l_linenumber", F.nullif(F.col("l_linenumber"), F.lit(3)))
 
 
 def q_conflict_null_key(spark, sf_dir):
@@ -106,7 +134,7 @@ def q_conflict_null_key(spark, sf_dir):
 
 
 def sql_conflict_null_key():
-    src = "SELECT * REPLACE (nullif(l_linenumber, 3) AS l_linenumber) FROM lineitem"
+    src = LINEITEM_SQL.format(more=", nullif(l_linenumber, 3) AS l_linenumber")
     return conflict_sql(src, LINEITEM_PK, LINEITEM_VALUES)
 
 
@@ -156,39 +184,35 @@ def sql_conflict_summary():
     return f"WITH agg AS ({inner}) " + " UNION ALL ".join(parts)
 
 
-HOT_MAX_ARRAY_LEN = 5000
 HOT_COLUMNS = ["l_partkey", "l_returnflag", "l_shipdate"]
 
 
 def q_conflict_hot_key(spark, sf_dir):
-    """Lines 1 and 2 of every order share one key (about 45% of all rows): that group is split
-    into pieces of about ``HOT_MAX_ARRAY_LEN`` rows; per key, the pieces together hold every row
-    and carry the whole group's distinct counts."""
-    li = table(spark, sf_dir, "lineitem")
-    src = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")))
-    agg = conflict_aggregate(src, ["l_orderkey"], max_array_len=HOT_MAX_ARRAY_LEN)
-    return agg.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_pieces"),
-        F.min("array_part").alias("first_part"),
-        F.max("array_part").alias("last_part"),
-        F.sum(F.size("l_partkey")).alias("n_rows"),
-        F.sum(F.when(F.size("l_partkey") > 2 * HOT_MAX_ARRAY_LEN, 1).otherwise(0)).alias("oversized_pieces"),
-        *[F.max(f"n_distinct_{c}").alias(f"n_distinct_{c}") for c in HOT_COLUMNS],
+    """Lines 1 and 2 of every order share one key (about 45% of all rows): one row, as any key."""
+    hot = F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")).cast("long")
+    agg = conflict_aggregate(_lineitem(spark, sf_dir).withColumn("l_orderkey", hot), ["l_orderkey"])
+    return agg.select(
+        "l_orderkey",
+        F.size("l_partkey").cast("long").alias("n_rows"),
+        *[F.col(f"n_distinct_{c}") for c in HOT_COLUMNS],
     )
 
 
 def sql_conflict_hot_key():
-    m = HOT_MAX_ARRAY_LEN
     nd = ", ".join(f"CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct_{c}" for c in HOT_COLUMNS)
+    src = LINEITEM_SQL.format(more=", CAST(CASE WHEN l_linenumber <= 2 THEN 0 ELSE l_orderkey END AS BIGINT) AS l_orderkey")
+    return f"SELECT l_orderkey, count(*) AS n_rows, {nd} FROM ({src}) GROUP BY l_orderkey"
+
+
+def q_duplicate_key_counts(spark, sf_dir):
+    return duplicate_key_counts(_lineitem_null_linenumber(spark, sf_dir), LINEITEM_PK)
+
+
+def sql_duplicate_key_counts():
+    src = LINEITEM_SQL.format(more=", nullif(l_linenumber, 3) AS l_linenumber")
     return (
-        "WITH src AS (SELECT * REPLACE (CASE WHEN l_linenumber <= 2 THEN 0 ELSE l_orderkey END AS l_orderkey) FROM lineitem), "
-        f"g AS (SELECT l_orderkey, count(*) AS n, {nd} FROM src GROUP BY l_orderkey) "
-        f"SELECT l_orderkey, CASE WHEN n > {m} THEN CAST(ceil(n / {m}.0) AS BIGINT) ELSE 1 END AS n_pieces, "
-        f"CAST(CASE WHEN n > {m} THEN 1 ELSE 0 END AS INTEGER) AS first_part, "
-        f"CAST(CASE WHEN n > {m} THEN ceil(n / {m}.0) ELSE 0 END AS INTEGER) AS last_part, "
-        "n AS n_rows, CAST(0 AS BIGINT) AS oversized_pieces, "
-        + ", ".join(f"n_distinct_{c}" for c in HOT_COLUMNS)
-        + " FROM g"
+        "SELECT CAST(count(*) FILTER (WHERE l_linenumber IS NOT NULL) AS BIGINT) AS n_duplicate_keys, count(*) AS n_duplicate_groups "
+        f"FROM (SELECT l_orderkey, l_linenumber FROM ({src}) GROUP BY ALL HAVING count(*) > 1)"
     )
 
 
@@ -474,6 +498,75 @@ def sql_shard_counts():
     return "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_rows FROM orders GROUP BY 1"
 
 
+def q_shard_strings(spark, sf_dir):
+    """Text shards with leading zeros and rows without a shard, first flat and then aggregated: the
+    shard keeps its type, and the flat output's shards are gone."""
+    orders = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "MM")
+    src = orders.select("o_custkey", F.nullif(month, F.lit("07")).alias("mm"), "o_orderstatus")
+    out = scratch_path(spark, "orders-strings")
+    write_table(src, out, "orders", "orders", shard_by="mm")
+    write_table(conflict_aggregate(src, ["o_custkey", "mm"]), out, "orders", "orders", shard_by="mm", aggregated=True)
+    stale = len(shard_folders(spark, f"{out}/orders", "mm"))
+    built = spark.read.parquet(f"{out}/orders_array")
+    return built.groupBy("mm", F.expr("typeof(mm)").alias("shard_type")).agg(
+        F.count(F.lit(1)).alias("n_keys"),
+        F.sum(F.size("o_orderstatus")).alias("n_rows"),
+        F.lit(stale).cast("long").alias("stale_shards"),
+    )
+
+
+def sql_shard_strings():
+    return (
+        "WITH s AS (SELECT o_custkey, nullif(strftime(o_orderdate, '%m'), '07') AS mm FROM orders) "
+        "SELECT mm, 'string' AS shard_type, CASE WHEN mm IS NULL THEN count(*) ELSE count(DISTINCT o_custkey) END AS n_keys, "
+        "count(*) AS n_rows, CAST(0 AS BIGINT) AS stale_shards FROM s GROUP BY mm"
+    )
+
+
+def q_nested_arrays(spark, sf_dir):
+    """Arrays of arrays lose only their outer level; the lineage column stays."""
+    li = table(spark, sf_dir, "lineitem")
+    pair = F.array(F.array("l_linenumber", F.lit(1)), F.array("l_linenumber", F.lit(2)))
+    return explode_periods(li.select("l_orderkey", F.lit("part").alias("filename"), pair.alias("pairs")), n_periods=3)
+
+
+def sql_nested_arrays():
+    return (
+        "SELECT l_orderkey, 'part' AS filename, CAST(m AS INTEGER) AS month, "
+        "CASE m WHEN 1 THEN [l_linenumber, 1] WHEN 2 THEN [l_linenumber, 2] END AS pairs FROM lineitem, range(1, 4) t(m)"
+    )
+
+
+def q_expression_columns(spark, sf_dir):
+    """Entries of a column list may be SQL text; a lineage column listed twice comes once."""
+    orders = table(spark, sf_dir, "orders").withColumn("filename", F.lit("f"))
+    return select_columns(orders, ["o_orderkey", "CAST(o_totalprice AS BIGINT) AS price", "filename", "upper(o_orderstatus) AS status"])
+
+
+def sql_expression_columns():
+    return "SELECT o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS price, upper(o_orderstatus) AS status, 'f' AS filename FROM orders"
+
+
+def q_row_counts(spark, sf_dir):
+    """Rows loaded and written, complete keys, duplicated keys and the largest group, as observed
+    during one Stage 2 write."""
+    base = stage_order_slices(spark, sf_dir)
+    out = scratch_path(spark, "orders-counts")
+    res = build_table(spark, "orders", _orders_spec(YEARS[0], YEARS[-1], primary_key=["o_custkey"]), base, out)
+    row = (res.stats["rows_loaded"], res.rows, res.stats["n_keys"], res.stats["n_duplicate_keys"], res.stats["max_group_rows"])
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("rows_loaded", "rows_written", "n_keys", "n_duplicate_keys", "max_group_rows")])
+    return literal_rows(spark, [row], schema)
+
+
+def sql_row_counts():
+    return (
+        "SELECT CAST(sum(n) AS BIGINT) AS rows_loaded, count(*) AS rows_written, count(*) AS n_keys, "
+        "count(*) FILTER (WHERE n > 1) AS n_duplicate_keys, max(n) AS max_group_rows "
+        "FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)"
+    )
+
+
 def q_flat_vs_array(spark, sf_dir):
     """The four Stage 2 outcomes on one input: output name and rows of each output."""
     base = stage_order_slices(spark, sf_dir)
@@ -493,9 +586,9 @@ def q_flat_vs_array(spark, sf_dir):
             name = "orders_array" if spec.aggregated else "orders"
             df = spark.read.parquet(f"{target}/{name}")
             frames.append(
-                df.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows")).select(
+                df.groupBy("year_shard").agg(F.count(F.lit(1)).alias("n_rows")).select(
                     F.lit(label).alias("outcome"),
-                    F.concat(F.lit(f"{name}/year="), F.col("year").cast("string")).alias("output"),
+                    F.concat(F.lit(f"{name}/year_shard="), F.col("year_shard").cast("string")).alias("output"),
                     "n_rows",
                 )
             )
@@ -515,10 +608,10 @@ def sql_flat_vs_array():
     return (
         f"SELECT 'aggregated' AS outcome, 'orders_1995_2001_array.parquet' AS output, count(*) AS n_rows "
         f"FROM (SELECT DISTINCT o_custkey, {y} FROM orders) "
-        f"UNION ALL SELECT 'aggregated_sharded', 'orders_array/year=' || CAST(yr AS VARCHAR), count(*) "
+        f"UNION ALL SELECT 'aggregated_sharded', 'orders_array/year_shard=' || CAST(yr AS VARCHAR), count(*) "
         f"FROM (SELECT DISTINCT o_custkey, {y} AS yr FROM orders) GROUP BY yr "
         f"UNION ALL SELECT 'flat', 'orders_1995_2001.parquet', count(*) FROM orders "
-        f"UNION ALL SELECT 'flat_sharded', 'orders/year=' || CAST({y} AS VARCHAR), count(*) FROM orders GROUP BY {y}"
+        f"UNION ALL SELECT 'flat_sharded', 'orders/year_shard=' || CAST({y} AS VARCHAR), count(*) FROM orders GROUP BY {y}"
     )
 
 
@@ -712,6 +805,28 @@ def sql_qc_sample():
     return f"SELECT * FROM lineitem ORDER BY {_order_by(LINEITEM_COLUMNS)} LIMIT 100"
 
 
+def q_run_qc(spark, sf_dir):
+    """The counts of ``run_qc`` on a written table with a key, NULLs and an expected column that is
+    missing, next to its status."""
+    out = scratch_path(spark, "qc")
+    path = f"{out}/events.parquet"
+    write_parquet(_events_with_nulls(spark, sf_dir), path)
+    spec = SelectSpec(name="events", path_pattern=f"{path}/*.parquet", columns=EVENT_COLUMNS + ["absent"], primary_key=["user_id"])
+    qc = run_qc(spark, spec, path, 2024, qc_dir=f"{out}/events.qc")
+    row = (qc["status"], qc["row_count"], qc["n_columns"], qc["null_counts"]["event_type"], qc["distinct_pk_count"], qc["duplicate_count"], len(qc["warnings"]))
+    names = ["status", "row_count", "n_columns", "null_event_types", "distinct_pk_count", "duplicate_count", "n_warnings"]
+    schema = T.StructType([T.StructField(n, T.StringType() if n == "status" else T.LongType()) for n in names])
+    return literal_rows(spark, [row], schema)
+
+
+def sql_run_qc():
+    return (
+        "SELECT 'warn' AS status, count(*) AS row_count, CAST(6 AS BIGINT) AS n_columns, count(*) FILTER (WHERE event_type = 'error') AS null_event_types, "
+        "CAST(count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS distinct_pk_count, "
+        "CAST(count(*) - count(DISTINCT user_id) - max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_count, CAST(2 AS BIGINT) AS n_warnings FROM events"
+    )
+
+
 QC_YEARS = list(range(1995, 2003))  # 2002 has no rows: reported as a warning
 
 
@@ -756,6 +871,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nest_children": q_nest_children,
         "conflict_summary": q_conflict_summary,
         "conflict_hot_key": q_conflict_hot_key,
+        "duplicate_key_counts": q_duplicate_key_counts,
         "explode_periods": q_explode_periods,
         "explode_ragged_arrays": q_explode_ragged_arrays,
         "unpivot_monthly": q_unpivot_monthly,
@@ -766,6 +882,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "year_range": q_year_range,
         "schema_drift": q_schema_drift,
         "shard_counts": q_shard_counts,
+        "shard_strings": q_shard_strings,
+        "nested_arrays": q_nested_arrays,
+        "expression_columns": q_expression_columns,
+        "row_counts": q_row_counts,
         "flat_vs_array": q_flat_vs_array,
         "backfill": q_backfill,
         "incremental_select": q_incremental_select,
@@ -775,6 +895,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qc_row_uniqueness": q_qc_row_uniqueness,
         "qc_report": q_qc_report,
         "qc_missing_columns": q_qc_missing_columns,
+        "run_qc": q_run_qc,
         "qc_sample": q_qc_sample,
     }
 
@@ -788,6 +909,7 @@ def oracle_sql() -> dict[str, str]:
         "nest_children": sql_nest_children(),
         "conflict_summary": sql_conflict_summary(),
         "conflict_hot_key": sql_conflict_hot_key(),
+        "duplicate_key_counts": sql_duplicate_key_counts(),
         "explode_periods": sql_explode_periods(),
         "explode_ragged_arrays": sql_explode_ragged_arrays(),
         "unpivot_monthly": sql_unpivot_monthly(),
@@ -798,6 +920,10 @@ def oracle_sql() -> dict[str, str]:
         "year_range": sql_year_range(),
         "schema_drift": sql_schema_drift(),
         "shard_counts": sql_shard_counts(),
+        "shard_strings": sql_shard_strings(),
+        "nested_arrays": sql_nested_arrays(),
+        "expression_columns": sql_expression_columns(),
+        "row_counts": sql_row_counts(),
         "flat_vs_array": sql_flat_vs_array(),
         "backfill": sql_backfill(),
         "incremental_select": sql_incremental_select(),
@@ -807,5 +933,6 @@ def oracle_sql() -> dict[str, str]:
         "qc_row_uniqueness": sql_qc_row_uniqueness(),
         "qc_report": sql_qc_report(),
         "qc_missing_columns": sql_qc_missing_columns(),
+        "run_qc": sql_run_qc(),
         "qc_sample": sql_qc_sample(),
     }

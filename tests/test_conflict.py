@@ -1,15 +1,15 @@
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_keys
+from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_key_counts, duplicate_keys
 
 
 def test_n1_basic_arrays_and_counts(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "z")], "k int, v string")
     out = rows(conflict_aggregate(df, ["k"]), ["k"])
     assert out == [
-        {"k": 1, "array_part": 0, "v": ["a", "b"], "n_distinct_v": 2},
-        {"k": 2, "array_part": 0, "v": ["z"], "n_distinct_v": 1},
+        {"k": 1, "v": ["a", "b"], "n_distinct_v": 2},
+        {"k": 2, "v": ["z"], "n_distinct_v": 1},
     ]
 
 
@@ -90,36 +90,30 @@ def test_invariants_on_lineitem(spark):
     assert agg["misaligned"] == 0 and agg["too_many"] == 0
 
 
-def test_hot_keys_split_into_bounded_pieces(spark):
-    big = spark.range(0, 300).select(
-        F.when(F.col("id") < 200, F.lit(0)).otherwise(F.col("id")).alias("k"),
-        (F.col("id") % 17).alias("v"),
-        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 3).alias("w"),
-    )
-    stats = {}
-    out = conflict_aggregate(big, ["k"], max_array_len=40, stats=stats)
-    assert stats["n_hot_keys"] == 1 and stats["max_group_rows"] == 200
-    r = rows(out)
-    hot = [x for x in r if x["k"] == 0]
-    cold = [x for x in r if x["k"] != 0]
-    assert all(x["array_part"] >= 1 for x in hot) and len(hot) >= 2
-    assert sum(len(x["v"]) for x in hot) == 200
-    assert all(len(x["v"]) < 120 for x in hot)  # about max_array_len, never the whole group
-    assert {x["n_distinct_v"] for x in hot} == {17}
-    assert {x["n_distinct_w"] for x in hot} == {3}
-    assert all(x["array_part"] == 0 and len(x["v"]) == 1 for x in cold)
-    assert sum(len(x["v"]) for x in r) == 300
+def test_one_row_for_each_key_at_any_size(spark):
+    def src(parts):
+        ids = spark.range(0, 100_001 + 300, 1, parts)
+        return ids.select(
+            F.when(F.col("id") <= 100_000, F.lit(0)).otherwise(F.col("id")).alias("k"),
+            (F.col("id") % 17).alias("v"),
+            F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 3).alias("w"),
+        )
+
+    out = conflict_aggregate(src(3), ["k"])
+    assert out.columns == ["k", "v", "n_distinct_v", "w", "n_distinct_w"]
+    assert out.count() == 301
+    hot = out.where("k = 0").first()
+    assert len(hot.v) == len(hot.w) == 100_001 and (hot.n_distinct_v, hot.n_distinct_w) == (17, 3)
+    assert list(zip(hot.v, hot.w)) == sorted(zip(hot.v, hot.w), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+    assert conflict_aggregate(src(7), ["k"], pieces=3).where("k = 0").first() == hot
     summ = {s["column_name"]: s for s in rows(conflict_summary(out, ["k"]))}
-    assert summ["v"]["n_keys"] == 101 and summ["v"]["n_conflict_keys"] == 1 and summ["v"]["max_n_distinct"] == 17
+    assert summ["v"]["n_keys"] == 301 and summ["v"]["n_conflict_keys"] == 1 and summ["v"]["max_n_distinct"] == 17
 
 
-def test_single_shuffle_without_hot_key_pass(spark):
+def test_key_filters_reach_the_scan(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    out = conflict_aggregate(li, ["l_orderkey", "l_linenumber"], max_array_len=None)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
-    assert "isnotnull(l_orderkey" in plan.lower() or "IsNotNull(l_orderkey)" in plan
+    plan = conflict_aggregate(li, ["l_orderkey", "l_linenumber"])._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(l_orderkey)" in plan and "Python" not in plan
 
 
 def test_duplicate_keys_counts_null_group(spark):
@@ -128,36 +122,40 @@ def test_duplicate_keys_counts_null_group(spark):
     assert out == [(False, 2), (True, 2)]
 
 
-def test_nested_distinct_count_is_linear(spark):
-    import time
-
-    n = 40000
+def test_nested_distinct_counts(spark):
+    n = 4000
+    ts = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 3 / 1000000)")
     df = spark.range(n).select(
         F.lit(1).alias("k"),
-        F.array(F.col("id") % 20000, F.lit(1)).alias("a"),
-        F.struct((F.col("id") % 7).alias("x")).alias("s"),
+        F.array(F.col("id") % 2000, F.lit(1)).alias("a"),
+        F.struct((F.col("id") % 7).alias("x"), F.lit(None).cast("int").alias("y")).alias("s"),
+        F.array(ts).alias("t"),
+        F.when(F.col("id") % 2 == 0, F.create_map(F.lit("a"), F.col("id") % 5)).alias("m"),
     )
-    t = time.perf_counter()
-    r = conflict_aggregate(df, ["k"], max_array_len=None).select("n_distinct_a", "n_distinct_s", F.size("a").alias("n")).first()
-    assert (r["n_distinct_a"], r["n_distinct_s"], r["n"]) == (20000, 7, n)
-    assert time.perf_counter() - t < 15  # the pairwise array_distinct path takes ~20 s here
+    out = conflict_aggregate(df, ["k"])
+    r = out.select(*[f"n_distinct_{c}" for c in "astm"], F.size("a").alias("n")).first()
+    assert tuple(r) == (2000, 7, 3, 5, n)
+    assert "array_distinct(flatten" in out._jdf.queryExecution().analyzed().toString()  # of hashed sets
+
+
+def test_both_duplicate_figures(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (None, 2), (None, 2), (2, None), (3, 3)], "a int, b int")
+    assert tuple(duplicate_key_counts(df, ["a", "b"]).first()) == (1, 2)
+    assert tuple(duplicate_key_counts(df.limit(0), ["a", "b"]).first()) == (0, 0)
 
 
 def test_user_columns_named_like_internal_helpers(spark):
     df = spark.createDataFrame([(1, 1, 2, 3, 4), (1, 5, 6, 7, 8)], "k int, _rows int, _h int, _n int, _parts int")
-    r = rows(conflict_aggregate(df, ["k"], max_array_len=1))[0:1]
-    assert sorted(sum((x["_rows"] for x in rows(conflict_aggregate(df, ["k"], max_array_len=1))), [])) == [1, 5]
-    assert r and r[0]["n_distinct__h"] == 2
+    r = rows(conflict_aggregate(df, ["k"]))
+    assert [x["_rows"] for x in r] == [[1, 5]] and r[0]["n_distinct__h"] == 2
 
 
 def test_edge_inputs(spark):
     empty = spark.createDataFrame([], "k int, v string")
     out = conflict_aggregate(empty, ["k"])
-    assert out.count() == 0 and out.columns == ["k", "array_part", "v", "n_distinct_v"]
+    assert out.count() == 0 and out.columns == ["k", "v", "n_distinct_v"]
     all_null = spark.createDataFrame([(None, "a"), (None, "a")], "k int, v string")
     assert conflict_aggregate(all_null, ["k"]).count() == 2
     keys_only = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
-    got = sorted((r["k"] is None, r["k"], r["array_part"]) for r in conflict_aggregate(keys_only, ["k"]).collect())
-    assert got == [(False, 1, 0), (False, 2, 0), (True, None, 0)]
-    keys_only_hot = conflict_aggregate(spark.createDataFrame([(1,)] * 5, "k int"), ["k"], max_array_len=2)
-    assert keys_only_hot.count() >= 1 and all(r["array_part"] >= 1 for r in keys_only_hot.collect())
+    got = sorted((r["k"] is None, r["k"] or 0) for r in conflict_aggregate(keys_only, ["k"]).collect())
+    assert got == [(False, 1), (False, 2), (True, 0)]

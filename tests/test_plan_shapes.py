@@ -11,26 +11,48 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_path_broadcasts_the_checked_hot_key_table(spark):
+def test_aggregation_is_lazy_without_forced_broadcast_or_expand(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     src = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")))
-    stats = {}
-    out = conflict_aggregate(src, ["l_orderkey"], max_array_len=500, stats=stats)
-    assert stats["n_hot_keys"] == 1
-    plan = _plan(out)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "hot-keys-" in plan  # the hot set is read back from the checkpoint folder
-    out.write.format("noop").mode("overwrite").save()
-
-
-def test_hot_path_correct_without_forced_broadcast(spark):
-    # beyond broadcast_limit no broadcast is forced; Spark decides from the table's size
-    df = spark.range(0, 60).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    out = conflict_aggregate(df, ["k"], max_array_len=5, broadcast_limit=1).collect()
-    assert sorted({r["k"] for r in out}) == [0, 1, 2]
-    assert all(r["array_part"] >= 1 for r in out)
-    assert sum(len(r["v"]) for r in out) == 60
-    assert {r["n_distinct_v"] for r in out} == {20}
+    plan = _plan(conflict_aggregate(src, ["l_orderkey"]))
+    assert not any(x in plan for x in ("Expand", "Join", "Python"))
+    assert plan.count("Exchange hashpartitioning") == 2  # pieces, then keys
+
+
+def test_build_table_pushes_the_key_filters_to_the_scan(spark, tmp_path):
+    from panelforge.plans.stage2 import build_table_df
+    from panelforge.session import observation
+
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_custkey", "o_orderstatus")
+    src.write.parquet(str(tmp_path / "orders_1"))
+    conf = {"year_min": 1, "year_max": 1, "path_pattern": "{basepath}/orders_{year}", "output_name": "o", "primary_key": ["o_custkey"]}
+    plan = build_table_df(spark, "orders", conf, str(tmp_path), loaded=observation("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_custkey)]" in plan and "PushedFilters: [IsNull(o_custkey)]" in plan
+
+
+def test_schema_check_runs_no_job_for_each_file(spark, tmp_path):
+    from panelforge.sources.parquet import file_schemas, glob_parquet
+
+    spark.range(400).repartition(40).write.parquet(str(tmp_path / "many"))
+    files = glob_parquet(spark, str(tmp_path / "many" / "*.parquet"))
+    assert len(files) == 40
+    group = spark.sparkContext
+    group.setJobGroup("schemas", "schemas")
+    try:
+        assert len({s.json() for s in file_schemas(spark, files)}) == 1
+        assert len(group.statusTracker().getJobIdsForGroup("schemas")) <= 1
+    finally:
+        group.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sharded_write_makes_few_files(spark, tmp_path):
+    import glob
+
+    from panelforge.sinks.parquet import write_sharded
+
+    df = spark.range(2000).repartition(40).select("id", (F.col("id") % 7).alias("s"))
+    write_sharded(df, str(tmp_path / "t"), "s")
+    assert len(glob.glob(f"{tmp_path}/t/*/part-*")) <= 14
 
 
 def test_qc_report_aggregates_once_per_measure(spark):

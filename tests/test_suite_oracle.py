@@ -6,7 +6,7 @@ import decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from panelforge import suite as E
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -54,7 +54,9 @@ def test_every_query_has_oracle():
 
 
 def test_entry_smoke(spark):
-    df = E.entry(spark)
+    import __spark_entry__
+
+    df = __spark_entry__.entry(spark)
     assert df.count() > 0 and "n_distinct_l_partkey" in df.columns
 
 
