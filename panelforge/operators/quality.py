@@ -129,12 +129,13 @@ def expected_output_columns(spec) -> list[str]:
     return configured
 
 
-def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year") -> DataFrame:
+def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year", counts: bool = False) -> DataFrame:
     """Per (slice, column of the common schema): ``data_type`` in that slice (NULL when absent),
-    ``target_type`` after widening, ``present``, ``type_changed`` (differs from the first slice
-    holding the column) and ``n_non_null`` (values the slice contributes; 0 when absent).
+    ``target_type`` after widening, ``present`` and ``type_changed`` (differs from the first slice
+    holding the column). These facts come from the schemas; no data is read.
 
-    The counts are one aggregate over the conformed union; the type facts come from the plans.
+    With ``counts`` also ``n_non_null`` (values the slice contributes; 0 when absent), from one
+    aggregate over the conformed union, which reads all slices.
     """
     target = target_schema([f.schema for f in frames], [str(x) for x in labels])
     first_type: dict[str, str] = {}
@@ -163,6 +164,8 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
             ]
         ),
     )
+    if not counts:
+        return meta_df
     tagged = [
         conform(fr, target).withColumn(label_col, F.lit(label).cast(label_type)) for fr, label in zip(frames, labels)
     ]
@@ -171,14 +174,14 @@ def schema_drift(frames: list[DataFrame], labels: list, label_col: str = "year")
         union = union.union(t)
     names = [f.name for f in target.fields]
     wide = union.groupBy(col(label_col)).agg(*[F.count(col(c)).alias(f"__pf_c{i}") for i, c in enumerate(names)])
-    counts = wide.select(
+    filled = wide.select(
         col(label_col),
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__pf_c{i}").alias("n_non_null")) for i, c in enumerate(names)])
         ),
     )
     # both sides are bounded by (slices x columns): metadata, not data
-    return meta_df.join(F.broadcast(counts), [label_col, "column_name"], "left").select(
+    return meta_df.join(F.broadcast(filled), [label_col, "column_name"], "left").select(
         col(label_col),
         "column_name",
         "data_type",

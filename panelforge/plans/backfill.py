@@ -51,3 +51,21 @@ def backfill(
     out = [report[y] for y in years]
     LOGGER.info("backfill %s: %s", spec.name, {r["year"]: r["status"] for r in out})
     return out
+
+
+def backfill_tables(spark: SparkSession, wanted: list[tuple], force: bool = False, concurrent_years: int = 1) -> list[dict]:
+    """Stage 1 for every wanted (spec, years) whose output is missing: several tables in one run.
+
+    Returns the rows of ``backfill`` with the ``table``'s name, in the order of ``wanted``. Two
+    wanted tables that would write the same output are refused before any work starts.
+    """
+    specs = [(as_select_spec(spec), list(years)) for spec, years in wanted]
+    targets = [spec.output_path(year) for spec, years in specs for year in years]
+    twice = sorted({t for t in targets if targets.count(t) > 1})
+    if twice:
+        raise ValueError(f"several wanted tables write to {twice}")
+    return [
+        {"table": spec.name, **row}
+        for spec, years in specs
+        for row in backfill(spark, spec, years, force=force, concurrent_years=concurrent_years)
+    ]

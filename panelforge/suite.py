@@ -49,6 +49,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def check_years(df: DataFrame, ts_col: str, years: list[int] = YEARS) -> None:
+    """Slices cover all rows: a date outside ``years``, or none, is an error and never a lost row."""
+    outside = df.where(F.col(ts_col).isNull() | ~F.year(ts_col).between(years[0], years[-1])).limit(1).count()
+    if outside:
+        raise ValueError(f"{ts_col} holds rows outside {years[0]}..{years[-1]}")
+
+
 def year_slice(df: DataFrame, ts_col: str, year: int) -> DataFrame:
     """Rows of one calendar year as a range predicate, so the filter reaches the Parquet scan."""
     return df.where(
@@ -389,6 +396,7 @@ def stage_order_slices(spark: SparkSession, sf_dir: str, years: list[int] = YEAR
     """Write one Parquet dataset per year (``orders_<year>.parquet``); returns the folder."""
     base = scratch_path(spark, "orders-slices")
     orders = table(spark, sf_dir, "orders")
+    check_years(orders, "o_orderdate")
 
     def write(y: int) -> None:
         write_parquet(_slice_variant(year_slice(orders, "o_orderdate", y), y), f"{base}/orders_{y}.parquet")
@@ -429,8 +437,9 @@ def sql_year_range():
 
 def q_schema_drift(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
+    check_years(orders, "o_orderdate")
     frames = [_slice_variant(year_slice(orders, "o_orderdate", y), y) for y in YEARS]
-    return schema_drift(frames, YEARS, label_col="slice_year")
+    return schema_drift(frames, YEARS, label_col="slice_year", counts=True)
 
 
 def sql_schema_drift():
@@ -653,6 +662,7 @@ def q_incremental_select(spark, sf_dir):
     """Raw monthly-array files arrive in two deliveries (1995-1998, then 1999-2001); each
     incremental run explodes only the files it has not seen."""
     orders = table(spark, sf_dir, "orders")
+    check_years(orders, "o_orderdate")
     raw, out = scratch_path(spark, "orders-raw"), scratch_path(spark, "orders-incremental")
     ckpt = scratch_path(spark, "orders-incremental-ckpt")
     spec = SelectSpec(name="orders_amt", path_pattern="", columns=["o_orderkey", "year", "amt"], explode_arrays=True)
@@ -686,6 +696,7 @@ def q_stage1_to_stage2(spark, sf_dir):
     lineage) -> Stage 2 (years by name, one row per line key and year, sharded by year) -> per
     shard: keys, source rows, keys whose quantity conflicts."""
     li = table(spark, sf_dir, "lineitem")
+    check_years(li, "l_shipdate")
     raw, inter, out = (scratch_path(spark, n) for n in ("lineitem-raw", "lineitem-inter", "lineitem-out"))
 
     def deliver(y: int) -> None:

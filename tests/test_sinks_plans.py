@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from panelforge.plans.backfill import backfill
+from panelforge.plans.backfill import backfill, backfill_tables
 from panelforge.plans.qc import qc_report, run_qc
 from panelforge.plans.stage1 import process_year, select_year
 from panelforge.plans.stage2 import build_table
@@ -171,3 +171,28 @@ def test_qc_report_on_empty_table(spark):
     assert rep[(2000, "row_count", None)] == (0, "warn")
     assert rep[(2000, "null_count", "k")] == (0, "ok")
     assert rep[(2000, "duplicate_count", None)] == (0, "ok")
+
+
+def test_backfill_of_several_tables(spark, tmp_path):
+    raw = _stage_raw(spark, tmp_path)
+
+    def spec(name):
+        return SelectSpec(name=name, path_pattern=raw + "/{year}/*.parquet", output_dir=str(tmp_path / "inter"),
+                          columns=["person_id", "year"], output_name=name + "_{year}")
+
+    first = backfill_tables(spark, [(spec("a"), [1996])])
+    both = backfill_tables(spark, [(spec("a"), [1996, 1997]), (spec("b"), [1997])])
+    assert [r["status"] for r in first] == ["built"]
+    assert [(r["table"], r["year"], r["status"]) for r in both] == [("a", 1996, "existing"), ("a", 1997, "built"), ("b", 1997, "built")]
+    with pytest.raises(ValueError, match="several wanted tables"):
+        backfill_tables(spark, [(spec("a"), [1996]), (spec("a"), [1996])])
+
+
+def test_incremental_refuses_a_file_that_lacks_a_column(spark, tmp_path):
+    from panelforge.streaming.incremental import stream_selected
+
+    spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.parquet(str(tmp_path / "raw" / "x1"))
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(str(tmp_path / "raw" / "x2"))
+    spec = SelectSpec(name="t", path_pattern="", columns=["a"])
+    with pytest.raises(ValueError, match="missing"):
+        stream_selected(spark, spec, str(tmp_path / "raw" / "*" / "*.parquet"))
