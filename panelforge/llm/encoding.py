@@ -29,6 +29,8 @@ UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
 #: Pieces that a worker remembers; beyond them it starts again.
 REMEMBERED = 400_000
+#: Pieces handed to the tokenizer at once; its result objects hold about a kilobyte each.
+AT_ONCE = 8192
 
 _workers: dict[tuple, Encoder] = {}
 
@@ -55,14 +57,17 @@ class Encoder:
     def _solve(self, new: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
         """(number of ids of each piece, [all ids, and with ``spans`` their begins and ends])."""
         encode = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
-        found = encode(new, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        columns = [np.fromiter((x for v in ids for x in v), np.int64, int(sizes.sum()))]
-        if self.spans:
-            spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
-            columns += [spans[:, 0], spans[:, 1]]
-        return sizes, columns
+        sizes, columns = [], []
+        for at in range(0, len(new), AT_ONCE):
+            found = encode(new[at : at + AT_ONCE], add_special_tokens=False)
+            ids = [e.ids for e in found]
+            sizes += map(len, ids)
+            own = [np.array([x for v in ids for x in v], np.int64)]
+            if self.spans:
+                spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
+                own += [spans[:, 0], spans[:, 1]]
+            columns.append(own)
+        return np.array(sizes, np.int64), [np.concatenate(c) for c in zip(*columns)]
 
     def _learn(self, new: list[str]) -> None:
         sizes, columns = self._solve(new)
