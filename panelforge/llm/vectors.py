@@ -5,10 +5,17 @@ random projections, so that similar vectors come to stand near each other. Neigh
 bounded window are compared (exact cosines of a whole block at once), and the links found are
 united over passes into components. Direct links are then counted exactly inside each component,
 in blocks of bounded size. Equal vectors form one class first.
+
+The projections are of the vectors less their label's mean, and the number of passes follows the
+label (``turns``): its vectors, and how much of them the mean takes up, give the chance that one
+pass brings a pair at the threshold into the window. A label that would need so many passes that
+they compare more than all its pairs has all its pairs compared.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,6 +29,10 @@ from panelforge.llm.tables import parts, ship, staged
 PASSES = 8
 WINDOW = 256
 BLOCK = 1024
+#: Share of the pairs just at the threshold that the passes are to find in each label.
+RECALL = 0.996
+#: Bytes of the labels' means up to which they are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 
 def _unit(vectors: pa.Array) -> pa.Array:
@@ -37,19 +48,91 @@ def _unit(vectors: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def _signs(passes: int):
-    """For each vector, one 64-bit key a pass: the signs of 64 projections, as sortable integers."""
+def turns(n: int, shared: float, threshold: float, passes: int = PASSES, window: int = WINDOW, recall: float = RECALL) -> int:
+    """Passes over a label of ``n`` vectors whose mean has the squared length ``shared``; 0 stands
+    for all pairs.
+
+    Signs of one projection agree with chance 1 - angle / pi, and a pair comes into the window if
+    it agrees in the first log2(n / window) of them. Without the mean, a pair at ``threshold`` has
+    the cosine 1 - (1 - threshold) / (1 - shared). At least ``passes``, but one where the window
+    holds the whole label.
+    """
+    if n <= window + 1:
+        return 1
+    cosine = 1 - (1 - threshold) / max(1 - shared, 1e-12)
+    agree = 1 - math.acos(min(1.0, max(-1.0, cosine))) / math.pi
+    chance = agree ** math.log2(n / window)
+    needed = passes if chance >= recall else math.inf if chance < 1e-12 else math.log1p(-recall) / math.log1p(-chance)
+    if needed > passes and 2 * window * needed >= n:
+        return 0
+    return max(passes, math.ceil(needed))
+
+
+def _labels(classes: DataFrame, plan) -> DataFrame:
+    """(label, size, mean, n, turns) of the labels (for each length of vectors) that need more than one pass."""
+    schema = pa.schema([("label", pa.int64()), ("size", pa.int32()), ("n", pa.int64()), ("total", pa.binary())])
+
+    def rows(sums: dict) -> pa.RecordBatch:
+        columns = [k[0] for k in sums], [k[1] for k in sums], [v[0] for v in sums.values()], [v[1].tobytes() for v in sums.values()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+    def add(batches):
+        sums, held = {}, 0
+        for batch in batches:
+            for label, unit in zip(batch.column("label").to_pylist(), batch.column("unit").to_pylist()):
+                x = np.frombuffer(unit, "<f8")
+                own = sums.get((label, len(x)))
+                if own is None:
+                    own = sums[label, len(x)] = [0, np.zeros(len(x))]
+                    held += len(unit)
+                own[0] += 1
+                own[1] += x
+            if held > 8 << 20:
+                yield rows(sums)
+                sums, held = {}, 0
+        if sums:
+            yield rows(sums)
+
+    kind = pa.schema([("label", pa.int64()), ("size", pa.int32()), ("mean", pa.binary()), ("n", pa.int64()), ("turns", pa.int32())])
+
+    def finish(group):
+        n = sum(group.column("n").to_pylist())
+        mean = sum(np.frombuffer(t, "<f8") for t in group.column("total").to_pylist()) / n
+        own = plan(n, float(mean @ mean))
+        return pa.table([pa.array([v], t) for v, t in zip((group["label"][0].as_py(), len(mean), mean.tobytes(), n, own), kind.types)], schema=kind)
+
+    partial = classes.select("label", "unit").mapInArrow(add, "label long, size int, n long, total binary")
+    found = partial.groupBy("label", "size").applyInArrow(lambda group: finish(group), "label long, size int, mean binary, n long, turns int")
+    return found.where("turns <> 1")
+
+
+def _signs():
+    """For each vector, one 64-bit key a pass: the signs of 64 projections of it less its label's
+    mean (if given), as sortable integers."""
+    planes = {}
+
+    def plane(size: int, turn: int) -> np.ndarray:
+        if (size, turn) not in planes:
+            if len(planes) * size > 1 << 16:  # at most 32 MB
+                planes.clear()
+            planes[size, turn] = np.random.default_rng([size, turn]).standard_normal((size, 64))
+        return planes[size, turn]
 
-    def signs(units: pa.Array) -> pa.Array:
-        x = [np.frombuffer(u, "<f8") for u in units.to_pylist()]
-        keys = np.zeros((len(x), passes), np.int64)
-        for size in {len(v) for v in x}:
-            at = [i for i, v in enumerate(x) if len(v) == size]
-            planes = np.random.default_rng(size).standard_normal((size, 64 * passes))
-            bits = (np.stack([x[i] for i in at]) @ planes > 0).reshape(len(at), passes, 64)
-            weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
-            keys[at] = (bits * weights).sum(axis=2, dtype=np.uint64).view(np.int64)
-        return pa.array(list(keys), pa.list_(pa.int64()))
+    def signs(units: pa.Array, means: pa.Array, passes: pa.Array) -> pa.Array:
+        x = [np.frombuffer(u, "<f8") if m is None else np.frombuffer(u, "<f8") - np.frombuffer(m, "<f8") for u, m in zip(units.to_pylist(), means.to_pylist())]
+        passes = np.array(passes.to_pylist(), np.int64)
+        size = np.array([len(v) for v in x], np.int64)
+        keys = [np.zeros(n, np.int64) for n in passes]
+        weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+        for d in np.unique(size):
+            at = np.flatnonzero(size == d)
+            own = np.stack([x[i] for i in at])
+            for turn in range(passes[at].max()):
+                some = np.flatnonzero(passes[at] > turn)
+                bits = own[some] @ plane(int(d), turn) > 0
+                for i, key in zip(at[some], (bits * weights).sum(axis=1, dtype=np.uint64).view(np.int64)):
+                    keys[i][turn] = key
+        return pa.array(keys, pa.list_(pa.int64()))
 
     return arrow_udf(signs, "array<bigint>").asNondeterministic()
 
@@ -79,7 +162,8 @@ def _place(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([part] * n, pa.int32()), pa.array(range(seen, seen + n), pa.int64())], schema=schema)
             seen += n
 
-    rows = rows.repartitionByRange("turn", "label", "key", "rep").sortWithinPartitions("turn", "label", "key", "rep")
+    order = ["turn", "label", F.length("unit"), "key", "rep"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select("turn", "label", "rep", "unit").mapInArrow(number, "turn int, label long, rep long, unit binary, part int, pos long")
 
 
@@ -92,13 +176,15 @@ def near_vectors(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     label_col: str = "label",
+    recall: float = RECALL,
 ) -> DataFrame:
     """(id, n_links, component_id, kept), one row for each vector.
 
     Vectors link when their labels are equal and not null and their cosine, in double precision,
     is at least ``threshold``; ``n_links`` counts the other vectors of the component that link
     directly (copies included), ``component_id`` is the smallest id reachable by links found, and
-    ``kept`` says whether that is the vector itself.
+    ``kept`` says whether that is the vector itself. ``passes`` are made at least, more where a label
+    needs them for ``recall`` (see ``turns``).
 
     Null, empty and zero vectors, and those with null or non-finite parts, link with nothing;
     vectors of unequal length don't link. Rows that repeat an id count as vectors of their own
@@ -110,7 +196,12 @@ def near_vectors(
     rows = staged(rows, "vectors")
     usable = rows.where("unit is not null and label is not null and id is not null")
     classes = staged(usable.groupBy("label", "unit").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "vector-classes")
-    keyed = classes.select("label", "rep", "unit", F.posexplode(_signs(passes)("unit")).alias("turn", "signed"))
+    labels = staged(_labels(classes, lambda n, shared: turns(n, shared, threshold, passes, window, recall)), "vector-labels")
+    about = labels.agg(F.sum(F.length("mean")).alias("held"), F.min("turns").alias("least")).first()
+    sized = classes.select("label", "rep", "unit", F.expr("int(length(unit) div 8)").alias("size"))
+    sized = sized.join(F.broadcast(labels) if (about.held or 0) <= BROADCAST_BYTES else labels, ["label", "size"], "left")
+    passing = sized.withColumn("turns", F.coalesce("turns", F.lit(1))).where("turns > 0")
+    keyed = passing.select("label", "rep", "unit", F.posexplode(_signs()("unit", "mean", "turns")).alias("turn", "signed"))
     keyed = keyed.withColumn("key", F.col("signed").bitwiseXOR(F.lit(-(2**63))))  # unsigned order
     placed = staged(_place(keyed.select("turn", "label", "key", "rep", "unit")), "vector-order")
     runs = placed.groupBy("part").agg(F.count("*").alias("n"))  # a row for each task
@@ -120,6 +211,16 @@ def near_vectors(
     own = F.expr(f"place div {block}")
     tail = F.expr(f"place % {block} >= {block - window}")
     placed = placed.select("turn", "label", "rep", "unit", "place", F.explode(F.when(tail, F.array(own, own + 1)).otherwise(F.array(own))).alias("block"))
+    none = F.lit(0).cast("long")
+    placed = placed.select("*", none.alias("home"), none.alias("length"), none.alias("i"), none.alias("j"))
+    if about.least == 0:  # all pairs of some labels: each pair of their blocks is a group, at the same place
+        every = sized.where("turns = 0").withColumn("blocks", F.expr(f"(n + {block - 1}) div {block}"))
+        every = every.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumn("j", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        every = every.select(
+            F.lit(0).alias("turn"), "label", "rep", "unit", none.alias("place"), F.lit(-1).cast("long").alias("block"),
+            F.col("label").alias("home"), F.col("size").cast("long").alias("length"), F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"),
+        )
+        placed = placed.unionByName(every)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(key, group):
@@ -144,7 +245,7 @@ def near_vectors(
                 b += rep[new].tolist()
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
-    links = placed.groupBy("block").applyInArrow(lambda key, group: compare(key, group), "a long, b long").distinct()
+    links = placed.groupBy("block", "home", "length", "i", "j").applyInArrow(lambda key, group: compare(key, group), "a long, b long").distinct()
     found = connected_components(links).select(F.col("id").alias("rep"), F.col("component").alias("component_id"))
     counted = _count_links(classes.join(found, "rep"), threshold, block)
     classes = classes.join(found, "rep", "left").join(counted, ["label", "rep", "component_id"], "left")

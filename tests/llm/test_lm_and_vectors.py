@@ -96,3 +96,28 @@ def test_vectors_against_brute_force(spark, sizes):
 
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+@pytest.mark.parametrize("shared", [0.0, 0.5, 0.85])
+def test_passes_follow_the_label(spark, shared):
+    rng = np.random.default_rng(8)
+    n, pairs = 3000, 400
+    z = rng.normal(size=(n, 48)) * (np.arange(48) > 0)
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    a, w = z[:pairs], z[-pairs:]
+    w = w - (w * a).sum(axis=1)[:, None] * a
+    c = (0.935 - shared) / (1 - shared)
+    z[-pairs:] = c * a + math.sqrt(1 - c * c) * w / np.linalg.norm(w, axis=1)[:, None]
+    x = math.sqrt(1 - shared) * z
+    x[:, 0] = math.sqrt(shared)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    found = {r.vec_id: r.component_id for r in near_vectors(df, window=8, block=128).collect()}
+    assert sum(found[i] == found[n - pairs + i] for i in range(pairs)) >= 0.985 * pairs
+
+
+def test_number_of_passes():
+    from panelforge.llm.vectors import turns
+
+    assert turns(257, 0.9, 0.93) == 1 and turns(2000, 0.0, 0.93) == 8
+    assert [turns(n, 0.0, 0.93) for n in (100_000, 1_000_000)] == [14, 23] and turns(1_000_000, 0.5, 0.93) == 49
+    assert turns(1_000_000, 0.92, 0.93) == 0 and turns(1_000_000, 1.0, 0.93) == 0
