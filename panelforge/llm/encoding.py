@@ -6,7 +6,8 @@ once for each Python worker. Cuts are made
 
 * before a run of white space that follows a non-space character (and, for vocabularies that drop
   white space, behind it as well),
-* between a letter and one of the marks ``MARKS`` behind it.
+* between a letter and one of the marks ``MARKS`` behind it,
+* with ``specials``, around the strings of the file's added tokens and nowhere in them.
 
 Pieces are looked up in a bounded cache; the ids are gathered with numpy. The result equals
 encoding the whole text (tested on whole tables).
@@ -15,6 +16,7 @@ encoding the whole text (tested on whole tables).
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,23 @@ _workers: dict[tuple, Encoder] = {}
 
 
 class Encoder:
-    """``lower``: the vocabulary ignores case and drops white space."""
+    """``lower``: the vocabulary ignores case and drops white space. ``specials``: strings of the
+    file's added tokens get their ids, as in the library's default; else they are ordinary text."""
 
-    def __init__(self, path: str, lower: bool = False, spans: bool = False):
+    def __init__(self, path: str, lower: bool = False, spans: bool = False, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not specials
+        self.added = None
+        if specials:
+            added = list(self.tokenizer.get_added_tokens_decoder().values())
+            if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added):
+                raise ValueError(f"{path}: added tokens that look at their surroundings are not supported")
+            if added:  # the longest first, as the library matches them
+                strings = sorted((t.content.encode() for t in added), key=len, reverse=True)
+                self.added = re.compile(b"|".join(map(re.escape, strings)))
         self.lower, self.spans = lower, spans
         self._clear()
 
@@ -109,15 +120,35 @@ class Encoder:
         cut[begin[begin < len(data)]] = True
         return np.flatnonzero(cut)
 
+    def _marked(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """(begin, end) of the added tokens' strings in the texts."""
+        if self.added is None:
+            return np.zeros((0, 2), np.int64)
+        raw = np.ascontiguousarray(data).tobytes()
+        if not self.added.search(raw):
+            return np.zeros((0, 2), np.int64)
+        found = [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in self.added.finditer(raw, a, b)]
+        return np.array(found, np.int64).reshape(-1, 2)
+
+    def _around(self, marked: np.ndarray, starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """``starts`` with cuts at both ends of the marked strings and none in them."""
+        if not len(marked):
+            return starts
+        at = np.searchsorted(marked[:, 0], starts, "right") - 1
+        inside = (at >= 0) & (starts > marked[at, 0]) & (starts < marked[at, 1])
+        out = np.union1d(starts[~inside], marked)
+        return out[out < offsets[-1]]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """([ids], first id of each text and the end); with ``spans`` also the ids' character spans."""
         if not len(data):
             return [np.zeros(0, np.int64) for _ in self.flat], np.zeros(len(offsets), np.int64)
+        marked = self._marked(data, offsets)
         if self.lower:
             after = np.append(data[1:], 0)
             plain = UPPER[data] & ((after < 0x80) | (after == 0xC2) | (after == 0xC3))
             data = np.where(plain, data + 32, data).astype(np.uint8)
-        starts = self._cuts(data, offsets)
+        starts = self._around(marked, self._cuts(data, offsets), offsets)
         ends = np.append(starts[1:], len(data))
         bounds = np.append(starts, len(data)).astype(np.int32)
         chunk = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
@@ -150,8 +181,9 @@ class Encoder:
 
 
 def encoder(path: str, lower: bool = False, spans: bool = False) -> Encoder:
-    """This Python worker's encoder for a vocabulary file (loaded and filled once)."""
+    """This Python worker's encoder for a vocabulary file (loaded and filled once): ids are those of
+    the library's ``encode`` of whole texts with ``add_special_tokens=False``."""
     key = (path, lower, spans)
     if key not in _workers:
-        _workers[key] = Encoder(path, lower, spans)
+        _workers[key] = Encoder(path, lower, spans, specials=True)
     return _workers[key]

@@ -123,3 +123,35 @@ def test_token_counts(odd_docs, no_docs, vocabulary):
         assert sum(r.n_tokens for r in own.values()) == len(whole.ids) == own[False, 0].doc_tokens
         assert own[False, 0].stop == len(source) + 1 and own[True, 0].start == len(source) + 1
     assert token_counts(no_docs, vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+MARKED = [
+    "end of page <|endoftext|> next", "<|endoftext|>", "a<|endoftext|>b<|endoftext|><|endoftext|> ", "<|ENDOFTEXT|> <|EndOfText|>x", "<|startoftext|>A b.<|endoftext|>\n\nC",
+    "<|endoftext| >", "<|<|endoftext|>|>", "x  <|endoftext|>  y", "é<|endoftext|>\u0301é", "Word.<|endoftext", "|> later", "...<|endoftext|>...", *[t for t in ODD if t != ""], "",
+]
+
+
+@pytest.mark.parametrize(("name", "lower"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+@pytest.mark.parametrize("spans", [False, True])
+def test_added_tokens_as_in_the_library(vocabulary, name, lower, spans):
+    tool = Tokenizer.from_file(vocabulary(name))
+    for at_once in (1, 4 << 20):
+        own = list(encoding.encoder(vocabulary(name), lower, spans).texts(pa.array(MARKED, pa.string()), at_once))
+        for text, found in zip(MARKED, own, strict=True):
+            whole = tool.encode(text or "", add_special_tokens=False)
+            assert found[0].tolist() == whole.ids, text
+            if spans and not lower:
+                assert list(zip(found[1].tolist(), found[2].tolist())) == whole.offsets, text
+
+
+def test_token_file_and_packing_with_added_tokens(spark, vocabulary, tmp_path):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(MARKED)], "doc_id long, text string, source string")
+    write_token_file(docs, path := str(tmp_path / "ids"), vocabulary("word_bpe_49k.json"), 2)
+    tool = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    whole = [tool.encode(t or "", add_special_tokens=False).ids + [2] for t in MARKED]
+    found = sorted(read_token_file(spark, path, with_ids=True).collect(), key=lambda r: r.doc_id)
+    assert [r.ids for r in found] == whole
+    assert [r.start for r in found] == np.cumsum([0] + [len(v) for v in whole])[:-1].tolist()
+    tool = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    sizes = {r.doc_id: r.doc_tokens for r in pack_mixture(docs, vocabulary("byte_bpe_50k.json"), 1).collect()}
+    assert sizes == {i: len(tool.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(MARKED)}
