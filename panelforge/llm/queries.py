@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.llm.jaccard import jaccard_join
-from panelforge.llm.lm_score import backoff_scores
+from panelforge.llm.ngram_score import ngram_scores
 from panelforge.llm.packing import pack_mixture
 from panelforge.llm.quality import fit_quality, quality_rules
 from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secrets
@@ -110,8 +110,8 @@ def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's stupid-backoff score against the bigram counts of all documents."""
-    return backoff_scores(table(spark, sf_dir, "documents"))
+    """Every document's stupid-backoff score against the trigram counts of all other documents."""
+    return ngram_scores(table(spark, sf_dir, "documents"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
