@@ -1,6 +1,8 @@
 """Secret scan: candidates by shape, judged by a random forest that removes false positives.
 
-A candidate is a run of at least ``MIN_LENGTH`` characters of ``[A-Za-z0-9+/_-]`` with a digit.
+A candidate is a run of at least ``MIN_LENGTH`` characters of ``[A-Za-z0-9+/_-]`` with a digit, or,
+whatever its length and characters, a value that is assigned to a word for credentials on its line
+(in quotes what they hold, else up to a space) or the password of ``user:password@host``.
 The forest sees its length, character classes and their transitions, how much of it a dictionary
 covers, whether it stands in a path or address, and the words beside it. Spark fits the forest on
 a bounded sample of labelled findings; its trees are then broadcast as small arrays, so that
@@ -30,6 +32,13 @@ WORD = re.compile(r"[A-Za-z]{3,}")
 CREDENTIAL = re.compile(r"(?i)(passw|pwd|secret|token|api_?key|access_?key|private|credential|auth|bearer)")
 ASSIGNED = re.compile(r"[=:]\s*[\"'`]?$")
 ADDRESS = re.compile(r"(://|www\.|@|[/\\])[^\s]*$")
+#: What stands before a value that is assigned to a word for credentials.
+HEAD = r"(?:passw|pwd|secret|token|api[_-]?key|access[_-]?key|private|credential|auth(?!ors?\b)|bearer)[\w\-]{0,40}[\"'`\]]{0,2}[ \t]{0,16}(?::=|={1,3}>?|:(?!//))[ \t]{0,16}(?:(?:bearer|basic)[ \t]+)?"
+VALUE = re.compile(HEAD + r"(?:(?P<q>[\"'`])(?P<quoted>[^\n]+?)(?P=q)|(?P<bare>\S+))", re.I)
+HEADED = re.compile(HEAD + r"[\"'`]?$", re.I)
+LOGIN = re.compile(r"(?:(?<![\w.+\-])[\w.+\-]+|://):([^\s/]{1,512})@(?=[\w\[])")
+LOGGED = re.compile(r"(?:(?<![\w.+\-])([\w.+\-]+)|://):$")
+MAIL = re.compile(r"(?i)(e-?mail|mail|mailto|contact|from|to|cc|bcc|reply-to|sip|sips|xmpp|acct)")
 #: Shapes of keys that a provider issues with a fixed prefix.
 ISSUED = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abpr]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}")
 #: Labelled findings that the forest is fitted on, at most; documents they may come from, at most.
@@ -69,8 +78,25 @@ class SecretModel:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) in code points."""
-    return [m.span() for m in RUN.finditer(text) if DIGIT.search(m.group())]
+    """(start, end) in code points, in order and without overlaps; a run within a value is part of it."""
+    found = []
+    for m in VALUE.finditer(text):
+        a, b = m.span("quoted") if m["quoted"] else m.span("bare")
+        b = a + len(text[a:b].rstrip(",;\"'`"))
+        if m["bare"] and text[a:b][:1] in ("'", '"', "`"):  # a quote that is not closed on its line
+            a += 1
+        if a < b:
+            found.append((a, b))
+    if "@" in text:
+        found += [m.span(1) for m in LOGIN.finditer(text)]
+    found += [m.span() for m in RUN.finditer(text) if DIGIT.search(m.group())]
+    out = []
+    for a, b in sorted(found, key=lambda v: (v[0], -v[1])):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def describe(text: str, start: int, end: int, dictionary: frozenset) -> list[float]:
@@ -104,9 +130,15 @@ def describe(text: str, start: int, end: int, dictionary: frozenset) -> list[flo
 
 
 def rule_label(text: str, start: int, end: int) -> bool:
-    """Label of a finding where no reviewed one is given: an issued shape, or a value that is
-    assigned to a word for credentials."""
-    before = text[max(0, start - BESIDE) : start]
+    """Label of a finding where no reviewed one is given: an issued shape, a value that is assigned
+    to a word for credentials (but not a bare word of letters behind a colon and a space, which is
+    prose), or the password of an address."""
+    before = text[max(0, start - 2 * BESIDE) : start]
+    if HEADED.search(before):
+        return not (text[start:end].rstrip(".!?").isalpha() and before.endswith(": "))
+    if text[end : end + 1] == "@" and (user := LOGGED.search(before)):
+        return not MAIL.fullmatch(user[1] or "")
+    before = before[-BESIDE:]
     return bool(ISSUED.fullmatch(text[start:end]) or (ASSIGNED.search(before) and CREDENTIAL.search(" ".join(before.split()[-3:]))))
 
 
@@ -144,7 +176,8 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     that hold a candidate, dealt by a hash of the id. For use where no reviewed findings exist."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    some = texts.where(F.col("text").rlike(r"[A-Za-z0-9+/_\-]*[0-9][A-Za-z0-9+/_\-]{3,}"))
+    held = F.col("text").rlike(r"[A-Za-z0-9+/_\-]*[0-9][A-Za-z0-9+/_\-]{3,}")
+    some = texts.where(held | F.col("text").rlike("(?i)" + HEAD + r"\S") | F.col("text").rlike(r":[^\s/]+@"))
     # ids first: the single task that takes the smallest hashes sees ids only, max_documents from each task
     chosen = staged(some.select("id", F.xxhash64("id").alias("deal")).orderBy("deal", "id").limit(max_documents).select("id").distinct(), "secret-documents")
 
@@ -173,10 +206,13 @@ def fit_secrets(findings: DataFrame, trees: int = 25, depth: int = 6, max_rows:
     dictionary = frozenset(r.w for r in words.collect())
 
     def features(text: pa.Array, start: pa.Array) -> pa.Array:
-        out = []
+        out, last, ends = [], None, {}
         for t, a in zip(text.to_pylist(), start.to_pylist()):
+            if t != last:
+                last, ends = t, dict(candidates(t))
             m = RUN.match(t, a)
-            out.append(describe(t, a, m.end() if m else min(a + MIN_LENGTH, len(t)), dictionary) if a < len(t) else [0.0] * len(FEATURES))
+            end = ends.get(a) or (m.end() if m else min(a + MIN_LENGTH, len(t)))
+            out.append(describe(t, a, end, dictionary) if a < len(t) else [0.0] * len(FEATURES))
         return pa.array(out, pa.list_(pa.float64()))
 
     x = rows.select(F.col("is_secret").cast("double").alias("label"), array_to_vector(arrow_udf(features, "array<double>")("text", "start")).alias("features"))

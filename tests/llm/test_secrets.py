@@ -55,3 +55,31 @@ def test_odd_rows_without_a_model(odd_docs, no_docs):
     assert fit_secrets(labelled_findings(no_docs)) is None
     one_kind = labelled_findings(odd_docs).where(F.col("is_secret"))
     assert fit_secrets(one_kind) is None
+
+
+def test_values_of_any_shape_beside_credential_words():
+    cases = {
+        "login with password=hunter2 now": "hunter2", "pwd: S3cr3t!x": "S3cr3t!x", 'secret = "correct-horse-battery"': "correct-horse-battery",
+        "Password: Abc!defghijkl1mnop end": "Abc!defghijkl1mnop", "see ftp://bob:p!ss@host/x": "p!ss", "ssh bob:pass1@host": "pass1",
+        '{"api_key": "x y z", "n": 1}': "x y z", "Authorization: Bearer a.b.c": "a.b.c", "token := 'q'": "q", "key password=32bb02aa3b580bf8ab end": "32bb02aa3b580bf8ab",
+    }
+    for text, value in cases.items():
+        spans = candidates(text)
+        assert [text[a:b] for a, b in spans] == [value], text
+        assert rule_label(text, *spans[0]), text
+    for text in ("the secret: patience is all", "Author: Smith", "mailto:bob@host.org", "no secret here"):
+        assert not any(rule_label(text, a, b) for a, b in candidates(text)), text
+
+
+def test_short_values_leave_the_texts(spark):
+    r = __import__("random").Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    texts = [f"{word()} {word()} password={word()}{r.randint(1, 99)}! {word()}" for _ in range(60)]
+    texts += [f"{word()} item{r.randint(10**9, 10**10)}code {word()} the token: {word()} {word()}" for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = fit_secrets(labelled_findings(docs))
+    for row in scan_secrets(docs, model).collect():
+        if "password" in row.text:
+            assert row.secrets.redacted == row.text.split("=")[0] + "=" + REDACTED + row.text[row.text.rindex(" ") :]
+        else:
+            assert row.secrets.redacted == row.text
