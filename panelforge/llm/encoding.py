@@ -41,13 +41,15 @@ class Encoder:
     """``lower``: the vocabulary ignores case and drops white space. ``specials``: strings of the
     file's added tokens get their ids, as in the library's default; else they are ordinary text."""
 
+    #: Pattern of the added tokens' strings, if texts are searched for them.
+    added: re.Pattern | None = None
+
     def __init__(self, path: str, lower: bool = False, spans: bool = False, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not specials
-        self.added = None
         if specials:
             added = list(self.tokenizer.get_added_tokens_decoder().values())
             if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added):

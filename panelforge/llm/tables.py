@@ -25,6 +25,11 @@ ARROW_LIMITS = {
 }
 
 
+def as_number(spark: SparkSession, setting: str) -> int:
+    """A count or size as Spark reads it: ``2000``, ``16MB``, ``4194304b``."""
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the executors, once for each context, for their Python workers.
 
@@ -32,7 +37,7 @@ def ship(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     for name, most in ARROW_LIMITS.items():  # workers hold a few batches at once, beside the JVM
-        if int(spark.conf.get(name).rstrip("b")) not in range(1, most + 1):
+        if as_number(spark, spark.conf.get(name)) not in range(1, most + 1):
             spark.conf.set(name, str(most))
     if getattr(sc, "_panelforge_shipped", False):
         return

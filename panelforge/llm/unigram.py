@@ -238,7 +238,7 @@ class UnigramEncoder(Encoder):
         yield from super().texts(pc.if_else(pc.equal(column, ""), "", marked), max_bytes)
 
 
-_encoders: dict[int, UnigramEncoder] = {}
+_encoders: dict[str, UnigramEncoder] = {}
 
 
 def _encoder(shared) -> UnigramEncoder:
@@ -253,7 +253,7 @@ class _Shared:
 
     def __init__(self, spark, vocabulary):
         self._value = spark.sparkContext.broadcast(vocabulary)
-        self.id = f"{spark.sparkContext.applicationId}-{id(self._value)}"
+        self.id = f"{spark.sparkContext.applicationId}-{self._value._jbroadcast.id()}"
 
     @property
     def value(self):
