@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.llm.exact_dedup import exact_dedup
 from panelforge.llm.jaccard import jaccard_join
 from panelforge.llm.ngram_score import ngram_scores
 from panelforge.llm.packing import pack_mixture
@@ -122,6 +123,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "finding", "f.*")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its group of equal texts."""
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_lists": op1_url_lists,
@@ -134,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixture_packing": op8_mixture_packing,
         "op9_stupid_backoff": op9_stupid_backoff,
         "op10_secret_scan": op10_secret_scan,
+        "op11_exact_dedup": op11_exact_dedup,
     }
 
 
@@ -181,5 +188,12 @@ FROM seen s LEFT JOIN hits h ON s.page_id = h.page_id AND s.url = h.url
 """
 
 
+EXACT_DEDUP_SQL = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_lists": URL_LISTS_SQL}
+    return {"op1_url_lists": URL_LISTS_SQL, "op11_exact_dedup": EXACT_DEDUP_SQL}
