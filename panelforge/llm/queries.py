@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.exact_dedup import exact_dedup
 from panelforge.llm.jaccard import jaccard_join
+from panelforge.llm.merkle import audit, build_manifest, leaf_digest
 from panelforge.llm.ngram_score import ngram_scores
 from panelforge.llm.packing import pack_mixture
 from panelforge.llm.quality import fit_quality, quality_rules
@@ -128,6 +129,18 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
 
 
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and an audit in which some texts have lost their capitals."""
+    docs = table(spark, sf_dir, "documents")
+    plain = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    changed = F.when(hit, leaf_digest([F.col(c) for c in LEAF_FIELDS[:-1]] + [plain]))
+    return audit(build_manifest(docs, LEAF_FIELDS, changed=changed)).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_lists": op1_url_lists,
@@ -141,6 +154,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_stupid_backoff": op9_stupid_backoff,
         "op10_secret_scan": op10_secret_scan,
         "op11_exact_dedup": op11_exact_dedup,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
