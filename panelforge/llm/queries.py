@@ -20,6 +20,7 @@ from panelforge.llm.token_counts import token_counts
 from panelforge.llm.unigram import decode_pieces, encode_pieces, load_vocabulary
 from panelforge.llm.url_lists import canonical, url_list_join
 from panelforge.llm.vectors import near_vectors
+from panelforge.llm.whitening import whitened_rows
 
 
 def vocabulary(name: str) -> str:
@@ -129,6 +130,11 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four strongest whitened components of the distinct vectors."""
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -154,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_stupid_backoff": op9_stupid_backoff,
         "op10_secret_scan": op10_secret_scan,
         "op11_exact_dedup": op11_exact_dedup,
+        "op12_whitening": op12_whitening,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
