@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
-#: Pieces that a worker remembers; beyond them it starts again.
+#: Pieces that a worker remembers. Beyond them it forgets those used once since the last time, and
+#: all when that leaves more than half.
 REMEMBERED = 400_000
 #: Pieces handed to the tokenizer at once; its result objects hold about a kilobyte each.
 AT_ONCE = 8192
@@ -64,6 +66,7 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.size = np.zeros(1 << 12, np.int64)
         self.first = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int32)
         self.used = 0
         self.flat = [np.zeros(1 << 14, np.int32) for _ in range(3 if self.spans else 1)]
 
@@ -82,11 +85,10 @@ class Encoder:
             columns.append(own)
         return np.array(sizes, np.int64), [np.concatenate(c) for c in zip(*columns)]
 
-    def _learn(self, new: list[str]) -> None:
-        sizes, columns = self._solve(new)
+    def _store(self, new: list[str], sizes: np.ndarray, columns: list[np.ndarray]) -> None:
         at, total = len(self.known), self.used + len(columns[0])
         while len(self.size) < at + len(new):
-            self.size, self.first = (np.concatenate([v, np.zeros_like(v)]) for v in (self.size, self.first))
+            self.size, self.first, self.uses = (np.concatenate([v, np.zeros_like(v)]) for v in (self.size, self.first, self.uses))
         self.size[at : at + len(new)] = sizes
         self.first[at : at + len(new)] = self.used + np.cumsum(sizes) - sizes
         for i, column in enumerate(columns):
@@ -96,6 +98,18 @@ class Encoder:
         self.used = total
         self.known.update(zip(new, range(at, at + len(new))))
 
+    def _forget(self) -> None:
+        """Keep the pieces that were used in two batches or more since the last time."""
+        keep = np.flatnonzero(self.uses[: len(self.known)] > 1)
+        if not 0 < len(keep) <= REMEMBERED // 2:
+            return self._clear()
+        names, size = list(self.known), self.size[keep]
+        last = np.cumsum(size)
+        at = np.repeat(self.first[keep] - last + size, size) + np.arange(last[-1])
+        kept = [names[i] for i in keep.tolist()], size, [flat[at] for flat in self.flat]
+        self._clear()
+        self._store(*kept)
+
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Starts of the pieces."""
         space = SPACE[data]
@@ -151,17 +165,26 @@ class Encoder:
             plain = UPPER[data] & ((after < 0x80) | (after == 0xC2) | (after == 0xC3))
             data = np.where(plain, data + 32, data).astype(np.uint8)
         starts = self._around(marked, self._cuts(data, offsets), offsets)
-        ends = np.append(starts[1:], len(data))
-        bounds = np.append(starts, len(data)).astype(np.int32)
-        chunk = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        body, bounds = data, np.append(starts, len(data))
+        if self.lower and not self.spans:  # white space has no ids: its pieces and bytes go
+            solid = ~SPACE[data]
+            starts = starts[solid[starts]]
+            head = np.append(0, np.cumsum(solid))
+            body, bounds = data[solid], head[np.append(starts, len(data))]
+        if not len(starts):
+            return [np.zeros(0, np.int64) for _ in self.flat], np.zeros(len(offsets), np.int64)
+        chunk = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(body))])
         chunk = chunk.dictionary_encode()
-        names = chunk.dictionary.to_pylist()
+        names = chunk.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) + len(names) > REMEMBERED:
-            self._clear()
-        new = [w for w in names if w not in self.known]
-        if new:
-            self._learn(new)
-        known = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+            self._forget()
+        known = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = np.arange(len(self.known), len(self.known) + len(new))
+            fresh = [names[i] for i in new.tolist()]
+            self._store(fresh, *self._solve(fresh))
+        self.uses[known] += 1
         word = known[chunk.indices.to_numpy()]
         size = self.size[word]
         last = np.cumsum(size)

@@ -43,30 +43,29 @@ LANE = 128
 
 
 def _widths(ids: np.ndarray) -> np.ndarray:
-    """Bits of each id, and zeros behind the last one."""
-    bits = np.zeros(len(ids) + 240, np.uint8)
-    rest = ids.copy()
-    for shift in (32, 16, 8, 4, 2, 1):
-        big = np.flatnonzero(rest >> U64(shift))
-        bits[big] += shift
-        rest[big] >>= U64(shift)
-    bits[: len(ids)] += ids != 0
-    return bits
-
-
-def _selectors(bits: np.ndarray, at: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
-    """The selector that takes most ids from each place on; only the block's last word may be short."""
-    out = np.zeros(len(at), np.int64)
-    todo = np.arange(len(at))
-    for reach, choice in ((30, range(15, 3, -1)), (240, range(3, 0, -1))):
-        place = at[todo, None] + np.arange(reach)
-        seen = bits[place]
-        seen[(place >= stop[todo, None]) & (stop[todo, None] < n)] = 255
-        np.maximum.accumulate(seen, axis=1, out=seen)
-        for s in choice:  # from few wide ids to many narrow ones: the last that fits
-            out[todo[seen[:, COUNTS[s] - 1] <= WIDTHS[s]]] = s
-        todo = todo[seen[:, reach - 1] <= 1]
-        if not len(todo):
+    """Bits of each id."""
+    if len(ids) and ids.max() >> U64(52):
+        high = ids >> U64(32)
+        return np.where(high > 0, 32 + np.frexp(high.astype(float))[1], np.frexp((ids & U64(0xFFFFFFFF)).astype(float))[1]).astype(np.uint8)
+    return np.frexp(ids.astype(float))[1].astype(np.uint8)
+
+
+def _selectors(bits: np.ndarray, n: int) -> np.ndarray:
+    """For each place of a block, the selector that takes most ids from there on. Words end where their
+    lane does; only the block's last word may be short. ``bits`` has zeros behind the ``n`` ids."""
+    room = np.minimum(LANE - np.arange(n) % LANE, 255).astype(np.uint8)
+    room[n - (n % LANE or LANE) :] = 255  # the last lane
+    out = np.zeros(n, np.int64)
+    widest, reach = bits, 1  # of the ids at a place and reach - 1 behind it
+    for s in range(15, 0, -1):  # from few wide ids to many narrow ones: the last that fits
+        while reach < COUNTS[s]:
+            step = min(reach, int(COUNTS[s]) - reach)
+            widest = np.maximum(widest[:-step], widest[step:])
+            reach += step
+        fits = (widest[:n] <= WIDTHS[s]) & (room >= min(COUNTS[s], 255))
+        if fits.any():
+            out[fits] = s
+        elif not (widest[:n] <= WIDTHS[s]).any():
             break
     return out
 
@@ -77,13 +76,13 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if n == 0:
         return np.zeros(0, U64), np.zeros(0, U64)
-    bits = _widths(ids)
+    every = _selectors(np.append(_widths(ids), np.zeros(240, np.uint8)), n)
     # lanes of the block are walked side by side, one word of each a step
     at = np.arange(0, n, LANE)
     stop = np.minimum(at + LANE, n)
     heads, chosen = [], []
     while len(at):
-        selector = _selectors(bits, at, stop, n)
+        selector = every[at]
         heads.append(at)
         chosen.append(selector)
         at = at + COUNTS[selector]

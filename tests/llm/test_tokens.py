@@ -155,3 +155,15 @@ def test_token_file_and_packing_with_added_tokens(spark, vocabulary, tmp_path):
     tool = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
     sizes = {r.doc_id: r.doc_tokens for r in pack_mixture(docs, vocabulary("byte_bpe_50k.json"), 1).collect()}
     assert sizes == {i: len(tool.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(MARKED)}
+
+
+@pytest.mark.parametrize(("name", "lower"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+@pytest.mark.parametrize("remembered", [60, 400])
+def test_forgetting_pieces_changes_no_id(vocabulary, odd_docs, monkeypatch, name, lower, remembered):
+    monkeypatch.setattr(encoding, "REMEMBERED", remembered)
+    tool = encoding.Encoder(vocabulary(name), lower, specials=True)
+    texts = [r.text for r in odd_docs.select("text").collect() if len(r.text or "") < 5000]
+    for _ in range(3):  # batches of two texts, again and again
+        for i in range(0, len(texts), 2):
+            for text, (ids,) in zip(texts[i : i + 2], tool.texts(pa.array(texts[i : i + 2], pa.string()))):
+                assert ids.tolist() == tool.tokenizer.encode(text or "", add_special_tokens=False).ids
