@@ -22,7 +22,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
-from panelforge.llm.textops import SPACE, pieces
+from panelforge.llm.textops import SPACE, own_cache, pieces, tidy
 
 MARKS = np.zeros(256, bool)
 MARKS[list(b'.,;:!?|*#$%&"()')] = True
@@ -37,6 +37,7 @@ REMEMBERED = 400_000
 AT_ONCE = 8192
 
 _workers: dict[tuple, Encoder] = {}
+own_cache("encoders", _workers.clear)
 
 
 class Encoder:
@@ -45,6 +46,8 @@ class Encoder:
 
     #: Pattern of the added tokens' strings, if texts are searched for them.
     added: re.Pattern | None = None
+    #: The table of this worker that holds it.
+    cache = "encoders"
 
     def __init__(self, path: str, lower: bool = False, spans: bool = False, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker on each core
@@ -199,6 +202,7 @@ class Encoder:
 
     def texts(self, column: pa.Array, max_bytes: int = 4 << 20):
         """For each text of the column, its arrays (ids, and spans if asked for). Null counts as empty."""
+        tidy(self.cache)  # of the batch before
         for _, _, data, offsets in pieces(column, max_bytes):
             found, first = self.encode(data, offsets)
             for i in range(len(offsets) - 1):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.components import connected_components
-from panelforge.llm.textops import U64, mix, shingle_sets
+from panelforge.llm.textops import U64, mix, shingle_sets, tidy
 from panelforge.llm.tables import only, parts, ship, staged
 
 #: Documents of an open region up to which all pairs of its components are measured at once.
@@ -77,6 +77,7 @@ def _signature_udf(k: int, t: Fraction | None):
             first = s[: entry_size(n, t)] if t else s
             out.append((n, int(c1.view(np.int64)), int(c2.view(np.int64)), first.tobytes()))
         columns = zip(*out) if out else ((), (), (), ())
+        tidy("powers")
         return pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(columns, kind)], fields=list(kind))
 
     return arrow_udf(signature, "struct<n:bigint,c1:bigint,c2:bigint,entry:binary>").asNondeterministic()
@@ -395,7 +396,7 @@ def _join_entries(entries, texts, k, t, region_rows, wide) -> DataFrame:
         lost = region.join(common, "h", "left_semi").groupBy("rep").agg(F.count("*").alias("lost"))
         size = staged(size.drop("lost").join(lost, "rep", "left").withColumn("lost", F.coalesce("lost", F.lit(0))), "jaccard-sizes")
     else:
-        last = spark.createDataFrame([], "h long, rep long, rank int")
+        last = spark.range(0).selectExpr("id AS h", "id AS rep", "CAST(id AS INT) AS rank")
     # a shingle's rank among the others of its document is pos - lost at least
     region = region.join(common, "h", "left_anti").join(size, "rep").where(F.col("pos") < F.col("need") + F.col("lost"))
     region = region.select("h", "rep", F.greatest(F.col("pos") - F.col("lost"), F.lit(0)).cast("int").alias("rank"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.tables import ship, staged
-from panelforge.llm.textops import CONTINUATION, SPACE, U64, WINDOW_FACTORS, mix, pieces, prefix_hash, span_hash, windows, words
+from panelforge.llm.textops import CONTINUATION, SPACE, U64, WINDOW_FACTORS, mix, pieces, prefix_hash, span_hash, tidy, windows, words
 
 BITS = 15  # of a bucket, for words and characters each
 SCALE = 100.0
@@ -221,6 +221,7 @@ def _verdict_udf(spark, model: QualityModel | None, least: float):
         p = own.probability(m["margin"]) if own else np.full(len(failed), math.nan)
         good = ~failed & ((p >= least) if own else True)
         columns = {k: pa.array(m[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
+        tidy("powers")
         columns |= {"base_failed": pa.array(failed), "p_good": pa.array(p, mask=np.isnan(p)), "kept": pa.array(good)}
         return pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 

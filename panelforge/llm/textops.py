@@ -7,7 +7,8 @@ buffer, so no per-word Python runs. Hashes are 64 bits wide and the same on ever
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,25 @@ CONTINUATION[0x80:0xC0] = True
 _powers = {"n": 0, "up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
+_libc = ctypes.CDLL(None)
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def own_cache(name: str, clear: Callable[[], None]) -> None:
+    """Announce a table that this Python worker keeps between tasks."""
+    _caches[name] = clear
+
+
+def tidy(keep: str | None = None) -> None:
+    """End of a batch: give freed memory back to the system, and drop the tables that other operators
+    have left in this worker (all but ``keep``). Workers outlive stages, and what they hold adds up."""
+    for name, clear in _caches.items():
+        if name != keep:
+            clear()
+    pa.default_memory_pool().release_unused()
+    getattr(_libc, "malloc_trim", int)(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (new array)."""
     h = (h ^ (h >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -39,15 +59,20 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers["n"] < n:
-        size = max(n, 1 << 20)
+        made = {"n": max(n, 1 << 20)}
         for key, base in (("up", _R), ("down", _R_INV)):
-            steps = np.full(size, base, U64)
+            steps = np.full(made["n"], base, U64)
             steps[0] = 1
-            _powers[key] = np.cumprod(steps)
-        _powers["n"] = size
+            made[key] = np.cumprod(steps)
+        if n > 1 << 21:  # for this very long text alone
+            return made["up"], made["down"]
+        _powers.update(made)
     return _powers["up"], _powers["down"]
 
 
+own_cache("powers", lambda: _powers.update(n=0, up=np.ones(1, U64), down=np.ones(1, U64)))
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty text."""
     texts = pc.fill_null(texts, "")

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.encoding import Encoder
 from panelforge.llm.tables import ship
-from panelforge.llm.textops import CONTINUATION
+from panelforge.llm.textops import CONTINUATION, own_cache
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -206,6 +206,8 @@ class UnigramEncoder(Encoder):
         self.vocabulary, self.lower, self.spans = vocabulary, False, False
         self._clear()
 
+    cache = "unigrams"
+
     def _solve(self, new: list[str]):
         raw, ids, sizes, at = [w.encode() for w in new], [], [], 0
         while at < len(raw):  # the search holds some hundred bytes for each character
@@ -239,6 +241,7 @@ class UnigramEncoder(Encoder):
 
 
 _encoders: dict[str, UnigramEncoder] = {}
+own_cache("unigrams", _encoders.clear)
 
 
 def _encoder(shared) -> UnigramEncoder:
