@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.tables import ship, staged
+from panelforge.llm.textops import tidy
 
 MIN_LENGTH = 12
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{%d,}" % MIN_LENGTH)
@@ -171,15 +172,26 @@ def _trees(debug: str) -> tuple:
     return tuple(out)
 
 
+#: What every text with a candidate holds, without a search that grows with the square of a run.
+DIGIT_RUN, LIKELY = r"[0-9][A-Za-z0-9+/_\-]{3,}", "(?i)" + HEAD + r"\S|:[^\s/:@]*@"
+
+
 def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
     """(id, start, is_secret, text) of rule-labelled findings in at most ``max_documents`` documents
-    that hold a candidate, dealt by a hash of the id. For use where no reviewed findings exist."""
+    that hold a candidate. For use where no reviewed findings exist.
+
+    Half of the documents are drawn, by a hash of the id, from those with an assigned or issued value or an
+    address, where secrets are, and half from the others, so that both labels are in the sample however
+    rare secrets are. Rows with a null id or null text are left out; those that repeat an id come
+    with it. An empty table gives no findings."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    held = F.col("text").rlike(r"[A-Za-z0-9+/_\-]*[0-9][A-Za-z0-9+/_\-]{3,}")
-    some = texts.where(held | F.col("text").rlike("(?i)" + HEAD + r"\S") | F.col("text").rlike(r":[^\s/]+@"))
-    # ids first: the single task that takes the smallest hashes sees ids only, max_documents from each task
-    chosen = staged(some.select("id", F.xxhash64("id").alias("deal")).orderBy("deal", "id").limit(max_documents).select("id").distinct(), "secret-documents")
+    likely = F.col("text").rlike(LIKELY) | F.col("text").rlike(ISSUED.pattern)
+    held = texts.where("id is not null").select("id", F.xxhash64("id").alias("deal"), likely.alias("likely"), F.col("text").rlike(DIGIT_RUN).alias("run"))
+    held = staged(held.where("likely or run").drop("run"), "secret-candidates")
+    # of ids and hashes alone; the single task that takes the smallest sees max_documents from each task
+    part = lambda stratum: held.where(stratum).orderBy("deal", "id").limit(max_documents // 2).select("id")
+    chosen = staged(part("likely").union(part("not likely")).distinct(), "secret-documents")
 
     def find(column: pa.Array) -> pa.Array:
         return pa.array([[{"start": a, "is_secret": rule_label(t, a, b)} for a, b in candidates(t)] for t in column.to_pylist()], pa.list_(pa.struct([("start", pa.int64()), ("is_secret", pa.bool_())])))
@@ -259,6 +271,7 @@ def scan_secrets(docs: DataFrame, model: SecretModel | None, text_col: str = "te
                     parts += [t[last:a], REDACTED]
                     last = b
             clean.append("".join(parts) + t[last:])
+        tidy()
         return pa.StructArray.from_arrays([pa.array(found, _KIND), pa.array(clean, pa.string())], names=["findings", "redacted"])
 
     return docs.withColumn(result_col, arrow_udf(scan, FOUND).asNondeterministic()(F.col(text_col)))
