@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.functions.names import col
 from panelforge.llm.jaccard import jaccard_join
 from panelforge.llm.packing import pack_mixture
 from panelforge.llm.quality import fit_quality, quality_rules
@@ -18,35 +19,56 @@ from panelforge.llm.queries import vocabulary
 from panelforge.llm.secret_scan import fit_secrets, labelled_findings, scan_secrets
 from panelforge.llm.tables import only, staged, table
 
-RESULT = "_stage_result"
+
+def _free(docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has."""
+    taken, name = {c.lower() for c in docs.columns}, "stage_result"
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _same(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``docs`` alone, whatever characters their names hold."""
+    return df.select([col(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the calibrated regression keep."""
-    model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    judged = quality_rules(docs, model, result_col=RESULT)
-    return judged.where(F.col(f"{RESULT}.kept")).select(docs.columns)
+    """Documents that the base rules and the calibrated regression keep. Ids play no part: rows with a
+    null id or a repeated one are judged each by its text."""
+    model, result = fit_quality(docs, table(spark, sf_dir, "labels")), _free(docs)
+    return _same(quality_rules(docs, model, result_col=result).where(F.col(f"{result}.kept")), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. A null id links with nothing."""
+    """One document of each group stays: the one with the smallest id. A null id links with nothing.
+    Of rows that repeat an id and a text one stays, the first by its other columns' text."""
     groups = jaccard_join(docs)
-    stay = staged(groups.where("component_id = doc_id").select("doc_id").distinct(), "pipeline-stay")
-    return only(docs, stay, "doc_id").unionByName(docs.where("doc_id is null")).select(docs.columns)
+    kept = groups.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = staged(kept, "pipeline-stay")
+    single = only(docs, kept.where("n = 1").select("doc_id"), "doc_id")
+    several = only(docs, kept.where("n > 1").select("doc_id"), "doc_id")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min(F.struct(F.to_json(F.struct(*[col(c) for c in rest])).alias("order"), F.struct(*[col(c) for c in docs.columns]).alias("row")))
+    several = several.groupBy("doc_id", "text").agg(first.alias("first")).select("first.row.*")
+    none = docs.where("doc_id is null")
+    return _same(single, docs).unionByName(_same(several, docs)).unionByName(none)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with each secret replaced; ``n_chars`` counts the new text."""
-    model = fit_secrets(staged(labelled_findings(docs), "secret-labelled"))
-    clean = scan_secrets(docs, model, result_col=RESULT)
-    clean = clean.withColumn("text", F.col(f"{RESULT}.redacted"))
+    """All documents, with each secret replaced; ``n_chars`` counts the new text. Null text stays null;
+    ids play no part in it."""
+    model, result = fit_secrets(staged(labelled_findings(docs), "secret-labelled")), _free(docs)
+    clean = scan_secrets(docs, model, result_col=result)
+    clean = clean.withColumn("text", F.col(f"{result}.redacted"))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast("long"))
-    return clean.select(docs.columns)
+    return _same(clean, docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens, sources mixed to target shares."""
+    """Pieces of all documents in sequences of 2048 tokens, sources mixed to target shares. Rows with a
+    null or repeated id are packed each for itself; null text is its end id alone."""
     return pack_mixture(docs, vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
