@@ -2,10 +2,13 @@
 
 A "file" of the naming contract is a Parquet dataset folder written by all tasks in parallel.
 A sharded table is one dataset with a folder for each value of the shard column
-(``<table>[_array]/<col>_shard=<v>/``), written in a single pass with dynamic partition overwrite:
-a rerun replaces exactly the shards it writes and leaves the others untouched. The shard column
-itself stays in the files, with its type; the folder's column is a copy of it for pruning. A NULL
-shard value lands in ``__HIVE_DEFAULT_PARTITION__`` and is reported as a warning.
+(``<table>[_array]/<col>_shard=<v>/``), written in a single pass: a rerun replaces exactly the shards
+it writes and leaves the others untouched. The shard column itself stays in the files, with its
+type; the folder's column is a copy of it for pruning. A NULL shard value lands in
+``__HIVE_DEFAULT_PARTITION__`` and is reported as a warning.
+
+Whatever is replaced is written aside first and switched by a journal (``sinks.switch``), so a run
+that dies leaves the old or the new state.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.names import col
 from panelforge.session import observation
+from panelforge.sinks.switch import aside, parent_of, recover, switch
 from panelforge.sources import hadoop_fs
 
 LOGGER = logging.getLogger(__name__)
@@ -37,9 +41,18 @@ class WriteResult:
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
     """Write ``df`` as a Parquet dataset at ``path``; the row count is observed during the write
-    (no second job)."""
+    (no second job). An existing dataset is replaced once the new one is complete."""
     obs = observation("write")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if mode == "overwrite":
+        spark, base = spark_of(df), parent_of(path)
+        recover(spark, base, path)
+        root = aside(base)
+        new = f"{root}/{path.rstrip('/').rpartition('/')[2]}"
+        observed.write.parquet(new)
+        switch(spark, base, root, [(new, path)])
+    else:
+        observed.write.mode(mode).parquet(path)
     rows = int(obs.get["rows"])
     LOGGER.info("wrote %s rows to %s", f"{rows:,}", path)
     return WriteResult(path=path, rows=rows)
@@ -49,8 +62,9 @@ def shard_folder_column(shard_col: str) -> str:
     return f"{shard_col}_shard"
 
 
-def write_sharded(df: DataFrame, path: str, shard_col: str) -> WriteResult:
-    """One pass, a folder for each shard; only the shards present in ``df`` are replaced.
+def write_sharded(df: DataFrame, path: str, shard_col: str, instead_of: str | None = None) -> WriteResult:
+    """One pass, a folder for each shard; only the shards present in ``df`` are replaced, and removed
+    from the dataset ``instead_of``, if given, in the same switch.
 
     Rows are rebalanced by shard first (AQE splits large shards and joins small ones), so a shard
     gets a few files however many tasks the upstream plan has. ``shards`` of the result names the
@@ -63,14 +77,18 @@ def write_sharded(df: DataFrame, path: str, shard_col: str) -> WriteResult:
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.when(col(shard_col).isNull(), 1).otherwise(0)), F.lit(0)).alias("null_rows"),
     )
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(folder)
-        .parquet(path)
-    )
+    spark, base = spark_of(df), parent_of(path)
+    recover(spark, base, path)
+    root = aside(base)
+    observed.write.partitionBy(folder).parquet(f"{root}/new")
+    written = shard_folders(spark, f"{root}/new", shard_col)
+    stale = [name for name in shard_folders(spark, instead_of, shard_col) if name in set(written)] if instead_of else []
+    names = [*written, "_SUCCESS"] if hadoop_fs.exists(spark, f"{root}/new/_SUCCESS") else written
+    switch(spark, base, root, [(f"{root}/new/{n}", f"{path}/{n}") for n in names], [f"{instead_of}/{n}" for n in stale])
+    if stale:
+        LOGGER.info("removed %d stale shard(s) from %s", len(stale), instead_of)
     m = obs.get
-    shards = [name.partition("=")[2] for name in shard_folders(spark_of(df), path, shard_col)]
+    shards = [name.partition("=")[2] for name in shard_folders(spark, path, shard_col)]
     res = WriteResult(path=path, rows=int(m["rows"]), shards=shards, null_shard_rows=int(m["null_rows"]))
     if res.null_shard_rows:
         res.warnings.append(f"{res.null_shard_rows:,} rows without a {shard_col!r} form the shard {folder}=__HIVE_DEFAULT_PARTITION__")
@@ -108,16 +126,8 @@ def write_table(
     base = output_path.rstrip("/")
     if not shard_by:
         return write_parquet(df, f"{base}/{output_name}{suffix}.parquet")
-    res = write_sharded(df, f"{base}/{table_name}{suffix}", shard_by)
     other = f"{base}/{table_name}{'' if aggregated else ARRAY_SUFFIX}"
-    spark = spark_of(df)
-    current = set(shard_folders(spark, res.path, shard_by))
-    stale = [name for name in shard_folders(spark, other, shard_by) if name in current]
-    for name in stale:
-        hadoop_fs.delete(spark, f"{other}/{name}")
-    if stale:
-        LOGGER.info("removed %d stale shard(s) from %s", len(stale), other)
-    return res
+    return write_sharded(df, f"{base}/{table_name}{suffix}", shard_by, instead_of=other)
 
 
 def spark_of(df: DataFrame):

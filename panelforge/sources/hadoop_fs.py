@@ -15,13 +15,13 @@ def locate(spark: SparkSession, path: str):
     return fs, jpath
 
 
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching ``pattern`` (Hadoop glob syntax), sorted; empty list when none match."""
+def glob(spark: SparkSession, pattern: str) -> list[tuple[str, bool]]:
+    """(path, is it a folder) of all that match ``pattern`` (Hadoop glob syntax), sorted; hidden names
+    (``_``, ``.``) are left out unless the pattern asks for them. Empty when none match."""
     fs, jpath = locate(spark, pattern)
-    statuses = fs.globStatus(jpath)
-    if statuses is None:
-        return []
-    return sorted(str(s.getPath().toString()) for s in statuses)
+    hidden = jpath.getName()[:1] in ("_", ".")
+    found = [(s.getPath().toString(), s.isDirectory()) for s in fs.globStatus(jpath) or []]
+    return sorted(f for f in found if hidden or f[0].rpartition("/")[2][:1] not in ("_", "."))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -41,6 +41,26 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(jpath))
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file or folder to a path that does not exist; folders above it are made."""
+    fs, jpath = locate(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    if target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(jpath, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small UTF-8 text file."""
+    fs, jpath = locate(spark, path)
+    source = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small UTF-8 text file (QC reports), replacing any previous one."""
     fs, jpath = locate(spark, path)

@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from functools import reduce
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.names import index_ci
-from panelforge.operators.union import conform, target_schema, union_by_name
+from panelforge.operators.union import conform, target_schema
 from panelforge.sources import hadoop_fs
+from panelforge.sources.footers import SchemaGroup, data_files, partitioned_base, schema_groups
 from panelforge.specs import fill
 
 LOGGER = logging.getLogger(__name__)
 
 
 def glob_parquet(spark: SparkSession, pattern: str) -> list[str]:
-    """Sorted files matching ``pattern``; ``FileNotFoundError`` when nothing matches."""
-    matched = hadoop_fs.glob(spark, pattern)
+    """Sorted data files that ``pattern`` leads to (in matching folders, too); ``FileNotFoundError``
+    when there are none."""
+    matched = data_files(spark, pattern)
     if not matched:
         raise FileNotFoundError(f"nothing to read under {pattern}")
     return matched
@@ -47,44 +49,25 @@ def schema_of(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema.fields}
 
 
-def file_schemas(spark: SparkSession, files: list[str], threads: int = 16) -> list[T.StructType]:
-    """Schema of each file. Footers are read concurrently, without Spark jobs; Spark then resolves
-    one file of each distinct footer schema, so the jobs grow with the schemas, not the files."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def footer(path: str) -> str:
-        fs, jpath = hadoop_fs.locate(spark, path)
-        if fs.getFileStatus(jpath).isDirectory():
-            return path  # a dataset folder: resolved by itself
-        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jpath, conf)
-        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
-        try:
-            meta = reader.getFileMetaData()
-            stored = meta.getKeyValueMetaData().get("org.apache.spark.sql.parquet.row.metadata")
-            return f"{meta.getSchema().toString()}\n{stored}"
-        finally:
-            reader.close()
-
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        footers = list(pool.map(footer, files))
-    known = {text: spark.read.parquet(path).schema for text, path in dict(zip(footers, files)).items()}
-    return [known[text] for text in footers]
-
-
-def check_against_first(files: list[str], schemas: list[T.StructType]) -> None:
+def check_against_first(groups: list[SchemaGroup]) -> None:
     """Stage 1 schema rule: the first file fixes the columns; a later file that lacks one of
     them is an error (extra columns are ignored; types are cast to the first file's)."""
-    first = index_ci(f.name for f in schemas[0].fields)
+    first = index_ci(f.name for f in groups[0].schema.fields)
     problems = []
-    for path, schema in zip(files[1:], schemas[1:]):
-        have = index_ci(f.name for f in schema.fields)
+    for group in groups[1:]:
+        have = index_ci(f.name for f in group.schema.fields)
         missing = [first[k] for k in first if k not in have]
-        if missing:
-            problems.append(f"{path}: missing {missing}")
+        problems += [f"{path}: missing {missing}" for path in group.files if missing]
     if problems:
         raise ValueError("input files do not share the first file's columns:\n" + "\n".join(problems))
 
 
+def scan(spark: SparkSession, group: SchemaGroup) -> DataFrame:
+    """One scan of the group's files, with the columns that their folders stand for."""
+    reader = spark.read.schema(group.schema)
+    return (reader.option("basePath", group.base) if group.base else reader).parquet(*group.files)
+
+
 def read_with_lineage(
     spark: SparkSession,
     files: list[str],
@@ -99,26 +82,18 @@ def read_with_lineage(
     """
     if not files:
         raise FileNotFoundError("no input files")
-    schemas = file_schemas(spark, files) if check_schema and len(files) > 1 else [spark.read.parquet(files[0]).schema]
-    if check_schema and len(files) > 1:
-        check_against_first(files, schemas)
-    first = schemas[0]
+    groups = schema_groups(spark, files) if check_schema else [SchemaGroup(spark.read.parquet(files[0]).schema, files)]
+    check_against_first(groups)
+    return conform_to_first(spark, groups, groups[0].schema, lineage_col)
+
+
+def conform_to_first(spark: SparkSession, groups: list[SchemaGroup], first: T.StructType, lineage_col: str | None) -> DataFrame:
+    """One scan for each schema, cast to the columns of ``first``, with the lineage column."""
     if lineage_col and lineage_col.lower() in {f.name.lower() for f in first.fields}:
         raise ValueError(f"source already has a column named '{lineage_col}' (the lineage column)")
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(files, schemas if len(schemas) == len(files) else [first] * len(files)):
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    if len(groups) == 1:
-        return _with_lineage(spark.read.schema(first).parquet(*files), lineage_col)
-    # files grouped by schema: one scan per distinct schema, each conformed to the first file's
-    target = T.StructType(
-        list(first.fields) + ([T.StructField(lineage_col, T.StringType())] if lineage_col else [])
-    )
-    frames = [
-        conform(_with_lineage(spark.read.schema(schema).parquet(*paths), lineage_col), target)
-        for schema, paths in groups.values()
-    ]
-    return reduce(DataFrame.union, frames)
+    target = T.StructType(list(first.fields) + ([T.StructField(lineage_col, T.StringType())] if lineage_col else []))
+    frames = [_with_lineage(scan(spark, group), lineage_col) for group in groups]
+    return frames[0] if len(groups) == 1 and groups[0].schema == first else reduce(DataFrame.union, [conform(f, target) for f in frames])
 
 
 def _with_lineage(df: DataFrame, lineage_col: str | None) -> DataFrame:
@@ -140,23 +115,35 @@ def verify_paths_exist(spark: SparkSession, paths: list[str]) -> None:
 def read_union(
     spark: SparkSession, paths: list[str], drop_cols: tuple[str, ...] = ("filename",)
 ) -> DataFrame:
-    """All ``paths`` as one table by column name, types widened, lineage dropped.
+    """All ``paths`` (files or dataset folders) as one table by column name, types widened, lineage dropped.
 
-    Slices with identical schemas are read by a single scan; otherwise each slice is conformed
-    to the common schema and the slices are unioned (no shuffle either way).
+    The files of a slice may differ like the slices themselves: a column that only some of them
+    hold is NULL in the others. There is one scan for each distinct schema, over the files of all
+    slices that have it, conformed to the common columns (no shuffle).
     """
-    frames = [spark.read.parquet(p) for p in paths]
-    schemas = [f.schema for f in frames]
-    for line in drift_lines(schemas, paths, ignore=drop_cols):
+    slices = {path: data_files(spark, path) for path in dict.fromkeys(paths)}
+    empty = [path for path, files in slices.items() if not files]
+    if empty:
+        raise FileNotFoundError(f"no data files in: {', '.join(empty)}")
+    bases = {path: partitioned_base(path, files) for path, files in slices.items()}
+    flat = [f for path, files in slices.items() if not bases[path] for f in files]
+    groups = schema_groups(spark, flat) if flat else []
+    groups += [g for path, base in bases.items() if base for g in schema_groups(spark, slices[path], base)]
+    frames = [scan(spark, g) for g in groups]
+
+    home = {f: i for i, g in enumerate(groups) for f in g.files}
+    variants = [(path, i) for path, files in slices.items() for i in dict.fromkeys(home[f] for f in files)]
+    several = {path for path, n in Counter(path for path, _ in variants).items() if n > 1}
+    labels = [f"{path} ({groups[i].files[0].rpartition('/')[2]} and files like it)" if path in several else path for path, i in variants]
+    schemas = [frames[i].schema for _, i in variants]
+    for line in drift_lines(schemas, labels, ignore=drop_cols):
         LOGGER.warning("schema drift: %s", line)
-    if all(s == schemas[0] for s in schemas[1:]):
-        out = spark.read.schema(schemas[0]).parquet(*paths)
+    target = target_schema(schemas, labels)  # raises on a conflict, naming the slice
+    if len(groups) == 1:
+        out = spark.read.schema(groups[0].schema).parquet(*slices) if not groups[0].base else frames[0]
     else:
-        target_schema(schemas, labels=paths)  # raises on a conflict, naming the slice
-        out = union_by_name(frames, labels=paths)
-    for c in drop_cols:
-        out = out.drop(c)
-    return out
+        out = reduce(DataFrame.union, [conform(f, target) for f in frames])
+    return out.drop(*drop_cols)
 
 
 def drift_lines(schemas: list[T.StructType], labels: list[str], ignore: tuple[str, ...] = ()) -> list[str]:

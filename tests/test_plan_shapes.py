@@ -30,21 +30,6 @@ def test_build_table_pushes_the_key_filters_to_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(o_custkey)]" in plan and "PushedFilters: [IsNull(o_custkey)]" in plan
 
 
-def test_schema_check_runs_no_job_for_each_file(spark, tmp_path):
-    from panelforge.sources.parquet import file_schemas, glob_parquet
-
-    spark.range(400).repartition(40).write.parquet(str(tmp_path / "many"))
-    files = glob_parquet(spark, str(tmp_path / "many" / "*.parquet"))
-    assert len(files) == 40
-    group = spark.sparkContext
-    group.setJobGroup("schemas", "schemas")
-    try:
-        assert len({s.json() for s in file_schemas(spark, files)}) == 1
-        assert len(group.statusTracker().getJobIdsForGroup("schemas")) <= 1
-    finally:
-        group.setLocalProperty("spark.jobGroup.id", None)
-
-
 def test_sharded_write_makes_few_files(spark, tmp_path):
     import glob
 
