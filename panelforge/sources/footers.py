@@ -120,7 +120,9 @@ def footer_rows(spark: SparkSession, files: list[str]) -> DataFrame:
             rows[3] = [[{"name": n, "nulls": k} for n, k in columns] for columns in rows[3]]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, kinds)], ["path", "signature", "n_rows", "columns"])
 
-    paths = spark.createDataFrame([(f,) for f in files], "path string")
+    import pyarrow as pa
+
+    paths = spark.createDataFrame(pa.table({"path": pa.array(files, pa.string())}))
     return paths.repartition(max(1, math.ceil(len(files) / FILES_EACH))).mapInArrow(read, FOOTER)
 
 

@@ -1,40 +1,45 @@
 """Incremental Stage 1 with Structured Streaming.
 
 New raw files of a table arrive over time (a new year, a late delivery). Instead of re-running a
-whole year, a file-source stream picks up exactly the files not yet processed — the checkpoint
-records which — applies the same projection, lineage and reshape as ``select_year``, and appends
-to one dataset partitioned by year. ``availableNow`` processes everything pending in bounded
-micro-batches and stops, so it runs as a scheduled batch job; a rerun after a failure resumes
-from the checkpoint without duplicating committed files.
+whole year, a stream of file names picks up exactly the files not yet processed (the checkpoint
+records which). Each micro-batch, a bounded number of files, is read as a batch run reads them: its
+files are sorted by their footers' schemas, each schema is scanned once and cast to the columns and
+types of the stream's first file, and the same projection, lineage and reshape as in
+``select_year`` follow. The first file's schema is kept beside the checkpoint, so that it holds for
+all later runs. ``availableNow`` processes everything pending and stops, so this runs as a scheduled job.
+
+A micro-batch is written aside and its files are switched into the dataset by a journal, under names
+that tell the delivery: a batch that is processed again after a crash replaces its own files.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from panelforge.operators.project import select_columns
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
 from panelforge.session import checkpoint_root
-from panelforge.sources.parquet import check_against_first, file_schemas, glob_parquet, lineage_path
+from panelforge.sinks.switch import aside, recover, switch
+from panelforge.sources import hadoop_fs
+from panelforge.sources.footers import SchemaGroup, data_files, schema_groups
+from panelforge.sources.parquet import check_against_first, conform_to_first, glob_parquet
 from panelforge.specs import SelectSpec
 
+#: Columns of Spark's source of whole files; only the path is asked for, so no content is read.
+FILE_NAMES = "path string, modificationTime timestamp, length long, content binary"
+
 
-def stream_selected(spark: SparkSession, spec: SelectSpec, source_glob: str, max_files_per_batch: int = 1000) -> DataFrame:
-    """The Stage 1 plan over a file stream; the schema comes from the first file present, and a
-    file present that lacks one of its columns is an error, as in a batch run."""
-    files = glob_parquet(spark, source_glob)
-    schemas = file_schemas(spark, files)
-    check_against_first(files, schemas)
-    schema = schemas[0]
-    raw = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .parquet(source_glob)
-    )
-    if spec.lineage_col:
-        raw = raw.select("*", lineage_path().alias(spec.lineage_col))
-    working = select_columns(raw, spec.columns, spec.lineage_col)
+def select_files(spark: SparkSession, spec: SelectSpec, files: list[str], first: T.StructType) -> DataFrame:
+    """The Stage 1 table of ``files``, each cast to the columns of ``first``; a file that lacks one of
+    them is an error, as in a batch run."""
+    groups = schema_groups(spark, sorted(files))
+    check_against_first([SchemaGroup(first), *groups])
+    working = select_columns(conform_to_first(spark, groups, first, spec.lineage_col), spec.columns, spec.lineage_col)
     if spec.explode_arrays:
         return explode_periods(working, spec.period_col, spec.n_periods)
     if spec.monthly_columns:
@@ -42,6 +47,34 @@ def stream_selected(spark: SparkSession, spec: SelectSpec, source_glob: str, max
     return working
 
 
+def first_delivery(spark: SparkSession, source_glob: str, checkpoint: str) -> tuple[str, T.StructType]:
+    """(name, schema) of the stream: the schema of the first file present at its first run."""
+    note = f"{checkpoint.rstrip('/')}/first_file.json"
+    if not hadoop_fs.exists(spark, note):
+        schema = spark.read.parquet(glob_parquet(spark, source_glob)[0]).schema
+        hadoop_fs.write_text(spark, f"{note}.tmp", json.dumps({"stream": uuid.uuid4().hex[:8], "schema": schema.jsonValue()}))
+        hadoop_fs.rename(spark, f"{note}.tmp", note)
+    known = json.loads(hadoop_fs.read_text(spark, note))
+    return known["stream"], T.StructType.fromJson(known["schema"])
+
+
+def write_delivery(df: DataFrame, output_dir: str, delivery: str, partition_col: str | None) -> None:
+    """Files of one micro-batch into the dataset, named after it; those of an earlier try go."""
+    spark, out = df.sparkSession, output_dir.rstrip("/")
+    recover(spark, out)
+    root = aside(out)
+    new = f"{root}/new"
+    writer = df.write.partitionBy(partition_col) if partition_col and partition_col in df.columns else df.write
+    writer.parquet(new)
+    inside = lambda f: f.partition("/new/")[2]
+    moves = []
+    for f in data_files(spark, new):
+        folder, _, name = inside(f).rpartition("/")
+        moves.append((f, "/".join(x for x in (out, folder, f"{delivery}-{name}") if x)))
+    earlier = [p for depth in ("", "/*") for p, _ in hadoop_fs.glob(spark, f"{out}{depth}/{delivery}-*")]
+    switch(spark, out, root, moves, earlier)
+
+
 def run_incremental(
     spark: SparkSession,
     spec: SelectSpec,
@@ -55,11 +88,16 @@ def run_incremental(
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/incremental/<table>``.
     """
-    df = stream_selected(spark, spec, source_glob, max_files_per_batch)
-    ckpt = checkpoint_location or f"{checkpoint_root(spark)}/incremental/{spec.name}"
-    writer = df.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
-    if partition_col and partition_col in df.columns:
-        writer = writer.partitionBy(partition_col)
-    query = writer.trigger(availableNow=True).start(output_dir)
+    checkpoint = checkpoint_location or f"{checkpoint_root(spark)}/incremental/{spec.name}"
+    stream, first = first_delivery(spark, source_glob, checkpoint)
+    names = spark.readStream.format("binaryFile").schema(FILE_NAMES).option("maxFilesPerTrigger", max_files_per_batch).load(source_glob)
+
+    def process(batch: DataFrame, number: int) -> None:
+        files = [r.path for r in batch.select("path").collect()]  # at most max_files_per_batch
+        if files:
+            write_delivery(select_files(spark, spec, files, first), output_dir, f"{stream}-{number:06d}", partition_col)
+
+    query = names.select("path").writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    query = query.trigger(availableNow=True).start()
     query.awaitTermination()
     return query

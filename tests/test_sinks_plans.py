@@ -189,10 +189,11 @@ def test_backfill_of_several_tables(spark, tmp_path):
 
 
 def test_incremental_refuses_a_file_that_lacks_a_column(spark, tmp_path):
-    from panelforge.streaming.incremental import stream_selected
+    from panelforge.streaming import run_incremental
 
     spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.parquet(str(tmp_path / "raw" / "x1"))
     spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(str(tmp_path / "raw" / "x2"))
     spec = SelectSpec(name="t", path_pattern="", columns=["a"])
-    with pytest.raises(ValueError, match="missing"):
-        stream_selected(spark, spec, str(tmp_path / "raw" / "*" / "*.parquet"))
+    with pytest.raises(Exception, match="missing"):
+        run_incremental(spark, spec, str(tmp_path / "raw" / "*" / "*.parquet"), str(tmp_path / "out"), checkpoint_location=str(tmp_path / "ckpt"))
+    assert not (tmp_path / "out").exists()
