@@ -14,12 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from panelforge.llm.tables import ship, staged
+from panelforge.llm.tables import scratch, ship, staged
 from panelforge.llm.textops import CONTINUATION, SPACE, U64, WINDOW_FACTORS, mix, pieces, prefix_hash, span_hash, tidy, windows, words
 
 BITS = 15  # of a bucket, for words and characters each
@@ -152,6 +151,7 @@ def features(texts: pa.Array) -> pa.Array:
                 val.append(n * (SCALE / max(len(both), 1)))
             index.append(np.concatenate(idx).astype(np.int32))
             value.append(np.concatenate(val))
+    tidy("powers")
     kinds = [pa.field("i", pa.list_(pa.int32())), pa.field("v", pa.list_(pa.float64()))]
     return pa.StructArray.from_arrays([pa.array(index, kinds[0].type), pa.array(value, kinds[1].type)], fields=kinds)
 
@@ -187,22 +187,30 @@ def labelled_sample(docs, labels, id_col="doc_id", text_col="text", label_col="q
 
 
 def fit_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quality", max_rows=MAX_LABELLED) -> QualityModel | None:
-    """The model fitted on labelled documents, or None where they don't show both qualities."""
-    ship(docs.sparkSession)
+    """The model fitted on labelled documents, or None where they don't show both qualities (as in
+    empty tables). Null ids and labels of no document play no part; a null text counts as empty; rows
+    that repeat an id are a sample each."""
+    spark = docs.sparkSession
+    ship(spark)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, max_rows)
-    size = 2 << BITS
-    vector = F.udf(lambda i, v: Vectors.sparse(size, i, v), VectorUDT())
-    sample = sample.select("id", "good", "held_out", arrow_udf(features, "struct<i:array<int>,v:array<double>>")("text").alias("f"))
-    sample = staged(sample.select("id", "good", "held_out", vector("f.i", "f.v").alias("features")), "quality-sample")
-    fit = sample.where(~F.col("held_out"))
-    if fit.select("good").distinct().count() < 2:
+    sample = sample.select("good", "held_out", arrow_udf(features, "struct<i:array<int>,v:array<double>>")("text").alias("f"))
+    entries = F.zip_with("f.i", "f.v", lambda i, v: F.concat((i + 1).cast("string"), F.lit(":"), v.cast("string")))
+    sample = staged(sample.select("good", "held_out", F.concat_ws(" ", F.col("good").cast("string"), entries).alias("line")), "quality-sample")
+    shares = {r.good: r["count"] for r in sample.where("not held_out").groupBy("good").count().collect()}
+    if len(shares) < 2:
         return None
-    shares = {r.good: r["count"] for r in fit.groupBy("good").count().collect()}
-    weigh = F.when(F.col("good") > 0, sum(shares.values()) / (2 * shares[1.0])).otherwise(sum(shares.values()) / (2 * shares[0.0]))
-    lr = LogisticRegression(featuresCol="features", labelCol="good", weightCol="weight", regParam=1e-4, standardization=False, maxIter=40)
-    found = lr.fit(fit.withColumn("weight", weigh))
+
+    def vectors(part: str) -> DataFrame:
+        """(label, features) of a part of the sample, as Spark reads sparse vectors from text."""
+        path = scratch(spark, "quality-vectors")
+        sample.where(part).select("line").write.text(path)
+        return spark.read.format("libsvm").option("numFeatures", str(2 << BITS)).load(path)
+
+    weigh = F.when(F.col("label") > 0, sum(shares.values()) / (2 * shares[1.0])).otherwise(sum(shares.values()) / (2 * shares[0.0]))
+    lr = LogisticRegression(weightCol="weight", regParam=1e-4, standardization=False, maxIter=40)
+    found = lr.fit(vectors("not held_out").withColumn("weight", weigh))
     weights, bias = found.coefficients.toArray(), float(found.intercept)
-    held = found.transform(sample.where("held_out")).select("good", "rawPrediction").collect()  # at most max_rows numbers
+    held = found.transform(vectors("held_out")).select(F.col("label").alias("good"), "rawPrediction").collect()  # at most max_rows numbers
     margin, good = np.array([r.rawPrediction[1] for r in held]), np.array([r.good for r in held])
     slope, shift = _platt(margin, good) if 0 < good.sum() < len(good) else (1.0, 0.0)
     return QualityModel(weights, bias, slope, shift)

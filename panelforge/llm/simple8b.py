@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.encoding import encoder
-from panelforge.llm.tables import ship, staged
-from panelforge.session import scratch_path
+from panelforge.llm.tables import scratch, ship, staged
 
 U64 = np.uint64
 #: Fixed values of the format: ids in a word, and their bits, by selector (0 is the escape).
@@ -195,7 +194,8 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = False) -> D
 
 
 def token_file(docs: DataFrame, vocabulary: str, end_id: int, lower: bool = True) -> str:
-    """Write the token file of ``docs`` in the shared checkpoint folder; its path."""
-    path = scratch_path(docs.sparkSession, "token-file")
+    """Write the token file of ``docs`` in the shared checkpoint folder, where it stays until the
+    driver's process ends; its path."""
+    path = scratch(docs.sparkSession, "token-file")
     write_token_file(docs, path, vocabulary, end_id, lower)
     return path

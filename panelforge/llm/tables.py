@@ -59,6 +59,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared checkpoint folder, removed when the driver's process ends."""
+    path = scratch_path(spark, label)
+    _staged.append((spark, path))
+    return path
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
@@ -66,9 +73,8 @@ def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     when the driver's process ends (lazy results may read it until then).
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch(spark, label)
     df.write.option("compression", compression).parquet(path)
-    _staged.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
