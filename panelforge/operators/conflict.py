@@ -12,12 +12,17 @@ Semantics (shared with the unit tests and the oracle SQL):
   shuffle); the key filters of both branches reach the Parquet scan.
 * ``n_distinct`` ignores NULLs, compares arrays and structs by value, and is a BIGINT.
 
-Scale. The result never depends on the size of a group: there is exactly one row for each key
-without NULLs, whatever its number of rows. The work on a group is done in two steps for every
-key alike: its rows are dealt over a fixed number of pieces by a hash of their values, each piece
-is collected and sorted by itself, and the sorted pieces of a key are then merged into its row.
-Only the merge sees a whole group, which an array-valued result makes inevitable (Spark holds a
-row of up to 2 GB). Nothing runs while the plan is built.
+Scale. There is exactly one row for each key without NULLs, whatever its number of rows. Nearly all
+keys have few: their rows are shuffled once, by key, and collected. A sketch of the most frequent
+keys, which is part of the plan (a scan of the key columns, merged from the tasks, nothing runs
+while the plan is built), names those with ``hot_rows`` rows or more, at most ``hot_keys`` of them;
+they are sent to all tasks as hashes, so their number bounds the broadcast. Rows of these keys are
+first dealt over ``pieces`` by a hash of their values, each piece is collected and sorted by itself,
+and the sorted pieces of a key are merged into its row; only that merge sees a whole group, which
+an array-valued result makes inevitable (Spark holds a row of up to 2 GB). Where the sketch names no
+key, adaptive execution drops that branch before it reads anything. A key that the sketch names
+wrongly or misses is aggregated all the same: the result is equal for any sketch. An input below
+``SMALL_BYTES`` by Spark's statistics, which one task could hold, has no sketch.
 """
 
 from __future__ import annotations
@@ -32,8 +37,13 @@ from panelforge.functions.names import col, quote, resolve
 from panelforge.functions.types import contains_map, is_orderable
 
 PREFIX = "n_distinct_"
-#: Pieces that the rows of every key are dealt over before they are merged.
+#: Pieces that the rows of a hot key are dealt over before they are merged.
 PIECES = 8
+#: Rows from which on a key is hot, and the number of keys that are looked at, at most.
+HOT_ROWS, HOT_KEYS = 100_000, 1000
+SMALL_BYTES = 64 << 20
+#: Keys that a task's sketch counts: it sees every key with more than a few rows in so many.
+TRACKED = 10_000
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -78,18 +88,29 @@ def duplicate_key_counts(df: DataFrame, primary_key: list[str]) -> DataFrame:
     )
 
 
+def hot_keys_of(rows: DataFrame, hash_col: str, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Values of the long column ``hash_col`` that at least ``hot_rows`` rows hold, by a mergeable sketch
+    of the most frequent ones: ``hot_keys`` rows at most."""
+    top = rows.agg(F.expr(f"approx_top_k({quote(hash_col)}, {int(hot_keys)}, {max(TRACKED, int(hot_keys))})").alias("top"))
+    return top.select(F.explode("top").alias("e")).where(F.col("e.count") >= int(hot_rows)).select(F.col("e.item").alias(hash_col))
+
+
 def conflict_aggregate(
     df: DataFrame,
     primary_key: list[str],
     *,
     order_rows: bool = True,
     pieces: int = PIECES,
+    hot_rows: int = HOT_ROWS,
+    hot_keys: int | None = None,
     prefix: str = PREFIX,
 ) -> DataFrame:
     """Group ``df`` by ``primary_key``; see the module docstring for the exact semantics.
 
     Output columns: key columns, then for each other column (input order) the array column and
-    ``<prefix><column>``. ``pieces`` sets how far the work on one key is spread, never the result.
+    ``<prefix><column>``. ``pieces``, ``hot_rows`` and ``hot_keys`` (0: no key is looked at, and ``df``
+    is not scanned for them; by default ``HOT_KEYS``, or 0 for a small input) set how far the work on
+    one key is spread, never the result.
     """
     pk, values = split_key_columns(df, primary_key)
     taken = {c.lower() for c in df.columns}
@@ -119,22 +140,37 @@ def conflict_aggregate(
 
     ordered = order_rows and all(is_orderable(types[v]) for v in values)
     arrange = F.sort_array if ordered else (lambda rows: rows)
-    # nested / binary values: distinct sets gathered with the pieces (linear), since
+    # nested / binary values: distinct sets gathered with the rows (linear), since
     # array_distinct compares such elements pairwise
     by_set = {v: i for i, v in enumerate(values) if not hashable_equality(types[v])}
-    piece = F.pmod(F.xxhash64(*[F.to_json(F.struct(col(v))) if contains_map(types[v]) else col(v) for v in values]), F.lit(pieces))
-    rows = keyed.select(*keys, piece.alias("__pf_piece"), F.struct(*[col(v) for v in values]).alias("__pf_row"))
-    # rows are shuffled as they are: a collected list cannot shrink map-side, and raw rows are
-    # cheaper to move than partial list buffers
-    rows = rows.repartition(*keys, F.col("__pf_piece"))
-    sorted_pieces = rows.groupBy(*keys, F.col("__pf_piece")).agg(
-        arrange(F.collect_list("__pf_row")).alias("__pf_rows"),
-        *[F.collect_set(set_input(F.col("__pf_row").getField(v), types[v])).alias(f"__pf_set{i}") for v, i in by_set.items()],
-    )
-    merged = sorted_pieces.groupBy(*keys).agg(
-        arrange(F.flatten(F.collect_list("__pf_rows"))).alias("__pf_rows"),
-        *[F.size(F.array_distinct(F.flatten(F.collect_list(f"__pf_set{i}")))).cast("long").alias(f"__pf_set{i}") for i in by_set.values()],
-    )
+    sets = [F.collect_set(set_input(F.col("__pf_row").getField(v), types[v])).alias(f"__pf_set{i}") for v, i in by_set.items()]
+    collected = arrange(F.collect_list("__pf_row")).alias("__pf_rows")
+    row = F.struct(*[col(v) for v in values]).alias("__pf_row")
+
+    def few(rows: DataFrame) -> DataFrame:
+        # rows are shuffled as they are: a collected list cannot shrink map-side, and raw rows are
+        # cheaper to move than partial list buffers
+        grouped = rows.select(*keys, row).repartition(*keys).groupBy(*keys).agg(collected, *sets)
+        return grouped.withColumns({f"__pf_set{i}": F.size(f"__pf_set{i}").cast("long") for i in by_set.values()}) if by_set else grouped
+
+    def many(rows: DataFrame) -> DataFrame:
+        piece = F.pmod(F.xxhash64(*[F.to_json(F.struct(col(v))) if contains_map(types[v]) else col(v) for v in values]), F.lit(pieces))
+        rows = rows.select(*keys, piece.alias("__pf_piece"), row).repartition(*keys, F.col("__pf_piece"))
+        sorted_pieces = rows.groupBy(*keys, F.col("__pf_piece")).agg(collected, *sets)
+        return sorted_pieces.groupBy(*keys).agg(
+            arrange(F.flatten(F.collect_list("__pf_rows"))).alias("__pf_rows"),
+            *[F.size(F.array_distinct(F.flatten(F.collect_list(f"__pf_set{i}")))).cast("long").alias(f"__pf_set{i}") for i in by_set.values()],
+        )
+
+    if hot_keys is None:
+        small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES
+        hot_keys = 0 if small else HOT_KEYS
+    if hot_keys > 0:
+        hashed = keyed.withColumn("__pf_key", F.xxhash64(*keys))
+        hot = F.broadcast(hot_keys_of(hashed, "__pf_key", hot_rows, hot_keys))  # hot_keys numbers at most
+        merged = few(hashed.join(hot, "__pf_key", "left_anti")).union(many(hashed.join(hot, "__pf_key", "left_semi")))
+    else:
+        merged = few(keyed)
 
     def n_distinct(v: str) -> Column:
         return F.col(f"__pf_set{by_set[v]}") if v in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])

@@ -197,7 +197,7 @@ HOT_COLUMNS = ["l_partkey", "l_returnflag", "l_shipdate"]
 def q_conflict_hot_key(spark, sf_dir):
     """Lines 1 and 2 of every order share one key (about 45% of all rows): one row, as any key."""
     hot = F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")).cast("long")
-    agg = conflict_aggregate(_lineitem(spark, sf_dir).withColumn("l_orderkey", hot), ["l_orderkey"])
+    agg = conflict_aggregate(_lineitem(spark, sf_dir).withColumn("l_orderkey", hot), ["l_orderkey"], hot_rows=1000, hot_keys=100)
     return agg.select(
         "l_orderkey",
         F.size("l_partkey").cast("long").alias("n_rows"),

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -132,10 +133,11 @@ def test_nested_distinct_counts(spark):
         F.array(ts).alias("t"),
         F.when(F.col("id") % 2 == 0, F.create_map(F.lit("a"), F.col("id") % 5)).alias("m"),
     )
-    out = conflict_aggregate(df, ["k"])
-    r = out.select(*[f"n_distinct_{c}" for c in "astm"], F.size("a").alias("n")).first()
-    assert tuple(r) == (2000, 7, 3, 5, n)
-    assert "array_distinct(flatten" in out._jdf.queryExecution().analyzed().toString()  # of hashed sets
+    for hot_keys, counted in ((None, "collect_set"), (5, "array_distinct(flatten")):
+        out = conflict_aggregate(df, ["k"], hot_keys=hot_keys, hot_rows=100)
+        r = out.select(*[f"n_distinct_{c}" for c in "astm"], F.size("a").alias("n")).first()
+        assert tuple(r) == (2000, 7, 3, 5, n)
+        assert counted in out._jdf.queryExecution().analyzed().toString()  # hashed sets
 
 
 def test_both_duplicate_figures(spark):
@@ -159,3 +161,15 @@ def test_edge_inputs(spark):
     keys_only = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     got = sorted((r["k"] is None, r["k"] or 0) for r in conflict_aggregate(keys_only, ["k"]).collect())
     assert got == [(False, 1), (False, 2), (True, 0)]
+
+
+@pytest.mark.parametrize("hot_keys", [0, 10, 10_000])
+@pytest.mark.parametrize("hot_rows", [1, 3])
+def test_result_is_equal_for_any_sketch(spark, hot_keys, hot_rows):
+    df = spark.range(4000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 5 = 0 THEN concat('k', id % 40) WHEN id % 7 = 0 THEN NULL ELSE CAST(id AS STRING) END AS k",
+        "CAST(id % 11 AS DOUBLE) AS v", "array(id % 2, id % 3) AS nested", "IF(id % 4 = 0, NULL, 'x') AS s",
+    )
+    key = lambda r: (r["k"] is not None, str(r))
+    plain = sorted(rows(conflict_aggregate(df, ["k"], hot_keys=0)), key=key)
+    assert sorted(rows(conflict_aggregate(df, ["k"], hot_keys=hot_keys, hot_rows=hot_rows)), key=key) == plain

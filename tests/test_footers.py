@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import jobs, rows
 from panelforge.functions.types import SchemaConflictError
 from panelforge.sources import footers
 from panelforge.sources.footers import data_files, footer_counts, schema_groups
@@ -19,21 +19,6 @@ def one_file(spark, folder, name, data, schema):
     return f"{folder}/{name}.parquet"
 
 
-class jobs:
-    """Counts the Spark jobs that run inside."""
-
-    def __init__(self, spark):
-        self.sc = spark.sparkContext
-
-    def __enter__(self):
-        self.sc.setJobGroup(f"count-{id(self)}", "counted")
-        return self
-
-    def __exit__(self, *_):
-        self.n = len(self.sc.statusTracker().getJobIdsForGroup(f"count-{id(self)}"))
-        self.sc.setLocalProperty("spark.jobGroup.id", None)
-
-
 def test_columns_of_some_files_of_a_slice_survive(spark, tmp_path):
     a, b = f"{tmp_path}/t_1", f"{tmp_path}/t_2"
     one_file(spark, a, "p1", [(1, 10, "f")], "id int, a int, filename string")

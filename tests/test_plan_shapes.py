@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, jobs
 from panelforge.operators.conflict import conflict_aggregate
 from panelforge.plans.qc import qc_report
 
@@ -11,12 +11,29 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_aggregation_is_lazy_without_forced_broadcast_or_expand(spark):
+def _executed(df) -> str:
+    """The plan that ran, as adaptive execution left it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+
+
+def test_cold_keys_are_shuffled_once(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    for hot_keys in (None, 100):  # without hot keys the sketch's branch and joins are gone
+        plan = _executed(conflict_aggregate(li, ["l_orderkey", "l_linenumber"], hot_keys=hot_keys))
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert not any(x in plan for x in ("Expand", "Join", "Python"))
+
+
+def test_hot_keys_are_dealt_over_pieces_and_only_their_number_is_broadcast(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     src = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")))
-    plan = _plan(conflict_aggregate(src, ["l_orderkey"]))
-    assert not any(x in plan for x in ("Expand", "Join", "Python"))
-    assert plan.count("Exchange hashpartitioning") == 2  # pieces, then keys
+    with jobs(spark) as planning:
+        df = conflict_aggregate(src, ["l_orderkey"], hot_rows=1000, hot_keys=100)
+    assert planning.n == 0  # nothing runs before the plan does
+    plan = _executed(df)
+    assert plan.count("Exchange hashpartitioning") == 3  # cold keys; pieces, then hot keys
+    assert plan.count("BroadcastHashJoin") == 2 and "Expand" not in plan and "Python" not in plan
 
 
 def test_build_table_pushes_the_key_filters_to_the_scan(spark, tmp_path):
