@@ -2,6 +2,8 @@
 
 * ``profile``: row count and NULL count of every column in one pass (no shuffle beyond the
   merge of per-task partial sums).
+* ``profile_files``: the same for a written dataset, from its files' footers; a scan only for columns
+  whose counts the footers don't hold.
 * ``key_uniqueness`` / ``row_uniqueness``: distinct keys (NULL counts as a value, like
   ``SELECT DISTINCT``) or distinct full rows, one shuffle with map-side de-duplication, so a
   key or a row copied into a third of the table is combined before it is shuffled.
@@ -12,12 +14,14 @@ All take an optional ``group_col`` (e.g. ``year``) so one job reports every slic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.functions.names import col, literal_rows, monthly_groups, quote, resolve, sql_literal
+from panelforge.functions.names import col, index_ci, literal_rows, monthly_groups, quote, resolve, sql_literal
 from panelforge.operators.union import conform, target_schema
+from panelforge.sources.footers import data_files, footer_counts
+from panelforge.sources.parquet import read_union
 
 
 def _groups(group_col: str | None):
@@ -61,6 +65,35 @@ def null_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def profile_files(spark: SparkSession, path: str) -> DataFrame:
+    """``profile`` of the dataset at ``path``, whose rows and NULLs the writer has counted for each row
+    group. Footers are read by tasks and added up to a line a column; data is read for nested columns
+    and for those without statistics in some row group only, all of them in one scan. A column that
+    some files lack is NULL in them."""
+    files = data_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no data files in: {path}")
+    counts = {r.column_name: r for r in footer_counts(spark, files).collect()}  # a row for each column
+    whole = counts.pop(None)
+    df = read_union(spark, [path], drop_cols=())
+    named = index_ci(counts)
+    held: dict[str, int] = {}
+    for c in df.columns if whole.n_rows is not None else []:
+        spellings = [r for name, r in counts.items() if name.lower() == c.lower()]
+        nested = not isinstance(df.schema[c].dataType, T.AtomicType)
+        if not nested and c.lower() in named and all(r.null_count is not None for r in spellings):
+            held[c] = whole.n_rows - sum(r.n_rows - r.null_count for r in spellings)
+    rest = [c for c in df.columns if c not in held]
+    known = [("row_count", None, whole.n_rows)] if whole.n_rows is not None else []
+    known += [("null_count", c, held[c]) for c in df.columns if c in held]
+    schema = T.StructType([T.StructField("check", T.StringType()), T.StructField("column_name", T.StringType()), T.StructField("value", T.LongType())])
+    out = literal_rows(spark, known, schema)
+    if rest:
+        scanned = profile(df.select(*[col(c) for c in rest]))
+        out = out.union(scanned.where("check = 'null_count'") if known else scanned)
+    return out
+
+
 def _uniqueness(df: DataFrame, cols: list[str], group_col: str | None, distinct_name: str) -> DataFrame:
     g = _groups(group_col)
     per_value = df.groupBy(*g, *[col(c) for c in cols]).agg(F.count(F.lit(1)).alias("__pf_n"))
@@ -201,6 +234,7 @@ __all__ = [
     "missing_columns",
     "null_counts",
     "profile",
+    "profile_files",
     "row_uniqueness",
     "schema_drift",
 ]

@@ -89,3 +89,29 @@ def test_counts_from_footers(spark, tmp_path):
     df.repartition(5).write.option("parquet.block.size", 1024).parquet(f"{tmp_path}/t")
     found = {r.column_name: (r.n_files, r.n_rows, r.null_count) for r in footer_counts(spark, data_files(spark, f"{tmp_path}/t")).collect()}
     assert found == {None: (5, 1000, None), "meta.x": (5, 1000, 666), "s": (5, 1000, 0)}
+
+
+def test_profile_of_files_equals_a_scan(spark, tmp_path):
+    from panelforge.operators.quality import profile, profile_files
+
+    path = f"{tmp_path}/t"
+    one_file(spark, path, "a", [(1, None, [1], 1.5), (None, "x", None, 2.5)], "id int, s string, arr array<int>, `d.x` double")
+    one_file(spark, path, "b", [(3, None), (None, None)], "ID bigint, `d.x` double")
+    df = read_union(spark, [path])
+    key = lambda r: str(r)
+    assert sorted(profile_files(spark, path).collect(), key=key) == sorted(profile(df).collect(), key=key)
+    flat = f"{tmp_path}/flat"
+    spark.range(100).selectExpr("IF(id % 4 = 0, NULL, id) AS id", "'c' AS c").write.parquet(flat)
+    counted = profile_files(spark, flat)
+    assert "Scan parquet" not in counted._jdf.queryExecution().toString()  # no data page is read
+    assert {(r.check, r.column_name): r.value for r in counted.collect()} == {("row_count", None): 100, ("null_count", "id"): 25, ("null_count", "c"): 0}
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    assert {r.value for r in profile_files(spark, f"{tmp_path}/none").collect()} == {0}
+
+
+def test_profile_of_files_that_tasks_cannot_reach(spark, tmp_path, monkeypatch):
+    from panelforge.operators.quality import profile_files
+
+    spark.range(10).selectExpr("nullif(id, 3) AS id").write.parquet(f"{tmp_path}/t")
+    monkeypatch.setattr(footers, "_reader", lambda: lambda path: (path, None, None, []))
+    assert sorted((r.check, r.value) for r in profile_files(spark, f"{tmp_path}/t").collect()) == [("null_count", 1), ("row_count", 10)]
