@@ -117,12 +117,20 @@ def row_uniqueness(df: DataFrame, ignore: tuple[str, ...] = (), group_col: str |
     return _uniqueness(df, cols, group_col, "distinct_row_count")
 
 
-def sample_rows(df: DataFrame, n: int = 100, order_by: list[str] | None = None) -> DataFrame:
-    """``n`` rows of ``df``. With ``order_by`` the sample is reproducible: the first ``n`` rows in
-    that order, taken as a top-k (each task keeps its own first ``n``; only those are merged),
-    never a full sort."""
+def sample_rows(df: DataFrame, n: int = 100, order_by: list[str] | None = None, hash_of: list[str] | None = None) -> DataFrame:
+    """``n`` rows of ``df``, by default any, the first that tasks come upon.
+
+    With ``order_by`` the sample is reproducible: the first ``n`` rows in that order. With ``hash_of`` (``["*"]``:
+    all columns) it is spread over the table and reproducible: the ``n`` rows with the smallest MD5
+    of these columns' JSON, whatever the files' and tasks' layout; equal digests go by the whole row.
+    Both are a top-k (each task keeps its own ``n``; only those are merged), never a full sort.
+    """
     if order_by:
         return df.orderBy(*[col(c).asc_nulls_first() for c in resolve(df.columns, order_by)]).limit(int(n))
+    if hash_of:
+        text = lambda cols: F.to_json(F.struct(*[col(c) for c in cols]), {"ignoreNullFields": "false"})
+        names = df.columns if hash_of == ["*"] else resolve(df.columns, hash_of)
+        return df.orderBy(F.md5(text(names)), text(df.columns)).limit(int(n))
     return df.limit(int(n))
 
 

@@ -1,71 +1,91 @@
-"""Multi-year runs that skip years whose output already exists."""
+"""Multi-year runs that build what is missing: wanted (table, year) pairs less the committed ones.
+
+All missing slices with the same output columns are one plan and one write job: the slices' scans
+are stacked with a slice number, written aside in a folder for each, and switched into their places
+together (``sinks.switch``). Each slice's folder gets its commit record, ``_SUCCESS`` with table, year and
+rows, before it moves. A run that dies has built nothing, or is finished by the next one.
+"""
 
 from __future__ import annotations
 
+import json
 import logging
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelforge.plans.stage1 import as_select_spec, process_year
+from panelforge.functions.names import col
+from panelforge.plans.stage1 import as_select_spec, select_year
+from panelforge.session import observation
+from panelforge.sinks.switch import aside, parent_of, recover, switch
 from panelforge.sources import hadoop_fs
 
 LOGGER = logging.getLogger(__name__)
 
+COMMITTED = "_SUCCESS"
+SLICE = "__pf_slice"
 
-def output_complete(spark: SparkSession, path: str) -> bool:
-    """A dataset counts as present only when its job committed (``_SUCCESS`` written)."""
-    return hadoop_fs.exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
+def committed(spark: SparkSession, folders: set[str]) -> set[str]:
+    """Datasets directly under ``folders`` whose writing was committed, as qualified paths: one listing a
+    folder. Switches that a crash has cut short are finished first."""
+    found = set()
+    for folder in folders:
+        if hadoop_fs.exists(spark, folder):
+            recover(spark, folder)
+            found |= {path.rpartition("/")[0] for path, _ in hadoop_fs.glob(spark, f"{folder}/*/{COMMITTED}")}
+    return found
 
-def backfill(
-    spark: SparkSession, spec, years: list[int], force: bool = False, concurrent_years: int = 1
-) -> list[dict]:
-    """Run Stage 1 for every wanted year whose output is missing or incomplete.
 
-    Each built year is one distributed job over that year's files; years already present are
-    reported as ``existing``. ``concurrent_years > 1`` submits several years' jobs at once (they
-    share the cluster; useful when single years are small). Returns ``[{year, status, rows, path}]``
-    in year order.
-    """
-    spec = as_select_spec(spec)
-    todo, report = [], {}
-    for year in years:
-        path = spec.output_path(year)
-        if not force and output_complete(spark, path):
-            report[year] = {"year": year, "status": "existing", "rows": None, "path": path}
-        else:
-            todo.append(year)
-
-    def build(year: int) -> dict:
-        res = process_year(spark, spec, year)
-        return {"year": year, "status": "built", "rows": res.rows, "path": res.path}
-
-    if concurrent_years > 1 and len(todo) > 1:
-        with ThreadPoolExecutor(max_workers=concurrent_years) as pool:
-            built = list(pool.map(build, todo))
-    else:
-        built = [build(y) for y in todo]
-    for r in built:
-        report[r["year"]] = r
-    out = [report[y] for y in years]
-    LOGGER.info("backfill %s: %s", spec.name, {r["year"]: r["status"] for r in out})
-    return out
-
-
-def backfill_tables(spark: SparkSession, wanted: list[tuple], force: bool = False, concurrent_years: int = 1) -> list[dict]:
-    """Stage 1 for every wanted (spec, years) whose output is missing: several tables in one run.
-
-    Returns the rows of ``backfill`` with the ``table``'s name, in the order of ``wanted``. Two
-    wanted tables that would write the same output are refused before any work starts.
+def _write_slices(spark: SparkSession, base: str, slices: list[tuple[str, int, str, DataFrame]]) -> list[int]:
+    """Write (table, year, path, frame) slices with the same columns by one job; the rows of each."""
+    root, counts, tagged = aside(base), [], []
+    for i, (_, year, _, df) in enumerate(slices):
+        counts.append(observation(f"slice_{year}"))
+        tagged.append(df.observe(counts[-1], F.count(F.lit(1)).alias("rows")).withColumn(SLICE, F.lit(i)))
+    reduce(DataFrame.union, tagged).write.partitionBy(SLICE).parquet(f"{root}/new")
+    rows, moves = [int(c.get["rows"]) for c in counts], []
+    for i, ((table, year, path, df), n) in enumerate(zip(slices, rows)):
+        folder = f"{root}/new/{SLICE}={i}"
+        if not n:  # a slice without rows has no folder yet, but its columns
+            df.limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
+        hadoop_fs.write_text(spark, f"{folder}/{COMMITTED}", json.dumps({"table": table, "year": year, "rows": n}))
+        moves.append((folder, path))
+    switch(spark, base, root, moves)
+    return rows
+
+
+def backfill_tables(spark: SparkSession, wanted: list[tuple], force: bool = False) -> list[dict]:
+    """Stage 1 for every wanted (spec, years) whose output is missing or incomplete (``force``: for all).
+
+    Returns ``{table, year, status, rows, path}`` in the order of ``wanted``, ``status`` being ``existing``
+    (then without a row count) or ``built``. Two wanted tables that would write the same output are
+    refused before any work starts.
     """
-    specs = [(as_select_spec(spec), list(years)) for spec, years in wanted]
-    targets = [spec.output_path(year) for spec, years in specs for year in years]
+    pairs = [(as_select_spec(spec), year) for spec, years in wanted for year in years]
+    targets = [spec.output_path(year) for spec, year in pairs]
     twice = sorted({t for t in targets if targets.count(t) > 1})
     if twice:
         raise ValueError(f"several wanted tables write to {twice}")
-    return [
-        {"table": spec.name, **row}
-        for spec, years in specs
-        for row in backfill(spark, spec, years, force=force, concurrent_years=concurrent_years)
-    ]
+    present = set() if force else committed(spark, {parent_of(t) for t in targets})
+    report, missing = [], {}
+    for (spec, year), path in zip(pairs, targets):
+        there = hadoop_fs.qualified(spark, path) in present
+        report.append({"table": spec.name, "year": year, "status": "existing" if there else "built", "rows": None, "path": path})
+        if not there:
+            df = select_year(spark, spec, year)
+            columns = tuple((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+            missing.setdefault((parent_of(path), columns), []).append((report[-1], df))
+    for (base, columns), slices in missing.items():
+        names = [name for name, _ in columns]
+        frames = [(row["table"], row["year"], row["path"], df.select(*[col(c) for c in names])) for row, df in slices]
+        for (row, _), n in zip(slices, _write_slices(spark, base, frames)):
+            row["rows"] = n
+    LOGGER.info("backfill: %s", {(r["table"], r["year"]): r["status"] for r in report})
+    return report
+
+
+def backfill(spark: SparkSession, spec, years: list[int], force: bool = False) -> list[dict]:
+    """``backfill_tables`` for one table: ``{year, status, rows, path}`` in year order."""
+    return [{k: v for k, v in row.items() if k != "table"} for row in backfill_tables(spark, [(spec, years)], force=force)]

@@ -13,8 +13,9 @@ from panelforge.functions.names import col
 from panelforge.operators.conflict import PREFIX, conflict_aggregate
 from panelforge.session import observation
 from panelforge.sinks.parquet import WriteResult, write_table
-from panelforge.sources.parquet import read_union, verify_paths_exist
-from panelforge.specs import BuildSpec
+from panelforge.sinks.switch import parent_of, recover
+from panelforge.sources.parquet import read_union, read_year_partitions, verify_paths_exist
+from panelforge.specs import BuildSpec, fill
 
 LOGGER = logging.getLogger(__name__)
 
@@ -25,8 +26,15 @@ def as_build_spec(name: str, spec: BuildSpec | dict) -> BuildSpec:
 
 def load_years(spark: SparkSession, spec: BuildSpec, basepath: str) -> DataFrame:
     """Exactly the years year_min..year_max (all missing inputs reported at once), by name,
-    widened, without the lineage column."""
+    widened, without the lineage column. Replacements of an input that a crash has cut short are
+    finished first. With ``year_column`` the input is one dataset partitioned by year."""
+    if spec.year_column:
+        path = fill(spec.path_pattern, basepath=basepath)
+        recover(spark, parent_of(path))
+        return read_year_partitions(spark, path, spec.year_column, spec.year_min, spec.year_max).drop("filename")
     paths = [spec.year_path(basepath, y) for y in spec.years]
+    for base in dict.fromkeys(parent_of(p) for p in paths):
+        recover(spark, base)
     verify_paths_exist(spark, paths)
     LOGGER.info("%s: %d year input(s) %s .. %s", spec.name, len(paths), paths[0], paths[-1])
     return read_union(spark, paths, drop_cols=("filename",))

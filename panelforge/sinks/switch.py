@@ -33,13 +33,18 @@ def aside(base: str) -> str:
     return f"{base.rstrip('/')}/_new-{uuid.uuid4().hex[:12]}"
 
 
-def switch(spark: SparkSession, base: str, new_root: str, moves: list[tuple[str, str]], drops: Iterable[str] = ()) -> None:
-    """Make the ``moves`` (new path, its place) and remove ``drops``, all or nothing; ``new_root``, the
-    folder that the new paths lie in, goes as well."""
+def record(spark: SparkSession, base: str, new_root: str, moves: list[tuple[str, str]], drops: Iterable[str] = ()) -> str:
+    """Make the new state the current one by its journal, whose path is returned; nothing moves yet."""
     name = f"{base.rstrip('/')}/{JOURNAL}{uuid.uuid4().hex[:12]}.json"
     hadoop_fs.write_text(spark, f"{name}.tmp", json.dumps({"new_root": new_root, "moves": moves, "drops": list(drops)}))
     hadoop_fs.rename(spark, f"{name}.tmp", name)
-    _finish(spark, name)
+    return name
+
+
+def switch(spark: SparkSession, base: str, new_root: str, moves: list[tuple[str, str]], drops: Iterable[str] = ()) -> None:
+    """Make the ``moves`` (new path, its place) and remove ``drops``, all or nothing; ``new_root``, the
+    folder that the new paths lie in, goes as well."""
+    _finish(spark, record(spark, base, new_root, moves, drops))
 
 
 def _finish(spark: SparkSession, journal: str) -> None:

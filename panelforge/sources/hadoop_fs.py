@@ -24,6 +24,12 @@ def glob(spark: SparkSession, pattern: str) -> list[tuple[str, bool]]:
     return sorted(f for f in found if hidden or f[0].rpartition("/")[2][:1] not in ("_", "."))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority, as listings give it."""
+    fs, jpath = locate(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = locate(spark, path)
     return bool(fs.exists(jpath))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelforge.functions.names import index_ci
+from panelforge.functions.names import col, index_ci
 from panelforge.operators.union import conform, target_schema
 from panelforge.sources import hadoop_fs
 from panelforge.sources.footers import SchemaGroup, data_files, partitioned_base, schema_groups
@@ -112,6 +112,27 @@ def verify_paths_exist(spark: SparkSession, paths: list[str]) -> None:
         raise FileNotFoundError(f"{len(absent)} of {len(paths)} inputs do not exist: " + ", ".join(absent))
 
 
+def read_year_partitions(spark: SparkSession, path: str, year_col: str, year_min: int, year_max: int) -> DataFrame:
+    """Years ``year_min..year_max`` of a dataset with ``<year_col>=<year>`` folders, the year a column of it.
+
+    All years without a folder, or with an empty one, are named in one ``FileNotFoundError`` before
+    any work. The range is a predicate on the partition column, so other years' files are never
+    listed by a task; files that differ in their columns are conformed, one scan a schema.
+    """
+    wanted = range(int(year_min), int(year_max) + 1)
+    files = {y: data_files(spark, f"{path.rstrip('/')}/{year_col}={y}") for y in wanted}
+    absent = [str(y) for y in wanted if not files[y]]
+    if absent:
+        raise FileNotFoundError(f"{path} lacks {len(absent)} of {len(wanted)} years: {', '.join(absent)}")
+    groups = schema_groups(spark, [f for y in wanted for f in files[y]], path)
+    if len(groups) == 1:
+        whole = spark.read.schema(groups[0].schema).parquet(path)
+        return whole.where(col(year_col).between(wanted[0], wanted[-1]))
+    frames = [scan(spark, g) for g in groups]
+    target = target_schema([f.schema for f in frames], [g.files[0] for g in groups])
+    return reduce(DataFrame.union, [conform(f, target) for f in frames])
+
+
 def read_union(
     spark: SparkSession, paths: list[str], drop_cols: tuple[str, ...] = ("filename",)
 ) -> DataFrame:

@@ -62,6 +62,9 @@ class BuildSpec:
     output_name: str
     primary_key: list[str] | None = None
     shard_by: str | None = None
+    #: Set where the input is one dataset with ``<year_column>=<year>`` folders, not a dataset a year;
+    #: ``path_pattern`` is then without ``{year}``.
+    year_column: str | None = None
     extra: dict[str, Any] = field(default_factory=dict)
 
     REQUIRED = ("year_min", "year_max", "path_pattern", "output_name")

@@ -638,7 +638,7 @@ def q_backfill(spark, sf_dir):
         columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"],
     )
     backfill(spark, spec, BACKFILL_PRESENT)
-    report = backfill(spark, spec, YEARS, concurrent_years=4)
+    report = backfill(spark, spec, YEARS)
     frames = [
         spark.read.parquet(r["path"]).select(F.lit(r["year"]).alias("year"), F.lit(r["status"]).alias("status"))
         for r in report
@@ -710,7 +710,7 @@ def q_stage1_to_stage2(spark, sf_dir):
         output_dir=inter,
         columns=["l_orderkey", "l_linenumber", "year", "l_quantity", "l_returnflag", "l_shipdate"],
     )
-    backfill(spark, select, YEARS, concurrent_years=4)
+    backfill(spark, select, YEARS)
     build = BuildSpec(
         name="lineitem",
         year_min=YEARS[0],
