@@ -30,8 +30,8 @@ LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
-#: Pieces that a worker remembers. Beyond them it forgets those used once since the last time, and
-#: all when that leaves more than half.
+#: Pieces that a worker remembers. Beyond them it forgets those used once since the last time, and at
+#: least half.
 REMEMBERED = 400_000
 #: Pieces handed to the tokenizer at once; its result objects hold about a kilobyte each.
 AT_ONCE = 8192
@@ -102,9 +102,13 @@ class Encoder:
         self.known.update(zip(new, range(at, at + len(new))))
 
     def _forget(self) -> None:
-        """Keep the pieces that were used in two batches or more since the last time."""
-        keep = np.flatnonzero(self.uses[: len(self.known)] > 1)
-        if not 0 < len(keep) <= REMEMBERED // 2:
+        """Keep the pieces that were used in two batches or more since the last time; half of the room
+        at most, those of most batches."""
+        uses = self.uses[: len(self.known)]
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > REMEMBERED // 2:
+            keep = np.sort(np.argpartition(uses, -(REMEMBERED // 2))[-(REMEMBERED // 2) :])
+        if not len(keep):
             return self._clear()
         names, size = list(self.known), self.size[keep]
         last = np.cumsum(size)
