@@ -194,8 +194,7 @@ def fit_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quali
     ship(spark)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, max_rows)
     sample = sample.select("good", "held_out", arrow_udf(features, "struct<i:array<int>,v:array<double>>")("text").alias("f"))
-    entries = F.zip_with("f.i", "f.v", lambda i, v: F.concat((i + 1).cast("string"), F.lit(":"), v.cast("string")))
-    sample = staged(sample.select("good", "held_out", F.concat_ws(" ", F.col("good").cast("string"), entries).alias("line")), "quality-sample")
+    sample = staged(sample, "quality-sample", "zstd")
     shares = {r.good: r["count"] for r in sample.where("not held_out").groupBy("good").count().collect()}
     if len(shares) < 2:
         return None
@@ -203,7 +202,10 @@ def fit_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quali
     def vectors(part: str) -> DataFrame:
         """(label, features) of a part of the sample, as Spark reads sparse vectors from text."""
         path = scratch(spark, "quality-vectors")
-        sample.where(part).select("line").write.text(path)
+        entries = F.zip_with("f.i", "f.v", lambda i, v: F.concat((i + 1).cast("string"), F.lit(":"), v.cast("float").cast("string")))
+        line = F.concat_ws(" ", F.col("good").cast("string"), entries)
+        # few files: each step of the fit sends a weight for each n-gram from each of them
+        sample.where(part).select(line).coalesce(FIT_TASKS).write.option("compression", "gzip").text(path)
         return spark.read.format("libsvm").option("numFeatures", str(2 << BITS)).load(path)
 
     weigh = F.when(F.col("label") > 0, sum(shares.values()) / (2 * shares[1.0])).otherwise(sum(shares.values()) / (2 * shares[0.0]))
@@ -216,6 +218,9 @@ def fit_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quali
     return QualityModel(weights, bias, slope, shift)
 
 
+#: Tasks of the fit, whose input is bounded.
+FIT_TASKS = 4
+
 RESULT = "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,base_failed:boolean,p_good:double,kept:boolean>"
 
 
