@@ -78,7 +78,8 @@ def write_sharded(df: DataFrame, path: str, shard_col: str, instead_of: str | No
         F.coalesce(F.sum(F.when(col(shard_col).isNull(), 1).otherwise(0)), F.lit(0)).alias("null_rows"),
     )
     spark, base = spark_of(df), parent_of(path)
-    recover(spark, base, path)
+    for place in [path, instead_of] if instead_of else [path]:
+        recover(spark, base, place)
     root = aside(base)
     observed.write.partitionBy(folder).parquet(f"{root}/new")
     written = shard_folders(spark, f"{root}/new", shard_col)

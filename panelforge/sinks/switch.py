@@ -69,7 +69,7 @@ def recover(spark: SparkSession, base: str, place: str | None = None) -> int:
     found = [f"{base.rstrip('/')}/{n}" for n in hadoop_fs.list_dir(spark, base) if n.startswith(JOURNAL) and n.endswith(".json")]
     if place is not None:
         inside = f"{place.rstrip('/')}/"
-        touches = lambda plan: any(f"{p}/".startswith(inside) for _, p in plan["moves"])
+        touches = lambda plan: any(f"{p}/".startswith(inside) for p in [*(to for _, to in plan["moves"]), *plan["drops"]])
         found = [j for j in found if touches(json.loads(hadoop_fs.read_text(spark, j)))]
     for journal in found:
         _finish(spark, journal)

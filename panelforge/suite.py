@@ -11,8 +11,10 @@ under the shared checkpoint folder (``spark.checkpoint.dir``) first.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +27,20 @@ from panelforge.operators.quality import (
     expected_columns_report,
     key_uniqueness,
     null_counts,
+    profile_files,
     row_uniqueness,
     sample_rows,
     schema_drift,
 )
 from panelforge.operators.reshape import explode_periods, unpivot_monthly
-from panelforge.plans.backfill import backfill
+from panelforge.plans.backfill import backfill, backfill_tables
 from panelforge.plans.qc import qc_report, run_qc
-from panelforge.plans.stage1 import select_year
+from panelforge.plans.stage1 import process_year, select_year
 from panelforge.plans.stage2 import build_table, load_years
 from panelforge.session import scratch_path
 from panelforge.sinks.parquet import shard_folders, write_parquet, write_table
+from panelforge.sinks.switch import aside, record
+from panelforge.sources import hadoop_fs
 from panelforge.specs import BuildSpec, SelectSpec
 from panelforge.streaming.incremental import run_incremental
 
@@ -496,6 +501,144 @@ def sql_schema_drift():
     )
 
 
+def stage_mixed_slices(spark: SparkSession, sf_dir: str) -> str:
+    """Slices whose files differ, as repeated deliveries leave them: even years have files without the
+    priority and files with a text customer key and lineage, odd years files with a column of their own."""
+    base = scratch_path(spark, "orders-mixed")
+    orders = table(spark, sf_dir, "orders")
+    check_years(orders, "o_orderdate")
+    for y in YEARS:
+        own = year_slice(orders, "o_orderdate", y).withColumn("filename", F.lit(f"raw_{y}"))
+        even, odd = own.where("o_orderkey % 2 = 0"), own.where("o_orderkey % 2 <> 0")
+        if y % 2 == 0:
+            even, odd = even.drop("o_orderpriority", "filename"), odd.withColumn("o_custkey", F.col("o_custkey").cast("string"))
+        else:
+            odd = odd.drop("o_orderstatus").withColumn("o_late", F.month("o_orderdate") > 6)
+        for part in (even, odd):
+            part.write.mode("append").parquet(f"{base}/orders_{y}.parquet")
+    return base
+
+
+def q_union_mixed_slices(spark, sf_dir):
+    """No value of a column that only some files of a slice hold is lost; the lineage column is dropped."""
+    return load_years(spark, _orders_spec(YEARS[0], YEARS[-1]), stage_mixed_slices(spark, sf_dir))
+
+
+def sql_union_mixed_slices():
+    even_year, odd_key = "year(o_orderdate) % 2 = 0", "o_orderkey % 2 <> 0"
+    return (
+        "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_totalprice, o_orderdate, "
+        f"CASE WHEN {even_year} OR NOT {odd_key} THEN o_orderstatus END AS o_orderstatus, "
+        f"CASE WHEN NOT {even_year} OR {odd_key} THEN o_orderpriority END AS o_orderpriority, "
+        f"CASE WHEN NOT {even_year} AND {odd_key} THEN month(o_orderdate) > 6 END AS o_late FROM orders"
+    )
+
+
+def q_year_partitions(spark, sf_dir):
+    """Years 1996 to 1998 of one dataset with a folder for each year, one of whose years has other types."""
+    base = scratch_path(spark, "orders-partitioned")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    orders.where("year <> 1997").write.partitionBy("year").parquet(f"{base}/orders")
+    other = orders.where("year = 1997").withColumn("o_custkey", F.col("o_custkey").cast("int")).drop("year", "o_orderstatus")
+    other.write.parquet(f"{base}/orders/year=1997")
+    spec = BuildSpec(name="orders", year_min=1996, year_max=1998, path_pattern="{basepath}/orders", output_name="orders", year_column="year")
+    return load_years(spark, spec, base)
+
+
+def sql_year_partitions():
+    return (
+        "SELECT * REPLACE (CASE WHEN year(o_orderdate) <> 1997 THEN o_orderstatus END AS o_orderstatus), "
+        "CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998"
+    )
+
+
+def q_switch_recovered(spark, sf_dir):
+    """Shards under both suffixes after a run that died with its journal written and nothing moved yet:
+    the next writer finishes it, then writes one shard more."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.date_format("o_orderdate", "MM").alias("mm"), "o_orderstatus")
+    out = scratch_path(spark, "orders-switched")
+    write_table(orders, out, "orders", "orders", shard_by="mm")
+    some = conflict_aggregate(orders.where("mm IN ('01', '02', '03')"), ["o_custkey", "mm"])
+    root = aside(out)
+    some.withColumn("mm_shard", F.col("mm")).write.partitionBy("mm_shard").parquet(f"{root}/new")
+    names = shard_folders(spark, f"{root}/new", "mm")
+    record(spark, out, root, [(f"{root}/new/{n}", f"{out}/orders_array/{n}") for n in names], [f"{out}/orders/{n}" for n in names])
+    write_table(orders.where("mm = '03'"), out, "orders", "orders", shard_by="mm")  # flat again
+    counted = lambda path, rows: spark.read.parquet(path).groupBy("mm").agg(F.sum(rows).cast("long").alias("n_rows"))
+    flat = counted(f"{out}/orders", F.lit(1)).select(F.lit("orders").alias("output"), "mm", "n_rows")
+    return flat.union(counted(f"{out}/orders_array", F.size("o_orderstatus")).select(F.lit("orders_array"), "mm", "n_rows"))
+
+
+def sql_switch_recovered():
+    return (
+        "SELECT CASE WHEN mm IN ('01', '02') THEN 'orders_array' ELSE 'orders' END AS output, mm, count(*) AS n_rows "
+        "FROM (SELECT strftime(o_orderdate, '%m') AS mm FROM orders) GROUP BY mm"
+    )
+
+
+def q_backfill_tables(spark, sf_dir):
+    """Two tables over all years, some of whose slices are there: the missing ones are built together."""
+    raw, out = stage_order_slices(spark, sf_dir), scratch_path(spark, "orders-tables")
+    spec = lambda name, columns: SelectSpec(
+        name=name, path_pattern=raw + "/orders_{year}.parquet/*.parquet", output_dir=out, columns=columns
+    )
+    prices, states = spec("prices", ["o_orderkey", "o_totalprice"]), spec("states", ["o_orderkey", "o_orderstatus", "o_orderdate"])
+    backfill_tables(spark, [(prices, [1995, 1999]), (states, [2001])])
+    report = backfill_tables(spark, [(prices, YEARS), (states, YEARS[2:])])
+    frames = [
+        spark.read.parquet(r["path"]).select(*[F.lit(r[c]).alias(c) for c in ("table", "year", "status")], F.substring_index("filename", "/", -2).alias("raw"))
+        for r in report
+    ]
+    counted = reduce(DataFrame.union, frames).groupBy("table", "year", "status", F.substring_index("raw", "/", 1).alias("source"))
+    return counted.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def sql_backfill_tables():
+    y = "CAST(year(o_orderdate) AS INTEGER)"
+    source = "'orders_' || year(o_orderdate) || '.parquet' AS source, count(*) AS n_rows"
+    return (
+        f"SELECT 'prices' AS \"table\", {y} AS year, CASE WHEN year(o_orderdate) IN (1995, 1999) THEN 'existing' ELSE 'built' END AS status, {source} "
+        f"FROM orders GROUP BY ALL UNION ALL SELECT 'states', {y}, CASE WHEN year(o_orderdate) = 2001 THEN 'existing' ELSE 'built' END, {source} "
+        "FROM orders WHERE year(o_orderdate) >= 1997 GROUP BY ALL"
+    )
+
+
+def q_incremental_drift(spark, sf_dir):
+    """Deliveries whose column types differ, the first file's types holding for all: the streamed table."""
+    orders = table(spark, sf_dir, "orders")
+    raw, out, ckpt = (scratch_path(spark, f"orders-drift-{n}") for n in ("raw", "out", "ckpt"))
+    spec = SelectSpec(name="orders_drift", path_pattern="", columns=["o_orderkey", "year", "price"])
+    check_years(orders, "o_orderdate")
+    kinds = [("bigint", "double"), ("string", "double"), ("int", "string"), ("bigint", "decimal(12,2)")]
+
+    def deliver(y: int) -> None:
+        key, price = kinds[(y - YEARS[0]) % len(kinds)]
+        part = year_slice(orders, "o_orderdate", y).select(F.col("o_orderkey").cast(key), F.lit(y).alias("year"), F.col("o_totalprice").cast(price).alias("price"))
+        part.write.parquet(f"{raw}/y{y}")
+
+    for batch in (YEARS[:2], YEARS[2:]):
+        for y in batch:
+            deliver(y)
+        run_incremental(spark, spec, raw + "/*/*.parquet", out, checkpoint_location=ckpt)
+    return spark.read.parquet(out).select("o_orderkey", "year", "price", F.substring_index(F.substring_index("filename", "/", -2), "/", 1).alias("delivery"))
+
+
+def sql_incremental_drift():
+    y = "year(o_orderdate)"
+    price = f"CASE WHEN ({y} - {YEARS[0]}) % 4 = 3 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) ELSE o_totalprice END"
+    return f"SELECT o_orderkey, CAST({y} AS INTEGER) AS year, {price} AS price, 'y' || {y} AS delivery FROM orders"
+
+
+def q_unpivot_drops_lineage(spark, sf_dir):
+    """The monthly unpivot drops the lineage column, under any spelling."""
+    wide = _monthly_wide(spark, sf_dir, _mo).withColumn("FileName", F.lit("raw.parquet")).withColumn("region", F.col("o_custkey") % 5)
+    return unpivot_monthly(wide)
+
+
+def sql_unpivot_drops_lineage():
+    return _MONTHLY_CTE + "SELECT o_custkey, year, o_custkey % 5 AS region, month, mp AS max_price, coalesce(c, 0) AS n_orders FROM grid"
+
+
 def q_shard_counts(spark, sf_dir):
     base = stage_order_slices(spark, sf_dir)
     out = scratch_path(spark, "orders-sharded")
@@ -838,6 +981,71 @@ def sql_run_qc():
     )
 
 
+def q_qc_profile_files(spark, sf_dir):
+    """Rows and NULLs of a written table from its files' footers; its array column needs a scan, and one
+    column stands in half of the files only."""
+    path = f"{scratch_path(spark, 'qc-profile')}/events.parquet"
+    events = _events_with_nulls(spark, sf_dir).withColumn("tags", F.when(F.col("user_id") % 3 == 0, F.array("event_type")))
+    events.where("event_id % 2 = 0").write.parquet(path)
+    events.where("event_id % 2 <> 0").drop("props").write.mode("append").parquet(path)
+    return profile_files(spark, path)
+
+
+def sql_qc_profile_files():
+    src = "(SELECT * REPLACE (nullif(event_type, 'error') AS event_type, CASE WHEN event_id % 2 = 0 THEN props END AS props) FROM events)"
+    parts = ["SELECT 'row_count' AS \"check\", CAST(NULL AS VARCHAR) AS column_name, count(*) AS value FROM events"]
+    parts += [f"SELECT 'null_count', '{c}', count(*) - count({c}) FROM {src}" for c in EVENT_COLUMNS]
+    parts.append("SELECT 'null_count', 'tags', count(*) FILTER (WHERE user_id IS NULL OR user_id % 3 <> 0) FROM events")
+    return " UNION ALL ".join(parts)
+
+
+def q_qc_artefacts(spark, sf_dir):
+    """What the QC files of three runs hold: a sound table, one without raw input, one that is missing."""
+    base = scratch_path(spark, "qc-files")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    write_parquet(customers, f"{base}/raw/customer.parquet")
+    select = SelectSpec(name="customer", path_pattern=f"{base}/raw/customer.parquet", columns=["c_custkey", "c_acctbal"], output_dir=base, output_name="customer", primary_key=["c_custkey"])
+    path = process_year(spark, select, 2024).path
+    lost = SelectSpec(name="customer", path_pattern=f"{base}/none/*.parquet", columns=["c_custkey", "c_acctbal"], primary_key=["c_custkey"])
+    run_qc(spark, select, path, 2024, qc_dir=f"{base}/sound.qc", sample_n=10, sample_order=["c_custkey"])
+    run_qc(spark, lost, path, 2024, qc_dir=f"{base}/no_raw.qc", sample_n=5, sample_hash=["c_custkey"])
+    run_qc(spark, select, f"{base}/absent.parquet", 2024, qc_dir=f"{base}/absent.qc")
+    facts = []
+    for run in ("sound", "no_raw", "absent"):
+        report, before, after = ({} if not text else json.loads(text) for text in (_text(spark, f"{base}/{run}.qc/{n}.json") for n in ("qc", "schema_before", "schema_after")))
+        sample = spark.read.parquet(f"{base}/{run}.qc/sample.parquet") if report["status"] != "error" else None
+        facts.append((run, report["status"], report.get("row_count"), report.get("duplicate_count"), len(report["warnings"]), len(report["errors"]), ",".join(before), ",".join(after), None if sample is None else sample.agg(F.sum("c_custkey")).first()[0], None if sample is None else sample.count()))
+    names = ["run", "status", "row_count", "duplicate_count", "n_warnings", "n_errors", "before", "after", "sample_keys", "sample_rows"]
+    schema = T.StructType([T.StructField(n, T.StringType() if n in ("run", "status", "before", "after") else T.LongType()) for n in names])
+    return literal_rows(spark, facts, schema)
+
+
+def _text(spark, path: str) -> str:
+    return hadoop_fs.read_text(spark, path) if hadoop_fs.exists(spark, path) else ""
+
+
+def sql_qc_artefacts():
+    key = "'{\"c_custkey\":' || c_custkey || '}'"
+    first = "(SELECT CAST(sum(c_custkey) AS BIGINT) FROM (SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 10))"
+    spread = f"(SELECT CAST(sum(c_custkey) AS BIGINT) FROM (SELECT c_custkey FROM customer ORDER BY md5({key}) LIMIT 5))"
+    zero, one = "CAST(0 AS BIGINT)", "CAST(1 AS BIGINT)"
+    after = "'c_custkey,c_acctbal,filename' AS after"
+    return (
+        f"SELECT 'sound' AS run, 'ok' AS status, count(*) AS row_count, {zero} AS duplicate_count, {zero} AS n_warnings, {zero} AS n_errors, "
+        f"'c_custkey,c_nationkey,c_acctbal' AS before, {after}, {first} AS sample_keys, CAST(10 AS BIGINT) AS sample_rows FROM customer "
+        f"UNION ALL SELECT 'no_raw', 'ok', count(*), {zero}, {one}, {zero}, '', {after}, {spread}, CAST(5 AS BIGINT) FROM customer "
+        f"UNION ALL SELECT 'absent', 'error', NULL, NULL, {zero}, {one}, 'c_custkey,c_nationkey,c_acctbal', '', NULL, NULL"
+    )
+
+
+def q_qc_hash_sample(spark, sf_dir):
+    return sample_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), 100, hash_of=["o_orderkey"])
+
+
+def sql_qc_hash_sample():
+    return "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5('{\"o_orderkey\":' || o_orderkey || '}') LIMIT 100"
+
+
 QC_YEARS = list(range(1995, 2003))  # 2002 has no rows: reported as a warning
 
 
@@ -908,6 +1116,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qc_missing_columns": q_qc_missing_columns,
         "run_qc": q_run_qc,
         "qc_sample": q_qc_sample,
+        "union_mixed_slices": q_union_mixed_slices,
+        "year_partitions": q_year_partitions,
+        "switch_recovered": q_switch_recovered,
+        "backfill_tables": q_backfill_tables,
+        "incremental_drift": q_incremental_drift,
+        "unpivot_drops_lineage": q_unpivot_drops_lineage,
+        "qc_profile_files": q_qc_profile_files,
+        "qc_artefacts": q_qc_artefacts,
+        "qc_hash_sample": q_qc_hash_sample,
     }
 
 
@@ -946,4 +1163,13 @@ def oracle_sql() -> dict[str, str]:
         "qc_missing_columns": sql_qc_missing_columns(),
         "run_qc": sql_run_qc(),
         "qc_sample": sql_qc_sample(),
+        "union_mixed_slices": sql_union_mixed_slices(),
+        "year_partitions": sql_year_partitions(),
+        "switch_recovered": sql_switch_recovered(),
+        "backfill_tables": sql_backfill_tables(),
+        "incremental_drift": sql_incremental_drift(),
+        "unpivot_drops_lineage": sql_unpivot_drops_lineage(),
+        "qc_profile_files": sql_qc_profile_files(),
+        "qc_artefacts": sql_qc_artefacts(),
+        "qc_hash_sample": sql_qc_hash_sample(),
     }
