@@ -26,6 +26,8 @@ from pyspark.sql.pandas.functions import arrow_udf
 from panelforge.llm.encoding import encoder
 from panelforge.llm.tables import ship, staged
 
+#: Rounds that are listed in one row on their way to a row each.
+RUN = 1024
 FRACTION = 16  # bits of a quantum behind the point
 #: Rows of the tables of rounds and of (source, task) up to which they are broadcast (at most 40
 #: bytes and a source's name each); larger ones are joined by a shuffle.
@@ -110,7 +112,10 @@ def pack_mixture(
     if asked for. Every token, with ``end_id`` behind each document, lies in exactly one piece.
 
     Target shares: ``weights`` by source (sources not named weigh 1), else each source's tokens to
-    the power ``alpha``. Null text counts as empty: the document is its end id alone. Null source
+    the power ``alpha``. They hold over each window of ``window`` tokens, to a token of each source, as
+    long as no source has run dry; inside a window the sources' tokens stand one after the other, so
+    a single sequence mixes sources only where ``window`` is near ``length``. A small window makes
+    more rounds (a row for each source and round). Null text counts as empty: the document is its end id alone. Null source
     counts as the empty source. Rows that repeat an id are packed each for itself; a null id is
     kept. An empty table gives no pieces. Other columns are ignored, whatever their names.
     """
@@ -129,13 +134,14 @@ def pack_mixture(
         share = F.coalesce(F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])[F.col("source")].cast("double"), F.lit(1.0))
     totals = runs.groupBy("source").agg(F.sum("n").alias("total")).withColumn("weight", share)
     whole = totals.agg(F.sum("weight").alias("w"), F.count("*").alias("m")).first()
-    window = max(window, length * whole.m)  # so the rounds' table stays far smaller than the tokens
     quantum = F.greatest(F.lit(1 << FRACTION), F.floor(F.col("weight") / F.lit(whole.w or 1.0) * F.lit(float(window << FRACTION))))
     totals = staged(totals.select("source", "total", quantum.cast("long").alias("quantum")), "packing-totals")
 
     last = F.expr(f"(total * {1 << FRACTION} - 1) div quantum")
     rounds = totals.agg(F.max(last).alias("k")).first().k
-    grid = totals.select("source", "total", "quantum", F.explode(F.sequence(F.lit(0), F.lit(rounds or 0).cast("long"))).alias("round"))
+    # rounds in runs of RUN, dealt over the tasks, so that no row holds all of them
+    grid = totals.select("source", "total", "quantum", F.explode(F.sequence(F.lit(0), F.lit((rounds or 0) // RUN).cast("long"))).alias("run"))
+    grid = grid.repartition("source", "run").withColumn("round", F.explode(F.expr(f"sequence(run * {RUN}, least(run * {RUN} + {RUN - 1}, {rounds or 0}L))")))
     allowed = lambda k: F.least("total", F.expr(f"({k}) * quantum div {1 << FRACTION}"))
     grid = grid.select("source", "round", allowed("round").alias("sent"), allowed("round + 1").alias("next"))
     same = Window.partitionBy("round")

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from panelforge.llm import encoding
+from panelforge.llm import encoding, packing
 from panelforge.llm.encoding import Encoder
 from panelforge.llm.packing import pack_mixture
 from panelforge.llm.simple8b import COUNTS, pack, read_token_file, unpack, write_token_file
@@ -167,3 +167,36 @@ def test_forgetting_pieces_changes_no_id(vocabulary, odd_docs, monkeypatch, name
         for i in range(0, len(texts), 2):
             for text, (ids,) in zip(texts[i : i + 2], tool.texts(pa.array(texts[i : i + 2], pa.string()))):
                 assert ids.tolist() == tool.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def round_robin(queues, quanta):
+    """Deficit round-robin by the book: each round a source's credit grows by its quantum, whole tokens
+    are sent and the rest is carried. Gives the stream of (source, place in its queue)."""
+    credit, sent, out = {s: 0 for s in queues}, {s: 0 for s in queues}, []
+    while any(sent[s] < n for s, n in queues.items()):
+        for s in sorted(queues):
+            credit[s] += quanta[s]
+            n = min(credit[s] >> 16, queues[s] - sent[s])
+            credit[s] -= (credit[s] >> 16) << 16
+            out += [(s, sent[s] + i) for i in range(n)]
+            sent[s] += n
+    return out
+
+
+@pytest.mark.parametrize("window", [40, 700, 1 << 20])
+def test_packing_equals_a_plain_round_robin(spark, vocabulary, window, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 3)
+    docs = spark.createDataFrame([(i, f"s{i % 7 % 3}", "word " * (i * 5 % 23)) for i in range(60)], "doc_id long, source string, text string")
+    weights = {"s0": 5.0, "s1": 1.0, "s2": 2.5}
+    pieces = pack_mixture(docs, vocabulary("byte_bpe_50k.json"), end_id=1, length=64, window=window, weights=weights).collect()
+    sizes = {r.doc_id: r.doc_tokens for r in pieces}
+    ahead, queues = {}, {"s0": 0, "s1": 0, "s2": 0}
+    for r in docs.orderBy("doc_id").collect():
+        ahead[r.doc_id] = queues[r.source]
+        queues[r.source] += sizes[r.doc_id]
+    quanta = {s: max(1 << 16, int(w / 8.5 * float(window << 16))) for s, w in weights.items()}
+    place = {at: i for i, at in enumerate(round_robin(queues, quanta))}
+    assert len(place) == sum(sizes.values())
+    for r in pieces:
+        for j in range(r.length):
+            assert place[r.source, ahead[r.doc_id] + r.start + j] == r.sequence_id * 64 + r.offset + j
