@@ -1,50 +1,11 @@
 import math
-import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from panelforge.llm import lm_score
-from panelforge.llm.lm_score import backoff_scores
 from panelforge.llm.vectors import near_vectors
 
-LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def brute_scores(rows):
-    texts = [(i, re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW))) for i, t in rows]
-    one = Counter(w for _, t in texts for w in t)
-    two = Counter(p for _, t in texts for p in zip([None] + t, t))
-    total, one[None] = sum(one.values()), sum(1 for _, t in texts if t)
-    out = {}
-    for i, t in texts:
-        score = sum(math.log(two[v, w] / one[v]) if two[v, w] >= 2 else math.log(0.4 * one[w] / total) for v, w in zip([None] + t, t))
-        off = sum(two[p] < 2 for p in zip([None] + t, t))
-        n, m, s = out.get(i, (0, 0, 0.0))
-        out[i] = (n + len(t), m + off, s + score)
-    return out
-
-
-@pytest.mark.parametrize(("common", "rows"), [(200_000, 2_500_000), (300, 3000)])
-def test_scores_against_brute_force(spark, odd_docs, monkeypatch, common, rows):
-    monkeypatch.setattr(lm_score, "COMMON", common)
-    docs = odd_docs.select("doc_id", "text").unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id + 1000 doc_id", "text"))
-    expected = brute_scores([(r.doc_id, r.text) for r in docs.collect()])
-    found = backoff_scores(docs, bucket_rows=rows).collect()
-    assert len(found) == len(expected)
-    for r in found:
-        n, off, score = expected[r.doc_id]
-        if r.doc_id is None or not n:
-            assert (r.n_words, r.log_score, r.mean_log_score) == (0, None, None)
-        else:
-            assert (r.n_words, r.n_backed_off) == (n, off) and abs(r.log_score - score) < 1e-6 * max(1, abs(score))
-
-
-def test_no_documents(no_docs):
-    assert backoff_scores(no_docs).count() == 0
-
-
 def brute_links(rows, t=0.93):
     ids, units, labels = [], [], []
     for i, v, label in rows:
