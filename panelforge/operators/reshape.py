@@ -71,7 +71,7 @@ def unpivot_monthly(
         raise ValueError("n_periods must be at least 1")
     groups, static = monthly_groups(df.columns, pattern, exclude=[lineage_col] if lineage_col else [])
     if not groups:
-        raise ValueError(f"monthly_columns is set but no column matches {pattern!r}")
+        raise ValueError(f"no name among {df.columns} stands for a month by the pattern {pattern!r}")
     bases = list(groups)
     _check_period_name(period_col, static, bases)
     dup = {b.lower() for b in bases} & {s.lower() for s in static}

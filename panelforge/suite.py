@@ -842,14 +842,12 @@ def q_stage1_to_stage2(spark, sf_dir):
     check_years(li, "l_shipdate")
     raw, inter, out = (scratch_path(spark, n) for n in ("lineitem-raw", "lineitem-inter", "lineitem-out"))
 
-    def deliver(y: int) -> None:
-        write_parquet(year_slice(li, "l_shipdate", y).withColumn("year", F.lit(y)), f"{raw}/{y}")
-
-    with ThreadPoolExecutor(max_workers=len(YEARS)) as pool:
-        list(pool.map(deliver, YEARS))
+    # one scan for all extracts; each year's folder is a raw extract of its own
+    year = F.year("l_shipdate")
+    li.withColumns({"year": year, "extract": year}).write.partitionBy("extract").parquet(raw)
     select = SelectSpec(
         name="lineitem",
-        path_pattern=raw + "/{year}/*.parquet",
+        path_pattern=raw + "/extract={year}/*.parquet",
         output_dir=inter,
         columns=["l_orderkey", "l_linenumber", "year", "l_quantity", "l_returnflag", "l_shipdate"],
     )
