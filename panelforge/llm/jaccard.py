@@ -47,7 +47,7 @@ BLOCK = 512
 #: Components left in a region after round one from which its shingle goes last in the order.
 WIDE = 32
 #: Rows of shingles that one regional task holds.
-REGION_ROWS = 500_000
+REGION_ROWS = 250_000
 
 
 def window_size(n, t: Fraction):
@@ -121,9 +121,10 @@ def _enter(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
 
     def blocks(batches):
         for batch in batches:
-            entry = batch.column("entry")
-            sizes = np.array([len(v) // 8 for v in entry.to_pylist()], np.int64)
-            h = np.frombuffer(b"".join(entry.to_pylist()), U64)
+            tidy("powers")  # of the batch before
+            entry = batch.column("entry").to_pylist()
+            sizes = np.array([len(v) // 8 for v in entry], np.int64)
+            h = np.frombuffer(b"".join(entry), U64)
             rep = np.repeat(batch.column("rep").to_numpy(), sizes)  # ascending as rows were numbered
             pos = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
@@ -165,6 +166,7 @@ def _shared(blocks: DataFrame) -> DataFrame:
             keep[1:] = same
             keep[:-1] |= same
             h, rep, pos = h[keep], rep[keep], pos[keep]
+        tidy("powers")
         return pa.table([pa.array(h.view(np.int64)), pa.array(rep), pa.array(pos)], schema=schema)
 
     return blocks.groupBy("bucket").applyInArrow(lambda key, group: meet(key, group), "h long, rep long, pos int")
