@@ -27,6 +27,7 @@ wrongly or misses is aggregated all the same: the result is equal for any sketch
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +43,8 @@ PIECES = 8
 #: Rows from which on a key is hot, and the number of keys that are looked at, at most.
 HOT_ROWS, HOT_KEYS = 100_000, 1000
 SMALL_BYTES = 64 << 20
+#: Column that numbers the rows of one key, and a good number of source rows for each of them.
+SEGMENT, SEGMENT_ROWS = "segment", 100_000
 #: Keys that a task's sketch counts: it sees every key with more than a few rows in so many.
 TRACKED = 10_000
 
@@ -90,9 +93,9 @@ def duplicate_key_counts(df: DataFrame, primary_key: list[str]) -> DataFrame:
 
 def hot_keys_of(rows: DataFrame, hash_col: str, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Values of the long column ``hash_col`` that at least ``hot_rows`` rows hold, by a mergeable sketch
-    of the most frequent ones: ``hot_keys`` rows at most."""
+    of the most frequent ones: ``hot_keys`` rows at most. ``__pf_count`` is the sketch's number of rows."""
     top = rows.agg(F.expr(f"approx_top_k({quote(hash_col)}, {int(hot_keys)}, {max(TRACKED, int(hot_keys))})").alias("top"))
-    return top.select(F.explode("top").alias("e")).where(F.col("e.count") >= int(hot_rows)).select(F.col("e.item").alias(hash_col))
+    return top.select(F.explode("top").alias("e")).where(F.col("e.count") >= int(hot_rows)).select(F.col("e.item").alias(hash_col), F.col("e.count").alias("__pf_count"))
 
 
 def conflict_aggregate(
@@ -104,6 +107,7 @@ def conflict_aggregate(
     hot_rows: int = HOT_ROWS,
     hot_keys: int | None = None,
     prefix: str = PREFIX,
+    segment_rows: int | None = None,
 ) -> DataFrame:
     """Group ``df`` by ``primary_key``; see the module docstring for the exact semantics.
 
@@ -111,10 +115,16 @@ def conflict_aggregate(
     ``<prefix><column>``. ``pieces``, ``hot_rows`` and ``hot_keys`` (0: no key is looked at, and ``df``
     is not scanned for them; by default ``HOT_KEYS``, or 0 for a small input) set how far the work on
     one key is spread, never the result.
+
+    ``segment_rows``: for keys whose row would be too large. The column ``segment`` follows; a key that
+    the sketch names has a row for about each ``segment_rows`` of its source rows, sorted and aligned in
+    itself, with the whole key's ``n_distinct``; other keys have their one row, segment 0.
     """
     pk, values = split_key_columns(df, primary_key)
     taken = {c.lower() for c in df.columns}
     clash = [prefix + v for v in values if (prefix + v).lower() in taken]
+    if segment_rows and SEGMENT in taken | {(prefix + v).lower() for v in values}:
+        clash.append(SEGMENT)
     if clash:
         raise ValueError(f"output names collide with input columns: {clash}")
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -135,8 +145,10 @@ def conflict_aggregate(
             )
         ],
     )
+    segment = [F.lit(0).cast("long").alias(SEGMENT)] if segment_rows else []
+    loose_out = loose_out.select("*", *segment)
     if not values:
-        return keyed.select(*keys).distinct().union(loose_out)
+        return keyed.select(*keys).distinct().select("*", *segment).union(loose_out)
 
     ordered = order_rows and all(is_orderable(types[v]) for v in values)
     arrange = F.sort_array if ordered else (lambda rows: rows)
@@ -162,24 +174,59 @@ def conflict_aggregate(
             *[F.size(F.array_distinct(F.flatten(F.collect_list(f"__pf_set{i}")))).cast("long").alias(f"__pf_set{i}") for i in by_set.values()],
         )
 
+    def n_distinct(v: str) -> Column:
+        return F.col(f"__pf_set{by_set[v]}") if v in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])
+
+    def finished(merged: DataFrame, count: Callable[[str], Column], *more: Column) -> DataFrame:
+        return merged.select(
+            *keys,
+            *[e for v in values for e in (F.expr(f"__pf_rows.{quote(v)}").alias(v), count(v).cast("long").alias(prefix + v))],
+            *more,
+        )
+
+    def segmented(rows: DataFrame) -> DataFrame:
+        # equal rows differ by the task that reads them, so that they too are dealt over the segments
+        text = [F.to_json(F.struct(col(v))) if contains_map(types[v]) else col(v) for v in values]
+        part = F.pmod(F.xxhash64(*text, F.spark_partition_id()), F.ceil(F.col("__pf_count") / F.lit(int(segment_rows))).cast("long"))
+        parts = rows.select(*keys, part.alias("__pf_segment"), row).repartition(*keys, F.col("__pf_segment"))
+        parts = parts.groupBy(*keys, F.col("__pf_segment")).agg(collected)
+        # at most hot_keys rows of counts, besides keys with an equal hash
+        alike = {v: set_input(col(v), types[v]) if v in by_set else col(v) for v in values}
+        counts = rows.groupBy(*[col(k).alias(f"__pf_key{i}") for i, k in enumerate(pk)]).agg(
+            *[F.count_distinct(alike[v]).alias(f"__pf_count{i}") for i, v in enumerate(values)]
+        )
+        same = reduce(lambda a, b: a & b, [col(k) == F.col(f"__pf_key{i}") for i, k in enumerate(pk)])
+        merged = parts.join(F.broadcast(counts), same)
+        return finished(merged, lambda v: F.col(f"__pf_count{values.index(v)}"), F.col("__pf_segment").alias(SEGMENT))
+
     if hot_keys is None:
         small = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < SMALL_BYTES
         hot_keys = 0 if small else HOT_KEYS
     if hot_keys > 0:
         hashed = keyed.withColumn("__pf_key", F.xxhash64(*keys))
         hot = F.broadcast(hot_keys_of(hashed, "__pf_key", hot_rows, hot_keys))  # hot_keys numbers at most
-        merged = few(hashed.join(hot, "__pf_key", "left_anti")).union(many(hashed.join(hot, "__pf_key", "left_semi")))
+        cold = hashed.join(hot, "__pf_key", "left_anti")
+        if segment_rows:
+            keyed_out = finished(few(cold), n_distinct, *segment).union(segmented(hashed.join(hot, "__pf_key")))
+            return keyed_out.union(loose_out)
+        merged = few(cold).union(many(hashed.join(hot, "__pf_key", "left_semi")))
     else:
         merged = few(keyed)
+    return finished(merged, n_distinct, *segment).union(loose_out)
 
-    def n_distinct(v: str) -> Column:
-        return F.col(f"__pf_set{by_set[v]}") if v in by_set else distinct_non_null_count(f"__pf_rows.{quote(v)}", types[v])
 
-    keyed_out = merged.select(
-        *keys,
-        *[e for v in values for e in (F.expr(f"__pf_rows.{quote(v)}").alias(v), n_distinct(v).alias(prefix + v))],
-    )
-    return keyed_out.union(loose_out)
+def key_counts(agg: DataFrame, primary_key: list[str], count_col: str = "n_rows", prefix: str = PREFIX) -> DataFrame:
+    """Of a conflict-aggregated table, whole or in segments: the key columns, the number of source rows
+    and the ``n_distinct`` columns, one row for each key (NULL keys: one for each source row)."""
+    pk = resolve(agg.columns, primary_key)
+    counts = [c for c in agg.columns if c.startswith(prefix) and c.removeprefix(prefix) in agg.columns]
+    if not counts:
+        raise ValueError(f"no '{prefix}*' columns: is this a conflict-aggregated table?")
+    alone = F.when(_any_null(pk), F.monotonically_increasing_id()).alias("__pf_alone")
+    held = F.size(col(counts[0].removeprefix(prefix))).cast("long").alias("__pf_held")
+    rows = agg.select(*[col(k) for k in pk], alone, held, *[col(c) for c in counts])
+    totals = rows.groupBy(*[col(k) for k in pk], F.col("__pf_alone")).agg(F.sum("__pf_held").alias(count_col), *[F.max(col(c)).alias(c) for c in counts])
+    return totals.drop("__pf_alone")
 
 
 def nest_children(df: DataFrame, parent_key: list[str], **kwargs) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.names import literal_rows
-from panelforge.operators.conflict import conflict_aggregate, conflict_summary, duplicate_key_counts, duplicate_keys, nest_children
+from panelforge.operators.conflict import SEGMENT_ROWS, conflict_aggregate, conflict_summary, duplicate_key_counts, duplicate_keys, key_counts, nest_children
 from panelforge.operators.project import select_columns
 from panelforge.operators.quality import (
     expected_columns_report,
@@ -202,12 +202,9 @@ HOT_COLUMNS = ["l_partkey", "l_returnflag", "l_shipdate"]
 def q_conflict_hot_key(spark, sf_dir):
     """Lines 1 and 2 of every order share one key (about 45% of all rows): one row, as any key."""
     hot = F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_orderkey")).cast("long")
-    agg = conflict_aggregate(_lineitem(spark, sf_dir).withColumn("l_orderkey", hot), ["l_orderkey"], hot_rows=1000, hot_keys=100)
-    return agg.select(
-        "l_orderkey",
-        F.size("l_partkey").cast("long").alias("n_rows"),
-        *[F.col(f"n_distinct_{c}") for c in HOT_COLUMNS],
-    )
+    lines = _lineitem(spark, sf_dir).withColumn("l_orderkey", hot)
+    agg = conflict_aggregate(lines, ["l_orderkey"], hot_rows=1000, hot_keys=100, segment_rows=SEGMENT_ROWS)
+    return key_counts(agg, ["l_orderkey"]).select("l_orderkey", "n_rows", *[F.col(f"n_distinct_{c}") for c in HOT_COLUMNS])
 
 
 def sql_conflict_hot_key():

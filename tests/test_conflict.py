@@ -173,3 +173,31 @@ def test_result_is_equal_for_any_sketch(spark, hot_keys, hot_rows):
     key = lambda r: (r["k"] is not None, str(r))
     plain = sorted(rows(conflict_aggregate(df, ["k"], hot_keys=0)), key=key)
     assert sorted(rows(conflict_aggregate(df, ["k"], hot_keys=hot_keys, hot_rows=hot_rows)), key=key) == plain
+
+
+def test_a_hot_key_is_collected_in_segments(spark):
+    """No row holds a whole hot key; the segments hold each source row once, with the key's own counts."""
+    from panelforge.operators.conflict import key_counts
+
+    df = spark.range(0, 6000, 1, 6).selectExpr(
+        "CASE WHEN id < 5000 THEN 0 WHEN id < 5003 THEN NULL ELSE id div 4 END AS k", "id % 700 AS a",
+        "IF(id % 3 = 0, NULL, 1) AS b", "array(id % 5, NULL) AS c", "7 AS same",
+    )
+    options = {"hot_rows": 1000, "hot_keys": 10}
+    whole = conflict_aggregate(df, ["k"], **options)
+    agg = conflict_aggregate(df, ["k"], segment_rows=500, **options).cache()
+    assert agg.columns == [*whole.columns, "segment"]
+    hot = agg.where("k = 0")
+    assert hot.count() == 10 and hot.selectExpr("max(size(a)) AS n").first().n < 1000
+    assert agg.where("k != 0 OR k IS NULL").agg({"segment": "max"}).first()[0] == 0
+    flat = lambda t: sorted(t.selectExpr("k", "inline(arrays_zip(a, b, c, same))").collect(), key=repr)
+    assert flat(agg) == flat(whole)
+    counts = [c for c in whole.columns if c.startswith("n_distinct_")]
+    assert sorted(key_counts(agg, ["k"]).collect(), key=repr) == sorted(whole.selectExpr("k", "CAST(size(a) AS BIGINT) AS n_rows", *counts).collect(), key=repr)
+
+
+def test_equal_rows_of_a_hot_key_are_dealt_over_its_segments(spark):
+    df = spark.range(0, 8000, 1, 8).selectExpr("1 AS k", "5 AS v")
+    agg = conflict_aggregate(df, ["k"], hot_rows=1000, hot_keys=10, segment_rows=1000).collect()
+    assert sum(len(r.v) for r in agg) == 8000 and max(len(r.v) for r in agg) < 8000
+    assert {r.n_distinct_v for r in agg} == {1}
