@@ -30,11 +30,15 @@ LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
 UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
-#: Pieces that a worker remembers. Beyond them it forgets those used once since the last time, and at
-#: least half.
-REMEMBERED = 400_000
+#: Pieces that a worker remembers (about 180 bytes each). Beyond them it forgets those used once since
+#: the last time, and at least half.
+REMEMBERED = 600_000
 #: Pieces handed to the tokenizer at once; its result objects hold about a kilobyte each.
 AT_ONCE = 8192
+#: Pieces that are handed over as one text, an added token between them.
+JOINED = 1024
+#: Batches after which a worker gives freed memory back.
+BATCHES = 2
 
 _workers: dict[tuple, Encoder] = {}
 own_cache("encoders", _workers.clear)
@@ -46,6 +50,10 @@ class Encoder:
 
     #: Pattern of the added tokens' strings, if texts are searched for them.
     added: re.Pattern | None = None
+    #: The string and id of the added token that pieces are joined by, if there is one.
+    joint: tuple[str, int] | None = None
+    #: Batches so far.
+    batches = 0
     #: The table of this worker that holds it.
     cache = "encoders"
 
@@ -62,9 +70,18 @@ class Encoder:
             if added:  # the longest first, as the library matches them
                 strings = sorted((t.content.encode() for t in added), key=len, reverse=True)
                 self.added = re.compile(b"|".join(map(re.escape, strings)))
+                self.joint = self._joint([s.decode() for s in strings])
         self.lower, self.spans = lower, spans
         self._clear()
 
+    def _joint(self, strings: list[str]) -> tuple[str, int] | None:
+        """The longest added string, if no added string can begin in a piece and end in it."""
+        longest = strings[0]
+        if any(s.endswith(longest[:k]) for s in strings for k in range(1, len(longest))):
+            return None
+        self.own = frozenset(strings)
+        return longest, self.tokenizer.token_to_id(longest)
+
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.size = np.zeros(1 << 12, np.int64)
@@ -78,15 +95,33 @@ class Encoder:
         encode = self.tokenizer.encode_batch if self.spans else self.tokenizer.encode_batch_fast
         sizes, columns = [], []
         for at in range(0, len(new), AT_ONCE):
-            found = encode(new[at : at + AT_ONCE], add_special_tokens=False)
+            some = new[at : at + AT_ONCE]
+            if self.joint and not self.spans and self.own.isdisjoint(some):
+                size, ids = self._solve_joined(some)
+                sizes.append(size)
+                columns.append([ids])
+                continue
+            found = encode(some, add_special_tokens=False)
             ids = [e.ids for e in found]
-            sizes += map(len, ids)
+            sizes.append(np.array([len(v) for v in ids], np.int64))
             own = [np.array([x for v in ids for x in v], np.int64)]
             if self.spans:
                 spans = np.array([s for e in found for s in e.offsets], np.int64).reshape(-1, 2)
                 own += [spans[:, 0], spans[:, 1]]
             columns.append(own)
-        return np.array(sizes, np.int64), [np.concatenate(c) for c in zip(*columns)]
+        return np.concatenate(sizes), [np.concatenate(c) for c in zip(*columns)]
+
+    def _solve_joined(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids): as the added token cuts a text before it is encoded, its
+        ids tell the pieces apart, and one result object holds many of them."""
+        string, mark = self.joint
+        texts = [string.join(new[at : at + JOINED]) + string for at in range(0, len(new), JOINED)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in found])
+        ends = np.flatnonzero(ids == mark)
+        if len(ends) != len(new):
+            raise ValueError(f"{len(new)} pieces came back from the tokenizer as {len(ends)}")
+        return np.diff(ends, prepend=-1) - 1, ids[ids != mark]
 
     def _store(self, new: list[str], sizes: np.ndarray, columns: list[np.ndarray]) -> None:
         at, total = len(self.known), self.used + len(columns[0])
@@ -204,9 +239,11 @@ class Encoder:
             out[1], out[2] = out[1] + shift, out[2] + shift
         return out, np.concatenate([[0], last])[np.searchsorted(starts, offsets)]
 
-    def texts(self, column: pa.Array, max_bytes: int = 4 << 20):
+    def texts(self, column: pa.Array, max_bytes: int = 2 << 20):
         """For each text of the column, its arrays (ids, and spans if asked for). Null counts as empty."""
-        tidy(self.cache)  # of the batch before
+        if self.batches % BATCHES == 0:
+            tidy(self.cache)  # of the batches before
+        self.batches += 1
         for _, _, data, offsets in pieces(column, max_bytes):
             found, first = self.encode(data, offsets)
             for i in range(len(offsets) - 1):

@@ -169,6 +169,19 @@ def test_forgetting_pieces_changes_no_id(vocabulary, odd_docs, monkeypatch, name
                 assert ids.tolist() == tool.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(("name", "lower"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_new_pieces_reach_the_tokenizer_joined(vocabulary, odd_docs, monkeypatch, name, lower):
+    """Many pieces in one text, an added token between them: few result objects, the same ids."""
+    monkeypatch.setattr(encoding, "JOINED", 50)
+    tool = encoding.Encoder(vocabulary(name), lower, specials=True)
+    joined, sizes = tool._solve_joined, []
+    monkeypatch.setattr(tool, "_solve_joined", lambda new: sizes.append(len(new)) or joined(new))
+    texts = [t or "" for t in ODD[:-1] + ["<|endoftext", "|> <|endoftext", "<|"]] + [r.text for r in odd_docs.select("text").collect() if 0 < len(r.text or "") < 5000]
+    for text, (ids,) in zip(texts, tool.texts(pa.array(texts, pa.string()), 20_000)):
+        assert ids.tolist() == tool.tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(sizes) > 50
+
+
 def round_robin(queues, quanta):
     """Deficit round-robin by the book: each round a source's credit grows by its quantum, whole tokens
     are sent and the rest is carried. Gives the stream of (source, place in its queue)."""
