@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from panelforge.llm.tables import scratch, ship, staged
+from panelforge.llm.tables import release, scratch, ship, staged
 from panelforge.llm.textops import CONTINUATION, SPACE, U64, WINDOW_FACTORS, mix, pieces, prefix_hash, span_hash, tidy, windows, words
 
 BITS = 15  # of a bucket, for words and characters each
@@ -211,6 +211,7 @@ def fit_quality(docs, labels, id_col="doc_id", text_col="text", label_col="quali
     weigh = F.when(F.col("label") > 0, sum(shares.values()) / (2 * shares[1.0])).otherwise(sum(shares.values()) / (2 * shares[0.0]))
     lr = LogisticRegression(weightCol="weight", regParam=1e-4, standardization=False, maxIter=40)
     found = lr.fit(vectors("not held_out").withColumn("weight", weigh))
+    release(spark)
     weights, bias = found.coefficients.toArray(), float(found.intercept)
     held = found.transform(vectors("held_out")).select(F.col("label").alias("good"), "rawPrediction").collect()  # at most max_rows numbers
     margin, good = np.array([r.rawPrediction[1] for r in held]), np.array([r.good for r in held])
