@@ -11,12 +11,13 @@ bits the other sixty hold:
 Selector 0 is an escape: the word's low bits are a place in the block's list of escapes, 64-bit
 numbers that need more than 60 bits. (A first word of selector 1 or 2 stands for that many zeros.)
 The last word of a block may hold fewer ids than its selector allows; the block's count says how
-many. Next to the payload stand the block's first id in the whole corpus, the number of ids and
-of words, and for each document its id and its first id in the block, so that a reader can decode
-any block by itself, without the others, all words of one selector at once.
+many. Next to the payload stand the part it belongs to, the ids of that part before the block, the
+number of ids and of words, and for each document its id and its first id in the block, so that a
+reader can decode any block by itself, without the others, all words of one selector at once.
 
-Blocks are rows of Parquet files, written and read by Spark: (part, block, start, n_ids, n_words,
-words, escapes, doc_ids, doc_starts).
+A token file is a folder of two sets of Parquet files, written and read by Spark: ``blocks`` (part,
+block, ahead, n_ids, n_words, words, escapes, doc_ids, doc_starts) and ``parts`` (part, before), the
+ids of all parts before each, so that the payload is written once, before the totals are known.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
 from panelforge.llm.encoding import encoder
-from panelforge.llm.tables import scratch, ship, staged
+from panelforge.llm.tables import release, scratch, ship
+from panelforge.sources.hadoop_fs import exists
 
 U64 = np.uint64
 #: Fixed values of the format: ids in a word, and their bits, by selector (0 is the escape).
@@ -162,15 +164,17 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str, end_id: int, l
     written each, in the order of their texts; an empty table gives a file without blocks; other
     columns are ignored, whatever their names. Documents of any length are kept whole in a block.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
+    if exists(spark, path):
+        raise FileExistsError(path)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = staged(encode_blocks(rows, vocabulary, end_id, lower, block_ids), "token-blocks")
+    encode_blocks(rows, vocabulary, end_id, lower, block_ids).write.parquet(f"{path}/blocks")
+    release(spark)
     # the number of ids before each task's first: a table of one row for each task
-    runs = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    runs = spark.read.schema(DDL).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    blocks = blocks.join(F.broadcast(runs), "part").withColumn("start", F.col("before") + F.col("ahead"))
-    blocks.select("part", "block", "start", "n_ids", "n_words", "words", "escapes", "doc_ids", "doc_starts").write.parquet(path)
+    runs.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).write.parquet(f"{path}/parts")
 
 
 def read_token_file(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -188,7 +192,8 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = False) -> D
         return pa.array(out, kind)
 
     rows = arrow_udf(decode, "array<struct<doc_id:bigint,start:bigint,n_tokens:bigint,ids_crc32:bigint,ids:array<bigint>>>").asNondeterministic()
-    blocks = spark.read.schema("part int, block int, start long, n_ids long, n_words long, words binary, escapes binary, doc_ids array<long>, doc_starts array<long>").parquet(path)
+    runs = spark.read.schema("part int, before long").parquet(f"{path}/parts")
+    blocks = spark.read.schema(DDL).parquet(f"{path}/blocks").join(F.broadcast(runs), "part").withColumn("start", F.col("before") + F.col("ahead"))
     docs = blocks.withColumn("d", rows("words", "escapes", "n_ids", "start", "doc_ids", "doc_starts")).select(F.explode("d").alias("d"))
     return docs.select("d.doc_id", "d.start", "d.n_tokens", "d.ids_crc32", *["d.ids"] * with_ids)
 

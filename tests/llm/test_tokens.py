@@ -67,6 +67,18 @@ def test_token_file(spark, vocabulary, odd_docs, no_docs, tmp_path):
     assert read_token_file(spark, path).count() == 0
 
 
+def test_a_token_file_holds_its_payload_once(spark, vocabulary, odd_docs, monkeypatch, tmp_path):
+    from pyspark.sql import DataFrameWriter
+
+    written, put = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: written.append((self._df.columns, path)) or put(self, path, *a, **b))
+    write_token_file(odd_docs, path := str(tmp_path / "once"), vocabulary("word_bpe_49k.json"), 2)
+    payload = [at for columns, at in written if "words" in columns]
+    assert len(payload) == 1 and payload[0].startswith(path)
+    with pytest.raises(FileExistsError):
+        write_token_file(odd_docs, path, vocabulary("word_bpe_49k.json"), 2)
+
+
 @pytest.mark.parametrize("weights", [None, {"s0": 5.0}])
 def test_packing(vocabulary, odd_docs, weights):
     rows = odd_docs.collect()
