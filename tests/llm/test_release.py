@@ -1,3 +1,4 @@
+import corpus_pipeline
 from panelforge.llm import tables
 
 
@@ -27,3 +28,27 @@ def test_staged_tables_release_the_drivers_memory(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(tables, "release", seen.append)
     assert tables.staged(spark.range(5), "release").count() == 5 and len(seen) == 1
+
+
+def test_the_executors_give_memory_back(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory  # of the driver, which runs the tasks here
+    collections = lambda: sum(b.getCollectionCount() for b in beans.getGarbageCollectorMXBeans())
+    before = collections()
+    tables.release_executors(spark)
+    assert collections() > before
+
+
+def test_later_stages_begin_with_room(spark, no_docs, monkeypatch):
+    class Begun(Exception):
+        pass
+
+    def stop(session):
+        raise Begun
+
+    monkeypatch.setattr(corpus_pipeline, "release_executors", stop)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        try:
+            stage(spark, no_docs, "")
+        except Begun:
+            continue
+        raise AssertionError(stage)
